@@ -78,18 +78,16 @@ class Expectation:
     column: str | None = None
     values: tuple = ()
 
-    def failures(self) -> Column:
-        """Failing rows as an aggregate; a key's uniqueness needs the rows per key."""
-        value = F.col(self.column) if self.column else None
+    def violated(self) -> Column:
+        """Whether a row fails; null passes all but the null check."""
+        value = F.col(self.column)
         if self.kind == "not_null":
-            return count_of(value.isNull())
+            return value.isNull()
         if self.kind == "accepted_values":
-            return count_of(~value.isin(list(self.values)))
+            return ~value.isin(list(self.values))
         if self.kind == "positive":
-            return count_of(value <= 0)
-        if self.kind == "row_count_above":
-            return F.when(F.count(F.lit(1)) > self.values[0], 0).otherwise(1)
-        raise ValueError(f"no aggregate for {self.kind}")
+            return value <= 0
+        raise ValueError(f"{self.kind} is not decided row by row")
 
 
 def not_null(column: str) -> Expectation:
@@ -160,23 +158,40 @@ MODEL_TESTS = {
 
 
 def check_table(name: str, df: DataFrame, expectations: Sequence[Expectation]) -> DataFrame:
-    """One result row per expectation.
+    """One result row per expectation, from one pass over the table.
 
-    Everything but uniqueness is one aggregate over the table; each unique key adds one
-    aggregate over its keys, in which null keys are left out.
+    With a unique key the rows are first reduced to one per key, keeping the counts of the
+    other checks; null keys are no duplicates. Each further unique key takes a pass of its own.
     """
-    plain = [e for e in expectations if e.kind != "unique"]
-    parts = []
-    if plain:
-        fused = df.agg(*(e.failures().cast("long").alias(f"f{i}") for i, e in enumerate(plain)))
-        rows = F.array(*(_row(name, e, F.col(f"f{i}")) for i, e in enumerate(plain)))
-        parts.append(fused.select(F.explode(rows).alias("r")).select("r.*"))
-    for e in expectations:
+    by_row = {e: f"c{i}" for i, e in enumerate(expectations) if e.kind not in ("unique", "row_count_above")}
+    counts = [count_of(e.violated()).alias(column) for e, column in by_row.items()]
+    all_rows = F.count(F.lit(1)).alias("rows")
+    keys = [e for e in expectations if e.kind == "unique"]
+    if keys:
+        key = F.col(keys[0].column)
+        repeated = F.sum(F.when(key.isNotNull() & (F.col("rows") > 1), F.col("rows")))
+        totals = df.groupBy(key).agg(all_rows, *counts).agg(
+            F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
+            F.coalesce(repeated, F.lit(0)).alias("repeated"),
+            *(F.coalesce(F.sum(column), F.lit(0)).alias(column) for column in by_row.values()),
+        )
+    else:
+        totals = df.agg(all_rows, *counts)
+
+    def failures(e: Expectation) -> Column:
         if e.kind == "unique":
-            repeated = duplicate_keys(df, e.column, nulls_equal=False).agg(
-                F.coalesce(F.sum("duplicate_count"), F.lit(0)).alias("f")
-            )
-            parts.append(repeated.select(_row(name, e, F.col("f")).alias("r")).select("r.*"))
+            return F.col("repeated")
+        if e.kind == "row_count_above":
+            return F.when(F.col("rows") > e.values[0], 0).otherwise(1)
+        return F.col(by_row[e])
+
+    rows = F.array(*(_row(name, e, failures(e)) for e in expectations if e not in keys[1:]))
+    parts = [totals.select(F.explode(rows).alias("r")).select("r.*")]
+    for e in keys[1:]:
+        repeated = duplicate_keys(df, e.column, nulls_equal=False).agg(
+            F.coalesce(F.sum("duplicate_count"), F.lit(0)).alias("repeated")
+        )
+        parts.append(repeated.select(_row(name, e, F.col("repeated")).alias("r")).select("r.*"))
     return _union(parts)
 
 
