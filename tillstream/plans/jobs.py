@@ -101,13 +101,13 @@ def build_warehouse(spark: SparkSession) -> None:
     """Offer staging and intermediate relations as views and write the three marts."""
     staging = Staging.from_catalog(spark)
     context = orders_with_context(staging)
-    sessions = click_sessions(staging)
+    sessions = click_sessions(staging.events)
     publish_views(
         {**staging.named(), "int_orders_with_context": context, "int_retailrocket_sessions": sessions}
     )
     materialize(commerce_orders(context), "fct_commerce_orders")
     materialize(sessions, "fct_retailrocket_sessions")
-    materialize(product_dimension(staging), "dim_products")
+    materialize(product_dimension(staging.products, staging.food_products), "dim_products")
 
 
 def session_job(spark: SparkSession, source: str, target: str, gap_minutes: int = 30) -> int:

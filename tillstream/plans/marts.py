@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tillstream.functions.expressions import MONEY, cross_rate, order_value
 from tillstream.operators.sessions import SessionRule, summarize
 from tillstream.plans.staging import Staging
-from tillstream.session import size_checked
+from tillstream.session import join_hints
 
 # Weather and rates are broadcast up to this many rows; beyond it the join shuffles.
 BROADCAST_ROWS = 1_000_000
@@ -93,14 +93,15 @@ def orders_with_context(staging: Staging, broadcast_rows: int = BROADCAST_ROWS)
         "precipitation_mm",
     )
     rates = cross_rates(staging.fx_rates).withColumnRenamed("rate_date", "order_date")
+    hints = join_hints({"weather": staging.weather, "rates": staging.fx_rates}, broadcast_rows)
     nothing = F.lit(0).cast(MONEY)
     return (
         orders.join(items_per_order(staging.order_items), "order_id", "left")
         .join(payments_per_order(staging.order_payments), "order_id", "left")
         .join(staging.customers, "customer_id", "left")
         .join(products, "primary_product_id", "left")
-        .join(size_checked(weather, staging.weather, broadcast_rows), ["order_date", "customer_city"], "left")
-        .join(size_checked(rates, staging.fx_rates, broadcast_rows), "order_date", "left")
+        .join(weather.hint(hints["weather"]), ["order_date", "customer_city"], "left")
+        .join(rates.hint(hints["rates"]), "order_date", "left")
         .select(
             "order_id",
             "customer_id",
@@ -134,12 +135,12 @@ def commerce_orders(context: DataFrame) -> DataFrame:
     return context.withColumn("payment_value_usd", usd).select(ORDER_COLUMNS)
 
 
-def click_sessions(staging: Staging, gap_minutes: int = 30) -> DataFrame:
+def click_sessions(events: DataFrame, gap_minutes: int = 30) -> DataFrame:
     """Session mart under the warehouse rule."""
-    return summarize(staging.events, SessionRule.minute_marks(gap_minutes))
+    return summarize(events, SessionRule.minute_marks(gap_minutes))
 
 
-def product_dimension(staging: Staging) -> DataFrame:
+def product_dimension(products: DataFrame, food_products: DataFrame) -> DataFrame:
     """Products of both sources side by side; the sources are not matched."""
     def keyed(source: str, df: DataFrame, **columns) -> DataFrame:
         def column(name: str, kind: str):
@@ -157,10 +158,10 @@ def product_dimension(staging: Staging) -> DataFrame:
             F.lit(source).alias("source_system"),
         )
 
-    shop = keyed("olist", staging.products, category=F.col("product_category_name"))
+    shop = keyed("olist", products, category=F.col("product_category_name"))
     food = keyed(
         "open_food_facts",
-        staging.food_products,
+        food_products,
         **{
             name: F.col(name)
             for name in ("product_name", "brand", "category", "ecoscore_grade", "image_front_url")

@@ -5,7 +5,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tillstream.functions.expressions import MONEY, RATE, WEATHER
 from tillstream.sources.catalog import guarded_table
@@ -73,8 +72,10 @@ RAW_SOURCES = (
 )
 
 
-def _typed(df: DataFrame, *columns: tuple[str, str, str]) -> DataFrame:
-    return df.select(*(F.col(source).cast(kind).alias(name) for source, kind, name in columns))
+def _typed(df: DataFrame, *columns: tuple[str, str, str], **derived: str) -> DataFrame:
+    """Cast and rename (source, type, name) columns; ``derived`` are SQL expressions by name."""
+    casts = [f"cast({source} as {kind}) as {name}" for source, kind, name in columns]
+    return df.selectExpr(*casts, *(f"{text} as {name}" for name, text in derived.items()))
 
 
 def stage_orders(raw: DataFrame) -> DataFrame:
@@ -86,7 +87,8 @@ def stage_orders(raw: DataFrame) -> DataFrame:
         ("order_purchase_timestamp", WALL_TIME, "order_purchase_ts"),
         ("order_approved_at", WALL_TIME, "order_approved_ts"),
         ("order_estimated_delivery_date", WALL_TIME, "order_estimated_delivery_ts"),
-    ).withColumn("source_system", F.lit("olist"))
+        source_system="'olist'",
+    )
 
 
 def stage_order_items(raw: DataFrame) -> DataFrame:
@@ -138,12 +140,12 @@ def stage_events(raw: DataFrame) -> DataFrame:
         raw,
         ("event_id", "string", "event_id"),
         ("visitor_id", "string", "visitor_id"),
-        ("event_type", "string", "event_type"),
         ("item_id", "string", "item_id"),
         ("transaction_id", "string", "transaction_id"),
         ("event_ts", WALL_TIME, "event_ts"),
         ("kafka_topic", "string", "kafka_topic"),
-    ).withColumn("event_type", F.lower("event_type"))
+        event_type="lower(cast(event_type as string))",
+    )
 
 
 def stage_food_products(raw: DataFrame) -> DataFrame:

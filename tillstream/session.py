@@ -19,6 +19,8 @@ DEFAULTS = {
     # Streaming sessions of one visitor are merged before the shuffle.
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
     "spark.sql.sources.partitionOverwriteMode": "static",
+    # Without it every column expression records its Python call site.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -55,11 +57,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def size_checked(df: DataFrame, source: DataFrame, max_rows: int) -> DataFrame:
-    """Hint a broadcast of ``df`` only if ``source``, which bounds its rows, is small.
+def join_hints(bounds: dict[str, DataFrame], max_rows: int) -> dict[str, str]:
+    """How to join each named side, given a frame that bounds its rows.
 
-    Beyond ``max_rows`` the join shuffles both sides and AQE splits hot keys.
+    One job counts them. A side of at most ``max_rows`` is broadcast; beyond it the join
+    shuffles both sides and AQE splits hot keys.
     """
-    if source.agg(F.count(F.lit(1))).first()[0] <= max_rows:
-        return F.broadcast(df)
-    return df.hint("merge")
+    counted = None
+    for name, frame in bounds.items():
+        rows = frame.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("side"), "rows")
+        counted = rows if counted is None else counted.unionByName(rows)
+    return {row["side"]: "broadcast" if row["rows"] <= max_rows else "merge" for row in counted.collect()}

@@ -22,94 +22,107 @@ RATE_DAYS = 2000
 LOADED_AT = "2024-01-01 00:00:00"
 
 
+TABLE_SCHEMAS = {
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+        "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+        "l_linestatus string, l_shipdate timestamp_ntz"
+    ),
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+    "events": (
+        "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+    ),
+}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def raw_orders(spark: SparkSession, folder: str) -> DataFrame:
-    placed = F.col("o_orderdate")
-    return table(spark, folder, "orders").select(
-        F.col("o_orderkey").alias("order_id"),
-        F.col("o_custkey").alias("customer_id"),
-        _renamed("o_orderstatus", STATUS_NAMES).alias("order_status"),
-        placed.alias("order_purchase_timestamp"),
-        (placed + F.expr("interval 12 hours")).alias("order_approved_at"),
-        (placed + F.expr("interval 10 days")).alias("order_estimated_delivery_date"),
+    return table(spark, folder, "orders").selectExpr(
+        "o_orderkey as order_id",
+        "o_custkey as customer_id",
+        f"{_renamed('o_orderstatus', STATUS_NAMES)} as order_status",
+        "o_orderdate as order_purchase_timestamp",
+        "o_orderdate + interval 12 hours as order_approved_at",
+        "o_orderdate + interval 10 days as order_estimated_delivery_date",
     )
 
 
 def raw_order_items(spark: SparkSession, folder: str) -> DataFrame:
-    price = F.col("l_extendedprice").cast(MONEY)
-    return table(spark, folder, "lineitem").select(
-        F.col("l_orderkey").alias("order_id"),
-        F.col("l_linenumber").alias("order_item_id"),
-        F.col("l_partkey").alias("product_id"),
-        F.col("l_suppkey").alias("seller_id"),
-        price.alias("price"),
-        F.round(price * F.col("l_tax").cast("decimal(4,2)"), 2).alias("freight_value"),
+    price = f"cast(l_extendedprice as {MONEY})"
+    return table(spark, folder, "lineitem").selectExpr(
+        "l_orderkey as order_id",
+        "l_linenumber as order_item_id",
+        "l_partkey as product_id",
+        "l_suppkey as seller_id",
+        f"{price} as price",
+        f"round({price} * cast(l_tax as decimal(4,2)), 2) as freight_value",
     )
 
 
 def raw_order_payments(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "lineitem").where(F.col("l_linestatus") == "F").select(
-        F.col("l_orderkey").alias("order_id"),
-        F.col("l_linenumber").alias("payment_sequential"),
-        F.col("l_returnflag").alias("payment_type"),
-        F.lit(1).alias("payment_installments"),
-        F.col("l_extendedprice").cast(MONEY).alias("payment_value"),
+    return table(spark, folder, "lineitem").where("l_linestatus = 'F'").selectExpr(
+        "l_orderkey as order_id",
+        "l_linenumber as payment_sequential",
+        "l_returnflag as payment_type",
+        "1 as payment_installments",
+        f"cast(l_extendedprice as {MONEY}) as payment_value",
     )
 
 
 def raw_customers(spark: SparkSession, folder: str) -> DataFrame:
-    nations = table(spark, folder, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name", "n_regionkey")
-    regions = table(spark, folder, "region").select(F.col("r_regionkey").alias("n_regionkey"), "r_name")
+    nations = table(spark, folder, "nation").withColumnRenamed("n_nationkey", "c_nationkey")
+    regions = table(spark, folder, "region").withColumnRenamed("r_regionkey", "n_regionkey")
     return (
         table(spark, folder, "customer")
         .join(nations, "c_nationkey", "left")
         .join(regions, "n_regionkey", "left")
-        .select(
-            F.col("c_custkey").alias("customer_id"),
-            F.col("n_name").alias("customer_city"),
-            F.col("r_name").alias("customer_state"),
-        )
+        .selectExpr("c_custkey as customer_id", "n_name as customer_city", "r_name as customer_state")
     )
 
 
 def raw_products(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "part").select(
-        F.col("p_partkey").alias("product_id"),
-        F.col("p_type").alias("product_category_name"),
-        F.length("p_name").alias("product_name_length"),
-        F.length("p_brand").alias("product_description_length"),
-        F.lit(1).alias("product_photos_qty"),
-        F.col("p_size").alias("product_weight_g"),
+    return table(spark, folder, "part").selectExpr(
+        "p_partkey as product_id",
+        "p_type as product_category_name",
+        "length(p_name) as product_name_length",
+        "length(p_brand) as product_description_length",
+        "1 as product_photos_qty",
+        "p_size as product_weight_g",
     )
 
 
 def raw_events(spark: SparkSession, folder: str) -> DataFrame:
     event_type = _renamed("event_type", EVENT_NAMES)
-    return table(spark, folder, "events").select(
+    return table(spark, folder, "events").selectExpr(
         "event_id",
-        F.col("user_id").alias("visitor_id"),
-        event_type.alias("event_type"),
-        F.get_json_object("props", "$.k").alias("item_id"),
-        F.when(event_type == "transaction", F.col("event_id")).alias("transaction_id"),
-        F.col("ts").alias("event_ts"),
-        topic_of(event_type, TopicPlan()).alias("kafka_topic"),
-    )
+        "user_id as visitor_id",
+        f"{event_type} as event_type",
+        "get_json_object(props, '$.k') as item_id",
+        "case when event_type = 'purchase' then event_id end as transaction_id",
+        "ts as event_ts",
+    ).withColumn("kafka_topic", topic_of(F.col("event_type"), TopicPlan()))
 
 
 def raw_food_products(spark: SparkSession, folder: str) -> DataFrame:
-    nation = F.col("s_nationkey")
-    grades = F.array(*(F.lit(grade) for grade in "abcde"))
-    return table(spark, folder, "supplier").select(
-        F.col("s_suppkey").alias("product_code"),
-        F.col("s_name").alias("product_name"),
-        F.concat(F.lit("brand-"), nation.cast("string")).alias("brands"),
-        F.concat(F.lit("category-"), (nation % 7).cast("string")).alias("categories"),
-        F.lit("").alias("image_front_url"),
-        F.when(nation % 6 != 5, F.get(grades, nation % 6)).alias("ecoscore_grade"),
-        F.to_timestamp_ntz(F.lit(LOADED_AT)).alias("ingested_at"),
+    return table(spark, folder, "supplier").selectExpr(
+        "s_suppkey as product_code",
+        "s_name as product_name",
+        "concat('brand-', s_nationkey) as brands",
+        "concat('category-', s_nationkey % 7) as categories",
+        "'' as image_front_url",
+        "elt(s_nationkey % 6 + 1, 'a', 'b', 'c', 'd', 'e', null) as ecoscore_grade",
+        f"timestamp_ntz '{LOADED_AT}' as ingested_at",
     )
 
 
@@ -171,10 +184,7 @@ def staged(spark: SparkSession, folder: str) -> Staging:
     return Staging.of(raw_tables(spark, folder))
 
 
-def _renamed(column: str, names: dict[str, str]):
-    value = F.col(column)
-    renamed = value
-    for code, name in names.items():
-        if code != name:
-            renamed = F.when(value == code, name).otherwise(renamed)
-    return renamed
+def _renamed(column: str, names: dict[str, str]) -> str:
+    """SQL that replaces the codes in ``names`` and keeps other values."""
+    cases = " ".join(f"when '{code}' then '{name}'" for code, name in names.items())
+    return f"case {column} {cases} else {column} end"

@@ -16,7 +16,7 @@ from tillstream.operators import upserts as U
 from tillstream.plans import insights as I
 from tillstream.plans import marts as M
 from tillstream.plans import serving as V
-from tillstream.plans.staging import Staging
+from tillstream.plans import staging as G
 from tillstream.session import shared_folder
 from tillstream.settings import WAREHOUSE_STATUSES, TopicPlan
 from tillstream.sinks.files import progress_of
@@ -69,11 +69,13 @@ def orders_mart(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def sessions_mart(spark: SparkSession, folder: str) -> DataFrame:
-    return M.click_sessions(T.staged(spark, folder))
+    return M.click_sessions(G.stage_events(T.raw_events(spark, folder)))
 
 
 def products_mart(spark: SparkSession, folder: str) -> DataFrame:
-    return M.product_dimension(T.staged(spark, folder))
+    return M.product_dimension(
+        G.stage_products(T.raw_products(spark, folder)), G.stage_food_products(T.raw_food_products(spark, folder))
+    )
 
 
 def rounded_rate(df: DataFrame) -> DataFrame:
@@ -85,47 +87,47 @@ def rounded_rate(df: DataFrame) -> DataFrame:
 
 @query
 def stg_orders(spark, folder):
-    return T.staged(spark, folder).orders
+    return G.stage_orders(T.raw_orders(spark, folder))
 
 
 @query
 def stg_order_items(spark, folder):
-    return plain(T.staged(spark, folder).order_items)
+    return plain(G.stage_order_items(T.raw_order_items(spark, folder)))
 
 
 @query
 def stg_customers(spark, folder):
-    return T.staged(spark, folder).customers
+    return G.stage_customers(T.raw_customers(spark, folder))
 
 
 @query
 def stg_products(spark, folder):
-    return plain(T.staged(spark, folder).products)
+    return plain(G.stage_products(T.raw_products(spark, folder)))
 
 
 @query
 def stg_order_payments(spark, folder):
-    return plain(T.staged(spark, folder).order_payments)
+    return plain(G.stage_order_payments(T.raw_order_payments(spark, folder)))
 
 
 @query
 def stg_events(spark, folder):
-    return T.staged(spark, folder).events
+    return G.stage_events(T.raw_events(spark, folder))
 
 
 @query
 def stg_food_products(spark, folder):
-    return T.staged(spark, folder).food_products
+    return G.stage_food_products(T.raw_food_products(spark, folder))
 
 
 @query
 def weather_spine(spark, folder):
-    return plain(T.staged(spark, folder).weather)
+    return plain(G.stage_weather(T.raw_weather(spark, folder)))
 
 
 @query
 def fx_spine(spark, folder):
-    return plain(T.staged(spark, folder).fx_rates)
+    return plain(G.stage_fx_rates(T.raw_fx_rates(spark, folder)))
 
 
 # Payloads and click events
@@ -287,22 +289,22 @@ def load_counts(spark, folder):
 
 @query
 def items_per_order(spark, folder):
-    return plain(M.items_per_order(T.staged(spark, folder).order_items))
+    return plain(M.items_per_order(G.stage_order_items(T.raw_order_items(spark, folder))))
 
 
 @query
 def payments_per_order(spark, folder):
-    return plain(M.payments_per_order(T.staged(spark, folder).order_payments))
+    return plain(M.payments_per_order(G.stage_order_payments(T.raw_order_payments(spark, folder))))
 
 
 @query
 def fx_by_day(spark, folder):
-    return plain(M.fx_by_day(T.staged(spark, folder).fx_rates))
+    return plain(M.fx_by_day(G.stage_fx_rates(T.raw_fx_rates(spark, folder))))
 
 
 @query
 def fx_cross_rate(spark, folder):
-    return plain(rounded_rate(M.cross_rates(T.staged(spark, folder).fx_rates)))
+    return plain(rounded_rate(M.cross_rates(G.stage_fx_rates(T.raw_fx_rates(spark, folder)))))
 
 
 @query
@@ -320,7 +322,7 @@ def orders_without_enrichment(spark, folder):
     raw = T.raw_tables(spark, folder)
     for absent in ("open_meteo_weather", "frankfurter_fx_rates"):
         raw[absent] = empty_table(spark, absent)
-    return plain(M.commerce_orders(M.orders_with_context(Staging.of(raw))))
+    return plain(M.commerce_orders(M.orders_with_context(G.Staging.of(raw))))
 
 
 @query
@@ -330,7 +332,7 @@ def dim_products(spark, folder):
 
 @query
 def sessions_seconds(spark, folder):
-    return S.summarize(S.identified(T.staged(spark, folder).events), S.SessionRule.elapsed(30))
+    return S.summarize(S.identified(G.stage_events(T.raw_events(spark, folder))), S.SessionRule.elapsed(30))
 
 
 @query
@@ -340,13 +342,13 @@ def sessions_minute_boundary(spark, folder):
 
 @query
 def sessions_gap_360(spark, folder):
-    return S.summarize(S.identified(T.staged(spark, folder).events), S.SessionRule.elapsed(360))
+    return S.summarize(S.identified(G.stage_events(T.raw_events(spark, folder))), S.SessionRule.elapsed(360))
 
 
 def patchy_events(spark, folder):
     """Events of which some have no time and some no visitor."""
     key = F.col("event_id").cast("bigint")
-    return T.staged(spark, folder).events.withColumns(
+    return G.stage_events(T.raw_events(spark, folder)).withColumns(
         {
             "event_ts": F.when(key % 10 != 3, F.col("event_ts")),
             "visitor_id": F.when(key % 25 != 7, F.col("visitor_id")),
@@ -366,12 +368,12 @@ def sessions_patchy_minutes(spark, folder):
 
 @query
 def session_events_seconds(spark, folder):
-    return plain(S.label_events(T.staged(spark, folder).events, S.SessionRule.elapsed(360))).drop("kafka_topic")
+    return plain(S.label_events(G.stage_events(T.raw_events(spark, folder)), S.SessionRule.elapsed(360))).drop("kafka_topic")
 
 
 @query
 def session_events_minutes(spark, folder):
-    return plain(S.label_events(T.staged(spark, folder).events, S.SessionRule.minute_marks(360))).drop("kafka_topic")
+    return plain(S.label_events(G.stage_events(T.raw_events(spark, folder)), S.SessionRule.minute_marks(360))).drop("kafka_topic")
 
 
 @query
@@ -437,13 +439,13 @@ def products_page(spark, folder):
 
 @query
 def weather_page(spark, folder):
-    weather = T.staged(spark, folder).weather
+    weather = G.stage_weather(T.raw_weather(spark, folder))
     return plain(V.list_weather(weather, city="NATION_3", start=date(1996, 2, 1), end=date(1999, 2, 1)))
 
 
 @query
 def fx_page(spark, folder):
-    rates = T.staged(spark, folder).fx_rates
+    rates = G.stage_fx_rates(T.raw_fx_rates(spark, folder))
     return plain(V.list_fx_rates(rates, quote_currency="BRL", start=date(1996, 2, 1)))
 
 
@@ -597,7 +599,7 @@ def session_funnel_long(spark, folder):
 
 @query
 def event_histogram(spark, folder):
-    events = S.identified(T.staged(spark, folder).events)
+    events = S.identified(G.stage_events(T.raw_events(spark, folder)))
     return I.event_histogram(S.summarize(events, S.SessionRule.elapsed(360)))
 
 
@@ -624,12 +626,12 @@ def table_stats(spark, folder):
 
 @query
 def weather_series(spark, folder):
-    return plain(I.weather_series(T.staged(spark, folder).weather))
+    return plain(I.weather_series(G.stage_weather(T.raw_weather(spark, folder))))
 
 
 @query
 def fx_series(spark, folder):
-    return plain(I.fx_series(T.staged(spark, folder).fx_rates))
+    return plain(I.fx_series(G.stage_fx_rates(T.raw_fx_rates(spark, folder))))
 
 
 @query
@@ -647,7 +649,7 @@ def dq_null_rows(spark, folder):
 
 @query
 def dq_duplicates(spark, folder):
-    items = T.staged(spark, folder).order_items
+    items = G.stage_order_items(T.raw_order_items(spark, folder))
     return Q.duplicate_keys(items.select(F.concat_ws("-", "order_id", "order_item_id").alias("item_key")), "item_key")
 
 
@@ -658,14 +660,14 @@ def dq_duplicate_orders(spark, folder):
 
 @query
 def dq_event_domain(spark, folder):
-    return Q.outside_domain(T.staged(spark, folder).events, "event_type", ["view", "addtocart", "transaction"])
+    return Q.outside_domain(G.stage_events(T.raw_events(spark, folder)), "event_type", ["view", "addtocart", "transaction"])
 
 
 @query
 def dq_status_domain(spark, folder):
     """Shipped orders take the place of a status outside the domain."""
     domain = [status for status in WAREHOUSE_STATUSES if status != "shipped"]
-    return Q.outside_domain(T.staged(spark, folder).orders, "order_status", domain).select("order_id", "order_status")
+    return Q.outside_domain(G.stage_orders(T.raw_orders(spark, folder)), "order_status", domain).select("order_id", "order_status")
 
 
 @query
@@ -675,7 +677,7 @@ def dq_not_positive(spark, folder):
 
 @query
 def dq_fx_positive(spark, folder):
-    return plain(Q.not_positive(T.staged(spark, folder).fx_rates, "fx_rate"))
+    return plain(Q.not_positive(G.stage_fx_rates(T.raw_fx_rates(spark, folder)), "fx_rate"))
 
 
 @query
@@ -713,13 +715,13 @@ def dq_summary(spark, folder):
 def dq_model_tests(spark, folder):
     staging = T.staged(spark, folder)
     context = M.orders_with_context(staging)
-    sessions = M.click_sessions(staging)
+    sessions = M.click_sessions(staging.events)
     models = {
         **staging.named(),
         "int_orders_with_context": context,
         "int_retailrocket_sessions": sessions,
         "fct_commerce_orders": M.commerce_orders(context),
         "fct_retailrocket_sessions": sessions,
-        "dim_products": M.product_dimension(staging),
+        "dim_products": M.product_dimension(staging.products, staging.food_products),
     }
     return Q.check_suite(spark, models, Q.MODEL_TESTS)
