@@ -23,7 +23,7 @@ def one_per_key(df: DataFrame, keys: list[str], by: list[str]) -> DataFrame:
 
 def unseen(incoming: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:
     """Incoming rows whose key is not stored yet."""
-    return incoming.join(stored.select(*keys), keys, "left_anti")
+    return incoming.join(stored.select(*keys).distinct(), keys, "left_anti")
 
 
 def audit_state(audit_log: DataFrame) -> DataFrame:

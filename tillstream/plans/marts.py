@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tillstream.functions.expressions import MONEY, cross_rate, order_value
 from tillstream.operators.sessions import SessionRule, summarize
 from tillstream.plans.staging import Staging
-from tillstream.session import join_hints
+from tillstream.session import hinted, join_hints
 
 # Weather and rates are broadcast up to this many rows; beyond it the join shuffles.
 BROADCAST_ROWS = 1_000_000
@@ -52,6 +52,20 @@ def payments_per_order(payments: DataFrame) -> DataFrame:
     )
 
 
+def order_totals(items: DataFrame, payments: DataFrame) -> DataFrame:
+    """Item and payment figures of each order side by side, in one aggregation of both tables."""
+    lines = items.selectExpr("order_id", "1 as line", "item_price", "freight_value", "product_id")
+    paid = payments.selectExpr("order_id", "payment_value", "payment_type")
+    return lines.unionByName(paid, allowMissingColumns=True).groupBy("order_id").agg(
+        F.count("line").alias("item_count"),
+        F.sum("item_price").alias("gross_item_value"),
+        F.sum("freight_value").alias("freight_value"),
+        F.min("product_id").alias("primary_product_id"),
+        F.sum("payment_value").alias("payment_value_brl"),
+        F.min("payment_type").alias("payment_type"),
+    )
+
+
 def fx_by_day(fx_rates: DataFrame) -> DataFrame:
     """USD and BRL rate of each day side by side."""
     def rate_of(currency: str):
@@ -74,7 +88,8 @@ def orders_with_context(staging: Staging, broadcast_rows: int = BROADCAST_ROWS)
     """Orders with items, payments, customer, main product, weather and exchange rate.
 
     Items and payments are reduced to one row per order before they are joined, so no join
-    multiplies orders. The orders meet both on one shuffle by order id.
+    multiplies orders. Both sides of every shuffled join are plain shuffles, which lets AQE
+    split a hot order, customer, product or day over several tasks.
     """
     orders = staging.orders.select(
         "order_id",
@@ -94,14 +109,14 @@ def orders_with_context(staging: Staging, broadcast_rows: int = BROADCAST_ROWS)
     )
     rates = cross_rates(staging.fx_rates).withColumnRenamed("rate_date", "order_date")
     hints = join_hints({"weather": staging.weather, "rates": staging.fx_rates}, broadcast_rows)
+    totals = order_totals(staging.order_items, staging.order_payments)
     nothing = F.lit(0).cast(MONEY)
     return (
-        orders.join(items_per_order(staging.order_items), "order_id", "left")
-        .join(payments_per_order(staging.order_payments), "order_id", "left")
+        orders.join(totals.repartition("order_id"), "order_id", "left")
         .join(staging.customers, "customer_id", "left")
         .join(products, "primary_product_id", "left")
-        .join(weather.hint(hints["weather"]), ["order_date", "customer_city"], "left")
-        .join(rates.hint(hints["rates"]), "order_date", "left")
+        .join(hinted(weather, hints["weather"], "order_date", "customer_city"), ["order_date", "customer_city"], "left")
+        .join(hinted(rates, hints["rates"], "order_date"), "order_date", "left")
         .select(
             "order_id",
             "customer_id",

@@ -68,3 +68,8 @@ def join_hints(bounds: dict[str, DataFrame], max_rows: int) -> dict[str, str]:
         rows = frame.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("side"), "rows")
         counted = rows if counted is None else counted.unionByName(rows)
     return {row["side"]: "broadcast" if row["rows"] <= max_rows else "merge" for row in counted.collect()}
+
+
+def hinted(df: DataFrame, hint: str, *keys: str) -> DataFrame:
+    """Side of a join under its hint; for a shuffled join its last step is a plain shuffle."""
+    return df.hint(hint) if hint == "broadcast" else df.repartition(*keys).hint(hint)

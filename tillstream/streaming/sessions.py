@@ -25,17 +25,26 @@ def once_per_event(events: DataFrame, watermark: str = "1 hour") -> DataFrame:
     return events.withWatermark("event_ts", watermark).dropDuplicatesWithinWatermark(["event_id"])
 
 
-def session_stream(events: DataFrame, gap_minutes: int = 30, watermark: str = "1 hour") -> DataFrame:
+def session_stream(
+    events: DataFrame, gap_minutes: int = 30, watermark: str = "1 hour", distinct_events: bool = False
+) -> DataFrame:
     """Closed sessions by inactivity, in whole seconds as in the elapsed rule.
 
+    With ``distinct_events`` a redelivered event counts once.
+
     A session is emitted once the watermark has passed its end. There is no session number: it
     would need every earlier session of the visitor, so visitor and start are the key.
     """
     events.sparkSession.conf.set(MERGE_EARLY, "true")
-    seconds = identified(events).withColumn("event_second", F.date_trunc("second", "event_ts"))
+    seconds = (
+        identified(events)
+        .withColumn("event_second", F.date_trunc("second", "event_ts"))
+        .withWatermark("event_second", watermark)
+    )
+    if distinct_events:
+        seconds = seconds.dropDuplicatesWithinWatermark(["event_id"])
     return (
-        seconds.withWatermark("event_second", watermark)
-        .groupBy(F.session_window("event_second", f"{gap_minutes} minutes"), "visitor_id")
+        seconds.groupBy(F.session_window("event_second", f"{gap_minutes} minutes"), "visitor_id")
         .agg(
             F.min("event_ts").alias("session_start_ts"),
             F.max("event_ts").alias("session_end_ts"),
