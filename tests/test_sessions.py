@@ -130,7 +130,7 @@ def test_many_copies_of_one_event_are_spread(spark):
         F.lit(None).cast("string").alias("item_id"),
         F.lit("2024-01-01 00:00:00").cast("timestamp_ntz").alias("event_ts"),
     )
-    ranged = ordered.into_ranges(copies, "visitor_id", [F.col("event_ts")], 6)
+    ranged = ordered.into_ranges(copies, "visitor_id", ["event_ts"], 6).df
     sizes = [row["count"] for row in ranged.groupBy(ordered.BUCKET).count().collect()]
     assert max(sizes) < 1500
     labels = S.label_events(copies, S.SessionRule.elapsed(30), ranges=6)

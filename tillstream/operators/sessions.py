@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillstream.functions.expressions import count_of
-from tillstream.operators import ordered
+from tillstream.operators.ordered import into_ranges
 
 # Rows of one salt group when events without time meet the totals of their visitor.
 SALT_ROWS = 1_000_000
@@ -89,21 +89,23 @@ def summarize(events: DataFrame, rule: SessionRule, times_present: bool = False)
 def label_events(events: DataFrame, rule: SessionRule, ranges: int | None = None) -> DataFrame:
     """Every event with previous event time, new-session flag, session number and key.
 
-    The flags and numbers of single events need the events in order, see ``ordered``. Use
+    The flags and numbers of single events need the events in order, see ``into_ranges``. Use
     ``summarize`` when only sessions are wanted; it moves far less data.
     """
-    null_rank = F.col("event_ts").isNotNull() if rule.nulls_first else F.col("event_ts").isNull()
-    ranged = ordered.into_ranges(
-        events, "visitor_id", [null_rank, F.col("event_ts"), F.col("event_id")], ranges
+    late = F.col("event_ts").isNotNull() if rule.nulls_first else F.col("event_ts").isNull()
+    tick, previous = rule.tick(F.col("event_ts")), rule.tick(F.col("previous_event_ts"))
+    opens = F.when(rule.splits(tick, previous), 1).otherwise(0)
+    labelled = (
+        into_ranges(events.withColumn("_late", late), "visitor_id", ["_late", "event_ts", "event_id"], ranges)
+        .with_previous("event_ts", "previous_event_ts")
+        .with_running_sum(opens, "session_number")
     )
-    with_previous = ordered.previous_value(ranged, "visitor_id", "event_ts", "previous_event_ts")
-    tick = rule.tick(F.col("event_ts"))
-    previous = rule.tick(F.col("previous_event_ts"))
-    flagged = with_previous.withColumn(
-        "is_new_session", F.when(rule.splits(tick, previous), 1).otherwise(0)
+    return (
+        labelled.rows()
+        .drop("_late")
+        .withColumn("is_new_session", opens)
+        .withColumn("session_key", session_key())
     )
-    numbered = ordered.running_sum(flagged, "visitor_id", F.col("is_new_session"), "session_number")
-    return ordered.drop_marks(numbered).withColumn("session_key", session_key())
 
 
 def _measures() -> list[Column]:
@@ -163,8 +165,7 @@ def _with_untimed(cells: DataFrame, untimed: DataFrame, rule: SessionRule) -> Da
     numbered = merged.withColumn("opens", opens).withColumn(
         "session_number", F.sum("opens").over(in_order.rowsBetween(Window.unboundedPreceding, 0))
     )
-    ranged = ordered.into_ranges(untimed, "visitor_id", [F.col("event_id")])
-    ranked = ordered.drop_marks(ordered.running_sum(ranged, "visitor_id", F.lit(1), "place"))
+    ranked = into_ranges(untimed, "visitor_id", ["event_id"]).with_running_sum(F.lit(1), "place").rows()
     if rule.nulls_first:
         placed = ranked.withColumn("session_number", F.col("place"))
     else:
