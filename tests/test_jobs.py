@@ -8,10 +8,11 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
+from tillstream.__main__ import parse, run
 from tillstream.operators import quality as Q
 from tillstream.operators import upserts as U
 from tillstream.plans import insights as I
-from tillstream.plans import jobs
+from tillstream.plans import checks, jobs
 from tillstream.settings import COMMERCE_FILES, DayRange, ReplayPlan
 from tillstream.sinks import files as sink_files
 from tillstream.sinks import tables
@@ -165,3 +166,18 @@ def test_bucketed_tables_join_without_shuffle(layers):
     joined = spark.table("staging.bucketed_a").join(spark.table("staging.bucketed_b").hint("merge"), "order_id")
     assert "Exchange hashpartitioning" not in joined._jdf.queryExecution().executedPlan().toString()
     assert joined.count() == 100
+
+
+def test_jobs_from_the_command_line(layers, click_folder, tmp_path):
+    written = run(layers, parse(["sessions", "--input-path", str(click_folder), "--output-path", str(tmp_path / "s"), "--gap-minutes", "1"]))
+    assert written == 3
+    (tmp_path / "f.json").write_text(json.dumps([{"date": "2018-01-01", "base": "EUR", "quote": "USD", "rate": -1}]))
+    assert run(layers, parse(["fx", str(tmp_path / "f.json"), "--bronze", str(tmp_path / "b")])) == 1
+    results = {r.name: r.status for r in checks.run_violation_queries(layers).collect()}
+    assert results["reference_fx_positive"] == results["positive_fx_rates"] == "failed"
+    assert results["raw_olist_orders_not_null"] == "passed"
+    with pytest.raises(RuntimeError, match="violations"):
+        run(layers, parse(["quality", str(tmp_path / "report")]))
+    run(layers, parse(["quality", str(tmp_path / "report"), "--non-strict"]))
+    document = json.loads(next((tmp_path / "report" / "suite").glob("part-*.json")).read_text())
+    assert len(document["results"]) == 19

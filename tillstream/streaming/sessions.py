@@ -67,3 +67,21 @@ def write_closed_sessions(sessions: DataFrame, path: str, checkpoint: str, conti
         .trigger(**trigger)
         .start()
     )
+
+
+def click_messages(spark: SparkSession, servers: str, topic: str, group: str | None = None) -> DataFrame:
+    """Click events from a broker topic, from its earliest message on.
+
+    Needs the Kafka connector on the class path. Messages are keyed by event id, so the events
+    of a visitor arrive in any order; sessions go by event time.
+    """
+    reader = (
+        spark.readStream.format("kafka")
+        .option("kafka.bootstrap.servers", servers)
+        .option("subscribe", topic)
+        .option("startingOffsets", "earliest")
+    )
+    if group is not None:
+        reader = reader.option("kafka.group.id", group)
+    parsed = reader.load().select(F.from_json(F.col("value").cast("string"), CLICK_JSON).alias("event"))
+    return job_clicks(parsed.select("event.*"))
