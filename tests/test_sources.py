@@ -79,6 +79,8 @@ def test_weather_series_follow_the_listed_days(spark, tmp_path, rows):
         (date(2018, 1, 1), "a", Decimal("20.50"), Decimal("1.00")),
         (date(2018, 1, 2), "a", None, Decimal("2.00")),
     ]
+    merged = payloads.normalize_weather(payloads.read_weather_folder(spark, str(tmp_path)), loaded())
+    assert rows(merged.drop("ingested_at")) == rows(got)
 
 
 def test_products_from_answers(spark, tmp_path, rows):

@@ -21,8 +21,8 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
     products = job.add_parser("products", help="load product answers")
     products.add_argument("path")
     products.add_argument("--bronze", required=True)
-    weather = job.add_parser("weather", help="load daily weather, CITY=PATH for each city")
-    weather.add_argument("city_paths", nargs="+")
+    weather = job.add_parser("weather", help="load daily weather from a folder with one file per city")
+    weather.add_argument("folder")
     weather.add_argument("--bronze", required=True)
     fx = job.add_parser("fx", help="load exchange rates")
     fx.add_argument("path")
@@ -53,8 +53,7 @@ def run(spark, chosen: argparse.Namespace) -> object:
     if chosen.job == "products":
         return jobs.load_products(payloads.read_product_payloads(spark, chosen.path), chosen.bronze)
     if chosen.job == "weather":
-        cities = dict(pair.split("=", 1) for pair in chosen.city_paths)
-        return jobs.load_weather(payloads.read_weather_payloads(spark, cities), chosen.bronze)
+        return jobs.load_weather(payloads.read_weather_folder(spark, chosen.folder), chosen.bronze)
     if chosen.job == "fx":
         return jobs.load_fx(payloads.read_fx_payloads(spark, chosen.path), chosen.bronze)
     if chosen.job == "replay":

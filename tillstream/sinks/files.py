@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tillstream.operators.upserts import one_per_key, unseen
 
+LOGGER = logging.getLogger(__name__)
+
 
 def write_parquet(df: DataFrame, path: str) -> int:
     """Replace the files under ``path``; the count is taken while writing."""
@@ -36,6 +40,7 @@ def add_documents(df: DataFrame, path: str, key: str | None = None) -> int:
         df.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode("append").parquet(path)
         return counted.get["rows"]
     except Exception:
+        LOGGER.warning("documents were not stored under %s", path, exc_info=True)
         return 0
 
 

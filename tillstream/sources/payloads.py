@@ -27,7 +27,7 @@ def read_product_sample(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_weather_payloads(spark: SparkSession, city_paths: dict[str, str]) -> DataFrame:
-    """Daily series of several cities, one path each."""
+    """Daily series of a few named cities, one path each."""
     frames = [
         read_document(spark, path, WEATHER_PAYLOAD_JSON).withColumn("city", F.lit(city))
         for city, path in city_paths.items()
@@ -38,6 +38,12 @@ def read_weather_payloads(spark: SparkSession, city_paths: dict[str, str]) -> Da
     return merged
 
 
+def read_weather_folder(spark: SparkSession, folder: str) -> DataFrame:
+    """Daily series of any number of cities in one scan; each file is named after its city."""
+    series = read_document(spark, folder, WEATHER_PAYLOAD_JSON)
+    return series.withColumn("city", F.regexp_replace("_metadata.file_name", r"\.[^.]*$", ""))
+
+
 def read_fx_payloads(spark: SparkSession, path: str) -> DataFrame:
     return read_document(spark, path, FX_PAYLOAD_JSON)
 

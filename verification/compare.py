@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import os
 import sys
 import time
 
@@ -66,7 +67,9 @@ def main(folder: str, names: list[str]) -> int:
         SparkSession.builder.master("local[8]")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
+        .config("spark.sql.session.timeZone", os.environ.get("COMPARE_ZONE", "UTC"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
