@@ -224,8 +224,6 @@ def _behind(first: str, second: str, value: date | datetime | None, key: str) ->
     """Rows behind (value, key) when ordered by first descending nulls last, second ascending."""
     if value is None:
         return F.col(first).isNull() & (F.col(second) > key)
-    return (
-        F.col(first).isNull()
-        | (F.col(first) < F.lit(value))
-        | ((F.col(first) == F.lit(value)) & (F.col(second) > key))
-    )
+    # A wall-clock time must not pass through the zone of the session.
+    bound = F.lit(str(value)).cast("timestamp_ntz") if isinstance(value, datetime) else F.lit(value)
+    return F.col(first).isNull() | (F.col(first) < bound) | ((F.col(first) == bound) & (F.col(second) > key))
