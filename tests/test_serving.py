@@ -77,6 +77,15 @@ def test_session_pages(sessions):
     assert V.list_sessions(sessions, after=(datetime(2024, 1, 2), "v2-1")).first().session_key == "v1-1"
 
 
+def test_session_pages_ignore_the_zone_of_the_session(spark, sessions):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        assert V.list_sessions(sessions, after=(datetime(2024, 1, 2), "v2-1")).count() == 1
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 def test_kpis(orders):
     kpis = V.order_kpis(orders).first()
     assert (kpis.total_orders, kpis.total_revenue_brl, kpis.total_revenue_usd) == (3, 400.0, 0.0)

@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstream.functions.expressions import batch_id
+from tillstream.functions.expressions import batch_id, strip
 from tillstream.operators.sessions import SessionRule, summarize
 from tillstream.plans.marts import click_sessions, commerce_orders, orders_with_context, product_dimension
 from tillstream.plans.staging import Staging
@@ -32,7 +32,8 @@ def load_commerce(spark: SparkSession, folder: str, listed: Iterable[str] | None
 
 def load_products(payloads: DataFrame, bronze: str, store: str | None = None, fallback: bool = False) -> int:
     """Refresh the food products from answers; the accepted answers are kept as documents."""
-    kept = accepted_products(payloads).where(F.trim("product.code") != "")
+    code = strip(F.col("product.code"))
+    kept = accepted_products(payloads).where(code != "")
     return _load(
         payloads.sparkSession,
         "open_food_facts",
@@ -41,7 +42,7 @@ def load_products(payloads: DataFrame, bronze: str, store: str | None = None, fa
         normalize_products(payloads, F.current_timestamp()),
         lambda batch: envelope(
             kept,
-            [F.trim("product.code").alias("product_code")],
+            [code.alias("product_code")],
             F.lit(batch),
             _now_text(),
             F.struct("status", "product"),
