@@ -8,10 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import remainder, table
+from .decontamination import contaminated
 from .jaccard_join import jaccard_classes
+from .mixing import mix_sources
 from .quality_ranking import CUT, fit_quality, score_quality
 from .quality_rules import apply_rules, fit_rules
 from .text_stats import COUNTS
+from .token_blocks import token_output
 from .toxicity import fit_toxicity, score_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +35,12 @@ def all_sql() -> dict[str, str]:
     return dict(_SQL)
 
 
+@query
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.groupBy("doc_id", "item_id").agg(F.max("matched").alias("matched"), F.max("window").alias("window"))
+
+
 @query
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -52,9 +61,19 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_classes(table(spark, sf_dir, "documents"), width=4, percent=85)
 
 
+@query
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(table(spark, sf_dir, "documents"))
+
+
 @query
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = fit_toxicity(docs, table(spark, sf_dir, "labels"), where=remainder("doc_id", 4) != 2)
     held_out = (remainder("doc_id", 4) == 2).alias("held_out")
     return score_toxicity(docs, model).select("doc_id", held_out, "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query
+def op10_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_output(table(spark, sf_dir, "documents"))
