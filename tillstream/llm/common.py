@@ -92,6 +92,36 @@ def shingle_hashes(words: np.ndarray, width: int) -> np.ndarray:
     return mix(total + np.uint64(width))
 
 
+#: A bit filter has at most so many bits (16 MB), and at least so many for each key if they fit.
+FILTER_LOG2 = 27
+FILTER_BITS = 64
+
+
+def bit_filter(keys: DataFrame) -> tuple[np.ndarray, int]:
+    """(packed bits, logarithm of their number) of a filter over a column of 64-bit hashes.
+
+    Each hash sets two bits. The size is bounded; an overfull filter lets more through, it loses none.
+    """
+    name = keys.columns[0]
+    log2 = int(min(FILTER_LOG2, max(16, np.ceil(np.log2(FILTER_BITS * max(keys.count(), 1))))))
+    slots = [F.shiftrightunsigned(name, 64 - log2), F.shiftrightunsigned(name, 64 - 2 * log2).bitwiseAND(F.lit((1 << log2) - 1))]
+    slot = keys.select(F.explode(F.array(*slots)).alias("slot"))
+    rows = slot.groupBy(F.shiftright("slot", 6).alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(slot & 63 as int)))").alias("bits"))
+    found = rows.toPandas()
+    bits = np.zeros(1 << (log2 - 6), np.int64)
+    bits[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64)
+    return bits.view(np.uint8), log2
+
+
+def passing(bits: np.ndarray, log2: int, hashes: np.ndarray) -> np.ndarray:
+    """Indices of the hashes that both probes of the filter let through."""
+    at = np.arange(len(hashes))
+    for shift in (64 - log2, 64 - 2 * log2):
+        slot = (hashes[at] >> np.uint64(shift)) & np.uint64((1 << log2) - 1)
+        at = at[(bits[(slot >> np.uint64(3)).astype(np.int64)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1 == 1]
+    return at
+
+
 def remainder(column: str, modulus: int):
     """crc32 of an id as text, modulo ``modulus``; null ids give null."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % modulus

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, lists, mix, over_batches, stored, strings
+from .common import WordHashes, bit_filter, lists, mix, over_batches, passing, stored, strings
 
 #: Positions that count in a window of ten words.
 MASKS = ("1111001111", "1100111111", "1111110011")
@@ -26,8 +26,6 @@ SPAN = 10
 #: Words of the window that is verified, and the percentage of them that must agree.
 WINDOW = 20
 PERCENT = 80
-#: The filter has at most so many bits (16 MB).
-FILTER_LOG2 = 27
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 #: ASCII letters in lower case, other ASCII characters but digits as blanks.
@@ -54,15 +52,6 @@ def seeds(words: np.ndarray) -> np.ndarray:
     return out
 
 
-def passing(bits: np.ndarray, log2: int, hashes: np.ndarray) -> np.ndarray:
-    """Indices of the hashes that both probes of the filter let through."""
-    at = np.arange(len(hashes))
-    for shift in (64 - log2, 64 - 2 * log2):
-        slot = (hashes[at] >> np.uint64(shift)) & np.uint64((1 << log2) - 1)
-        at = at[(bits[(slot >> np.uint64(3)).astype(np.int64)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1 == 1]
-    return at
-
-
 def benchmark_seeds(benchmark: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(item, hash, offset): each seed of each item once."""
 
@@ -82,18 +71,6 @@ def benchmark_seeds(benchmark: DataFrame, id_col: str, text_col: str) -> DataFra
     return over_batches(benchmark.where(F.col(id_col).isNotNull()), [id_col, text_col], cut, f"item {kind}, hash long, offset long").distinct()
 
 
-def seed_filter(found: DataFrame) -> tuple[np.ndarray, int]:
-    """Bits of both probes of all seeds, packed; and the logarithm of their number."""
-    log2 = int(min(FILTER_LOG2, max(16, np.ceil(np.log2(64 * max(found.count(), 1))))))
-    slots = [F.shiftrightunsigned("hash", 64 - log2), F.shiftrightunsigned("hash", 64 - 2 * log2).bitwiseAND(F.lit((1 << log2) - 1))]
-    slot = found.select(F.explode(F.array(*slots)).alias("slot"))
-    rows = slot.groupBy(F.shiftright("slot", 3).alias("byte")).agg(F.expr("bit_or(1 << cast(slot & 7 as int))").alias("bits")).collect()
-    bits = np.zeros(1 << (log2 - 3), np.uint8)
-    for row in rows:
-        bits[row["byte"]] = row["bits"]
-    return bits, log2
-
-
 def find_hits(docs: DataFrame, bits: np.ndarray, log2: int, id_col: str, text_col: str) -> DataFrame:
     """(id, text_key, part, words, hits): stretches of documents around seeds that pass the filter."""
     sent = docs.sparkSession.sparkContext.broadcast(bits)
@@ -164,7 +141,7 @@ def contaminated(
     result row.
     """
     found = stored(benchmark_seeds(benchmark, item_col, item_text_col), "seeds")
-    bits, log2 = seed_filter(found)
+    bits, log2 = bit_filter(found.select("hash"))
     stretches = stored(find_hits(docs, bits, log2, id_col, text_col), "stretches")
     hits = stretches.select("part", F.explode(F.arrays_zip("ats", "hashes")).alias("hit")).select("part", "hit.ats", F.col("hit.hashes").alias("hash"))
     aligned = hits.join(found, "hash").select("part", "item", (F.col("ats") - F.col("offset")).alias("diagonal")).distinct()
