@@ -31,7 +31,9 @@ VERSION = 1
 BLOCK = 128
 PERCENTILE = 0.9
 #: Ids after which a file ends.
-FILE_IDS = 2_000_000
+FILE_IDS = 1 << 20
+#: Blocks that are packed or unpacked at a time.
+STEP = 1_024
 END_ID = 2
 
 
@@ -67,6 +69,13 @@ def unpack(words: np.ndarray, width: int) -> np.ndarray:
 
 def encode_blocks(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(block starts, words of the blocks)."""
+    parts = [_encode(ids[at : at + STEP * BLOCK]) for at in range(0, len(ids), STEP * BLOCK)] or [_encode(ids)]
+    before = np.concatenate([[0], np.cumsum([len(words) for _, words in parts])])
+    starts = np.concatenate([part + np.uint32(at) for (part, _), at in zip(parts, before)])
+    return starts, np.concatenate([words for _, words in parts])
+
+
+def _encode(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     count = -(-len(ids) // BLOCK)
     if not count:
         return np.zeros(0, np.uint32), np.zeros(0, np.uint32)
@@ -99,9 +108,12 @@ def encode_blocks(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def decode_blocks(starts: np.ndarray, words: np.ndarray) -> np.ndarray:
-    """Inverse of ``encode_blocks``."""
-    if not len(starts):
-        return np.zeros(0, np.uint32)
+    """Inverse of ``encode_blocks``; ``words`` may go on behind the blocks."""
+    parts = [_decode(starts[at : at + STEP], words) for at in range(0, len(starts), STEP)]
+    return np.concatenate(parts) if parts else np.zeros(0, np.uint32)
+
+
+def _decode(starts: np.ndarray, words: np.ndarray) -> np.ndarray:
     starts = starts.astype(np.int64)
     head = words[starts + 1].astype(np.int64)
     width, exceptions, held = head & 255, head >> 8 & 255, head >> 16
@@ -154,8 +166,9 @@ class Encoder:
     one after the other. Plain words are encoded many at a time and told apart by the ends of words.
     """
 
-    limit = 400_000
-    _plain = re.compile("[a-zà-öø-ÿ]+")
+    limit = 250_000
+    # Letters, then ASCII punctuation but the apostrophe: the tokenizer always cuts between the two.
+    _parts = re.compile(r"([a-zà-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -167,18 +180,26 @@ class Encoder:
         self.known: dict[bytes, bytes] = {}
 
     def learn(self, words: list[bytes]) -> None:
-        texts = [word.decode() for word in words]
-        plain = [i for i, text in enumerate(texts) if self._plain.fullmatch(text)]
+        split = {word: parts.groups() for word in words if (parts := self._parts.fullmatch(word.decode()))}
+        plain = [text for text in dict.fromkeys(letters for letters, _ in split.values()) if text.encode() not in self.known]
         for begin in range(0, len(plain), 200):
             some = plain[begin : begin + 200]
-            ids = np.array(self.tokenizer.encode(" ".join(texts[i] for i in some), add_special_tokens=False).ids, "<u4")
-            ends = np.flatnonzero(self.ends[ids]) + 1
+            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
+            ends = ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()
             if len(ends) == len(some):
-                for i, piece in zip(some, np.split(ids, ends[:-1])):
-                    self.known[words[i]] = piece.tobytes()
-        left = [i for i, word in enumerate(words) if word not in self.known]
-        for i, found in zip(left, self.tokenizer.encode_batch([texts[i] for i in left], add_special_tokens=False)):
-            self.known[words[i]] = np.array(found.ids, "<u4").tobytes()
+                raw = ids.tobytes()
+                self.known.update((text.encode(), raw[a:b]) for text, a, b in zip(some, [0, *ends], ends))
+        self.encode({letters for letters, _ in split.values()} | {marks for _, marks in split.values() if marks})
+        for word, (letters, marks) in split.items():
+            if marks:
+                self.known[word] = self.known[letters.encode()] + self.known[marks.encode()]
+        self.encode({word.decode() for word in words})
+
+    def encode(self, texts: set[str]) -> None:
+        """Look up by the tokenizer what is not known yet, each text on its own."""
+        new = [text for text in texts if text.encode() not in self.known]
+        for text, found in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
+            self.known[text.encode()] = np.array(found.ids, "<u4").tobytes()
 
     def ids(self, text: str | None) -> bytes:
         """Little-endian 32-bit ids of a text."""
