@@ -24,44 +24,46 @@ _GOLDEN = 0x9E3779B97F4A7C15
 
 
 class Powers:
-    """Powers of the hash's base, as many as asked for."""
+    """Powers of the hash's base and of its inverse, as many as asked for."""
 
     def __init__(self):
-        self.values = np.ones(1, np.uint64)
+        self.up = self.down = np.ones(1, np.uint64)
 
-    def upto(self, n: int) -> np.ndarray:
-        if len(self.values) <= n:
-            grown = np.full(max(n + 1, 2 * len(self.values)), _GOLDEN, np.uint64)
-            grown[0] = 1
-            self.values = np.multiply.accumulate(grown)
-        return self.values
+    def reach(self, n: int) -> None:
+        if len(self.up) <= n:
+            size = max(n + 1, 2 * len(self.up))
+            for name, base in (("up", _GOLDEN), ("down", pow(_GOLDEN, -1, 1 << 64))):
+                grown = np.full(size, base, np.uint64)
+                grown[0] = 1
+                setattr(self, name, np.multiply.accumulate(grown))
 
 
 def prefixes(words: np.ndarray, powers: Powers) -> np.ndarray:
     """Sums of words times powers for each prefix, the empty one first."""
-    return np.concatenate([[np.uint64(0)], np.cumsum(words * powers.upto(len(words))[: len(words)], dtype=np.uint64)])
+    n = len(words)
+    powers.reach(n)
+    out = np.zeros(n + 1, np.uint64)
+    np.cumsum(words * powers.up[:n], out=out[1:])
+    return out
 
 
 def line_hash(words: np.ndarray, powers: Powers) -> int:
-    total = prefixes(words, powers)[-1:]
-    return int(mix(total + np.uint64(len(words)))[0].view(np.int64))
+    return int(mix(prefixes(words, powers)[-1:] + np.uint64(len(words)))[0].view(np.int64))
 
 
-def variants(words: np.ndarray, powers: Powers) -> np.ndarray:
-    """Hash of the line without its i-th word, for each i; equal to ``line_hash`` of what is left."""
-    sums = prefixes(words, powers)
-    inverse = np.uint64(pow(_GOLDEN, -1, 1 << 64))
-    after = (sums[-1] - sums[1:]) * inverse
-    return mix(sums[:-1] + after + np.uint64(len(words) - 1)).view(np.int64)
+def variants(sums: np.ndarray, powers: Powers) -> np.ndarray:
+    """Hash of a line without its i-th word, for each i; equal to ``line_hash`` of what is left."""
+    after = (sums[-1] - sums[1:]) * powers.down[1]
+    return mix(sums[:-1] + after + np.uint64(len(sums) - 2)).view(np.int64)
 
 
-def halves(words: np.ndarray, powers: Powers) -> list[int]:
-    """Keys of the halves that survive one edit: first and last h words for both roundings of h."""
-    n, keys = len(words), []
-    for h in {n // 2, (n - 1) // 2}:
-        keys.append(line_hash(words[:h], powers) ^ (2 * h))
-        keys.append(line_hash(words[n - h :], powers) ^ (2 * h + 1))
-    return keys
+def halves(sums: np.ndarray, powers: Powers) -> np.ndarray:
+    """Keys of the halves of which one survives an edit: first and last h words, for both roundings of h."""
+    n = len(sums) - 1
+    h = np.array([n // 2, (n - 1) // 2] if n % 2 == 0 else [n // 2])
+    last = (sums[-1] - sums[n - h]) * powers.down[n - h]
+    both = np.concatenate([sums[h] + (2 * h).astype(np.uint64), last + (2 * h + 1).astype(np.uint64)])
+    return mix(mix(both)).view(np.int64)
 
 
 def near(a: list[bytes], b: list[bytes]) -> bool:
@@ -114,54 +116,57 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     lines = stored(over_batches(keyed, ["id", "text_key", "body"], cut, f"id {kind}, text_key long, line_no long, line long, words long"), "lines")
     firsts = stored(lines.groupBy("line").agg(F.min(_place()).alias("first"), F.min("words").alias("words")), "firsts")
 
-    def scan(fn, schema: str, bits=None, log2: int = 0):
-        """Run ``fn`` on the words of each long enough line once per task, if its hash passes."""
-        sent = docs.sparkSession.sparkContext.broadcast(bits)
+    def scan(fn, schema: str, filtered: tuple | None = None):
+        """Run ``fn`` on the long enough lines of each batch whose hash passes, once per task."""
+        sent = docs.sparkSession.sparkContext.broadcast(filtered)
 
         def run(batches):
             hashes, powers, seen = WordHashes(), Powers(), set()
             for batch in batches:
-                out = []
+                names, sums, kept = [], [], []
                 for text in binary(batch, "body"):
                     for line in (text or b"").split(b"\n"):
                         words = line.split()
                         if len(words) < least_words:
                             continue
-                        numbers = hashes.of(words)
-                        name = line_hash(numbers, powers)
-                        if name in seen or bits_pass(name):
-                            continue
-                        if len(seen) > 500_000:
-                            seen.clear()
-                        seen.add(name)
-                        out.append(fn(name, numbers, words, powers))
-                yield from out
-
-        def bits_pass(name):
-            return sent.value is not None and not len(passing(sent.value, log2, np.array([name]).view(np.uint64)))
-
-        return over_batches(keyed, ["body"], lambda batches: _merged(run(batches)), schema)
-
-    def halve(name, numbers, words, powers):
-        keys = halves(numbers, powers)
-        return pa.record_batch([pa.array(keys, pa.int64()), pa.array([name] * len(keys), pa.int64())], names=["half", "line"])
-
-    halved = scan(halve, "half long, line long")
+                        total = prefixes(hashes.of(words), powers)
+                        name = int(mix(total[-1:] + np.uint64(len(words)))[0].view(np.int64))
+                        if name not in seen:
+                            if len(seen) > 300_000:
+                                seen.clear()
+                            seen.add(name)
+                            names.append(name)
+                            sums.append(total)
+                            kept.append(line)
+                if sent.value is not None and names:
+                    at = passing(*sent.value, np.array(names, np.int64).view(np.uint64)).tolist()
+                    names, sums, kept = [names[i] for i in at], [sums[i] for i in at], [kept[i] for i in at]
+                if names:
+                    yield fn(names, sums, kept, powers)
+
+        return over_batches(keyed, ["body"], run, schema)
+
+    def flat(names, arrays, name):
+        return [pa.array(np.repeat(np.array(names, np.int64), [len(x) for x in arrays])), pa.array(np.concatenate(arrays))], ["line", name]
+
+    def halve(names, sums, kept, powers):
+        return pa.record_batch(*flat(names, [halves(x, powers) for x in sums], "half"))
+
+    halved = scan(halve, "line long, half long")
     common = halved.groupBy("half").agg(F.min("line").alias("low"), F.max("line").alias("high")).where("low <> high").select("half")
     chosen = stored(halved.join(common, "half").select("line").distinct(), "chosen")
-    bits, log2 = bit_filter(chosen.select("line"))
+    wanted = bit_filter(chosen.select("line"))
 
-    def vary(name, numbers, words, powers):
-        keys = variants(numbers, powers)
-        return pa.record_batch(
-            [pa.array([name] * len(keys), pa.int64()), pa.array(np.arange(len(keys))), pa.array(keys)], names=["line", "place", "variant"]
-        )
+    def vary(names, sums, kept, powers):
+        columns, titles = flat(names, [variants(x, powers) for x in sums], "variant")
+        places = np.concatenate([np.arange(len(x) - 1) for x in sums])
+        return pa.record_batch([*columns, pa.array(places)], names=[*titles, "place"])
 
-    def spell(name, numbers, words, powers):
-        return pa.record_batch([pa.array([name], pa.int64()), pa.array([b" ".join(words)], pa.binary())], names=["line", "content"])
+    def spell(names, sums, kept, powers):
+        return pa.record_batch([pa.array(names, pa.int64()), pa.array(kept, pa.binary())], names=["line", "content"])
 
     order = firsts.select("line", "first")
-    varied = scan(vary, "line long, place long, variant long", bits, log2).distinct().join(order, "line")
+    varied = scan(vary, "line long, variant long, place long", wanted).distinct().join(order, "line")
     varied = stored(varied, "variants")
     whole = chosen.join(order, "line").select(F.col("line").alias("variant"), "line", "first")
     # One word replaced: the same word left out of both.
@@ -171,7 +176,7 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     longer = varied.join(whole.select("variant", F.col("first").alias("other")), "variant").select("line", "first", "other")
     shorter = whole.join(varied.groupBy("variant").agg(F.min("first").alias("other")), "variant").select("line", "first", "other")
     pairs = stored(one.unionByName(longer).unionByName(shorter).where("other < first").select("line", F.col("other.line").alias("earlier")).distinct(), "pairs")
-    spelled = scan(spell, "line long, content binary", bits, log2).dropDuplicates(["line"])
+    spelled = scan(spell, "line long, content binary", wanted).dropDuplicates(["line"])
     spelled = stored(spelled.join(pairs.select(F.explode(F.array("line", "earlier")).alias("line")).distinct(), "line"), "spelled")
     both = pairs.join(spelled.select("line", F.col("content").alias("a")), "line").join(
         spelled.select(F.col("line").alias("earlier"), F.col("content").alias("b")), "earlier"
@@ -188,19 +193,6 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return marked.where(again | F.col("near")).select("id", "text_key", "line_no", F.coalesce(~again, F.lit(False)).alias("near"))
 
 
-def _merged(batches, rows: int = 20_000):
-    """Small record batches put together."""
-    held, count = [], 0
-    for batch in batches:
-        held.append(batch)
-        count += batch.num_rows
-        if count >= rows:
-            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
-            held, count = [], 0
-    if held:
-        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
-
-
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_words: int = LEAST_WORDS) -> DataFrame:
     """(id, n_lines, n_equal, n_near, text) per row: its lines with words, those dropped, and what is left.
 

@@ -111,7 +111,11 @@ def base_spans(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, body, a column of valid spans per kind)."""
     texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("body"))
     spans = with_spans(texts, PATTERNS, NEEDS)
-    return spans.select("id", "body", *(F.filter(f"{kind}_spans", lambda s, k=kind: valid(k, s)).alias(kind) for kind in KINDS))
+
+    def right(kind):
+        return F.filter(f"{kind}_spans", lambda span: valid(kind, span)).alias(kind)
+
+    return spans.select("id", "body", *map(right, KINDS))
 
 
 def proposals(found: DataFrame) -> DataFrame:
