@@ -162,3 +162,22 @@ def test_commerce_sample_sizes_and_repeatability(spark, rows):
     assert paid.join(owed, "order_id").where("payment_value <> v").count() == 0
     prices = sample["olist_order_items"].agg(F.min("price"), F.max("price")).first()
     assert prices[0] >= 15 and prices[1] <= 450
+
+
+def test_csv_columns_go_by_name(spark, tmp_path):
+    (tmp_path / "c.csv").write_text(
+        "customer_state,customer_id,customer_zip_code_prefix,customer_city\nSP,c1,14409,franca\nRJ,c2,,\n"
+    )
+    rows = [tuple(r) for r in files.read_table_csv(spark, str(tmp_path / "c.csv"), "olist_customers").collect()]
+    assert rows == [("c1", "franca", "SP"), ("c2", None, "RJ")]
+    (tmp_path / "d.csv").write_text("customer_id,customer_city\nc1,franca\n")
+    with pytest.raises(ValueError, match="customer_state"):
+        files.read_table_csv(spark, str(tmp_path / "d.csv"), "olist_customers")
+
+
+def test_progress_is_the_latest_time_not_the_last_text(spark):
+    from tillstream.sinks.files import progress_of
+
+    events = spark.createDataFrame([("2026-04-03T23:00:00-05:00",), ("2026-04-04T01:00:00Z",), ("bad",)], "event_ts string")
+    latest = progress_of(events, "replay", "x").selectExpr("cast(last_event_ts as string)").first()[0]
+    assert latest == "2026-04-04 04:00:00"

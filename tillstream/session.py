@@ -7,7 +7,7 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Settings every job relies on. A cluster's own settings win, see build_session.
+# Settings every job relies on; they replace the cluster's own. A keyword of build_session changes one.
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",

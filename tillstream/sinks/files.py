@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tillstream.operators.upserts import one_per_key, unseen
@@ -34,7 +34,7 @@ def add_documents(df: DataFrame, path: str, key: str | None = None) -> int:
     try:
         if key is not None:
             df = one_per_key(df, [key], [])
-            if _exists(df, path):
+            if exists(spark, path):
                 df = unseen(df, spark.read.schema(df.schema).parquet(path), [key])
         counted = Observation(f"documents of {path}")
         df.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode("append").parquet(path)
@@ -55,9 +55,15 @@ def write_kafka(messages: DataFrame, servers: str) -> None:
 
 
 def progress_of(normalized: DataFrame, mode: str, source: str) -> DataFrame:
-    """Progress record of a replay: number of records and greatest event time."""
+    """Progress record of a replay: number of records and greatest event time.
+
+    Times that are still text are parsed first: their order as text is not that of the times.
+    """
+    time = F.col("event_ts")
+    if dict(normalized.dtypes)["event_ts"] == "string":
+        time = F.try_to_timestamp(time)
     return normalized.agg(
-        F.count(F.lit(1)).alias("record_count"), F.max("event_ts").alias("last_event_ts")
+        F.count(F.lit(1)).alias("record_count"), F.max(time).alias("last_event_ts")
     ).select(
         F.lit(mode).alias("mode"),
         F.lit(source).alias("replay_source"),
@@ -67,6 +73,6 @@ def progress_of(normalized: DataFrame, mode: str, source: str) -> DataFrame:
     )
 
 
-def _exists(df: DataFrame, path: str) -> bool:
-    jvm_path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
-    return jvm_path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).exists(jvm_path)
+def exists(spark: SparkSession, path: str) -> bool:
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillstream.functions.expressions import lenient_timestamp
@@ -13,18 +13,24 @@ from tillstream.settings import COMMERCE_FILES
 
 
 def read_table_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """CSV with a header as the raw table ``table``; an unreadable time becomes null."""
+    """CSV with a header as the raw table ``table``.
+
+    Columns are taken by their names in the header, so their order and further columns don't matter;
+    a missing one is an error, and so are files of one folder with different headers. An unreadable
+    number or time becomes null.
+    """
     fields = [part.split(maxsplit=1) for part in _split_ddl(RAW_SCHEMAS[table])]
-    as_text = ", ".join(
-        f"{name} {'string' if kind == 'timestamp' else kind}" for name, kind in fields
-    )
-    scanned = spark.read.schema(as_text).option("header", True).csv(path)
-    return scanned.select(
-        *(
-            lenient_timestamp(F.col(name)).alias(name) if kind == "timestamp" else F.col(name)
-            for name, kind in fields
-        )
-    )
+    scanned = spark.read.option("header", True).option("enforceSchema", False).csv(path)
+    missing = [name for name, _ in fields if name not in scanned.columns]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+    return scanned.select(*(_from_text(name, kind).alias(name) for name, kind in fields))
+
+
+def _from_text(name: str, kind: str) -> Column:
+    if kind == "timestamp":
+        return lenient_timestamp(F.col(name))
+    return F.col(name) if kind == "string" else F.col(name).try_cast(kind)
 
 
 def wanted_files(listed: Iterable[str] | None) -> dict[str, str]:

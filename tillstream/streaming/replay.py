@@ -9,17 +9,18 @@ from pyspark.sql.streaming import StreamingQuery
 from tillstream.plans.insights import topic_counts
 from tillstream.schemas import CLICK_JSON
 from tillstream.settings import ReplayPlan
-from tillstream.sinks.files import add_documents, progress_of, write_json_lines, write_kafka, write_topics
+from tillstream.sinks.files import add_documents, exists, progress_of, write_json_lines, write_kafka, write_topics
 from tillstream.sinks.tables import refresh_raw
 from tillstream.sources.clicks import fan_out, normalize_clicks, replay_documents
 
 
-def start_replay(spark: SparkSession, plan: ReplayPlan, continuous: str | None = None, files_per_batch: int = 1_000) -> StreamingQuery:
+def start_replay(spark: SparkSession, plan: ReplayPlan, continuous: str | None = None, files_per_batch: int = 1_000, added: list[int] | None = None) -> StreamingQuery:
     """Start the replay of a folder of JSON lines, from the earliest file on.
 
     Without ``continuous`` it ends when all present files are done; with an interval it keeps
     waiting for more. Each batch writes to folders of its own, so a repeated batch replaces
-    its output. Order across files does not matter: sessions go by event time.
+    its output. Order across files does not matter: sessions go by event time. ``added`` gets the
+    number of documents each batch adds to the store.
     """
     events = (
         spark.readStream.schema(CLICK_JSON)
@@ -30,7 +31,9 @@ def start_replay(spark: SparkSession, plan: ReplayPlan, continuous: str | None =
     trigger = {"processingTime": continuous} if continuous else {"availableNow": True}
 
     def handle(batch: DataFrame, batch_number: int) -> None:
-        _handle_batch(batch, batch_number, plan, "continuous" if continuous else "replay")
+        count = _handle_batch(batch, batch_number, plan, "continuous" if continuous else "replay")
+        if added is not None:
+            added.append(count)
 
     return (
         events.writeStream.foreachBatch(handle)
@@ -41,16 +44,21 @@ def start_replay(spark: SparkSession, plan: ReplayPlan, continuous: str | None =
 
 
 def run_replay(spark: SparkSession, plan: ReplayPlan) -> dict[str, object]:
-    """Replay all present files, then load them into the raw table; counts of what was done."""
-    start_replay(spark, plan).awaitTermination()
+    """Replay all present files, then load them into the raw table; counts of what was done.
+
+    Without any event the counts are zero and the table keeps its rows.
+    """
+    added: list[int] = []
+    start_replay(spark, plan, added=added).awaitTermination()
+    if not exists(spark, f"{plan.output}/events"):
+        return {"record_count": 0, "table_rows": 0, "document_rows": 0, "topic_counts": {}}
     normalized = normalized_events(spark, plan)
     loaded = refresh_raw(normalized, "retailrocket_events", keep_if_empty=True)
     per_topic = {row["kafka_topic"]: row["row_count"] for row in topic_counts(normalized).collect()}
-    documents = spark.read.parquet(f"{plan.output}/documents").count()
     return {
         "record_count": sum(per_topic.values()),
         "table_rows": loaded,
-        "document_rows": documents,
+        "document_rows": sum(added),
         "topic_counts": per_topic,
     }
 
@@ -66,7 +74,7 @@ def dead_letters(spark: SparkSession, plan: ReplayPlan) -> DataFrame:
     return spark.read.parquet(f"{plan.output}/topics").where(F.col("topic") == plan.topics.default)
 
 
-def _handle_batch(batch: DataFrame, number: int, plan: ReplayPlan, mode: str) -> None:
+def _handle_batch(batch: DataFrame, number: int, plan: ReplayPlan, mode: str) -> int:
     events = batch.persist()
     try:
         normalized = normalize_clicks(events, plan.topics)
@@ -76,9 +84,10 @@ def _handle_batch(batch: DataFrame, number: int, plan: ReplayPlan, mode: str) ->
         if plan.kafka_servers:
             write_kafka(messages, plan.kafka_servers)
         write_topics(messages, f"{plan.output}/topics/batch={number}")
-        add_documents(documents, f"{plan.output}/documents", key="event_id")
+        added = add_documents(documents, f"{plan.output}/documents", key="event_id")
         write_json_lines(documents, f"{plan.output}/replays/{number}_raw")
         write_json_lines(normalized, f"{plan.output}/replays/{number}_normalized")
         write_json_lines(progress_of(normalized, mode, plan.source), f"{plan.output}/progress/batch={number}")
+        return added
     finally:
         events.unpersist()

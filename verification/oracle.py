@@ -318,6 +318,12 @@ MODEL_TESTS = "\nunion all\n".join(
 )
 
 QUERIES = {
+    "csv_orders": """
+        select o_orderkey as order_id, o_custkey as customer_id,
+               case o_orderstatus when 'F' then 'delivered' when 'O' then 'shipped' when 'P' then 'processing'
+                    else o_orderstatus end as order_status,
+               o_orderdate as order_purchase_timestamp
+        from orders""",
     "stg_orders": "select * from s_orders",
     "stg_order_items": """
         select order_id, cast(order_item_id as bigint) as order_item_id, product_id, seller_id,

@@ -25,6 +25,7 @@ from tillstream.sources import clicks as C
 from tillstream.sources import payloads as P
 from tillstream.sources import testbed as T
 from tillstream.sources.catalog import empty_table
+from tillstream.sources.files import read_table_csv
 from tillstream.streaming.sessions import session_stream, write_closed_sessions
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -90,6 +91,20 @@ def stg_orders(spark, folder):
     return G.stage_orders(T.raw_orders(spark, folder))
 
 
+@query
+def csv_orders(spark, folder):
+    """Orders written as CSV with other and further columns, read back by name."""
+    orders = T.raw_orders(spark, folder).withColumn("note", F.lit("x, y")).withColumn("order_channel", F.lit(7))
+    path = f"{shared_folder(spark)}/csv-orders-{uuid.uuid4().hex}"
+    orders.select(*sorted(orders.columns, reverse=True)).write.option("header", True).csv(path)
+    return read_table_csv(spark, path, "olist_orders").select(
+        F.col("order_id").cast("bigint").alias("order_id"),
+        F.col("customer_id").cast("bigint").alias("customer_id"),
+        "order_status",
+        F.col("order_purchase_timestamp").cast("timestamp_ntz").alias("order_purchase_timestamp"),
+    )
+
+
 @query
 def stg_order_items(spark, folder):
     return plain(G.stage_order_items(T.raw_order_items(spark, folder)))
