@@ -34,7 +34,7 @@ PRIOR = 1.0
 MARGIN = 2.0
 MOST = 8.0
 #: Entries of a model that are sent to the executors at most, 40 bytes each.
-MODEL_ROWS = 2_000_000
+MODEL_ROWS = 400_000
 #: Labelled ids that are broadcast at most; beyond it labels and documents are shuffled.
 LABEL_ROWS = 4_000_000
 #: Labelled documents of which the curve is fitted, left out of the counts.
@@ -93,16 +93,19 @@ class Model:
             return np.zeros(len(words))
         keys, word, depth = grams(words)
         p = np.full((2, len(word)), 1 / 256)
+        # What the context hands down was looked up where the context ended, one byte before.
+        blank = self.look(np.array([32 | 1 << 56], np.uint64))
+        root = self.look(np.zeros(1, np.uint64))
+        before = tuple(np.repeat(x, len(word)) for x in root)
         for k, key in enumerate(keys, 1):
-            inside = np.flatnonzero(depth >= k)
-            if k == 1:
-                context = np.full(len(inside), np.uint64(0))
-            else:
-                context = ((key[inside] & np.uint64(0x00FFFFFFFFFFFFFF)) >> np.uint64(8)) | (np.uint64(k - 1) << np.uint64(56))
-            at, found = self.look(context)
-            hand = np.where(found, self.rest[:, at], 1.0)
-            at, found = self.look(key[inside])
-            p[:, inside] = np.where(found, self.gain[:, at], 0.0) + hand * p[:, inside]
+            rest = np.where(before[1], self.rest[:, before[0]], 1.0)
+            # Many words share their n-grams: each is looked up once, in the order of the table.
+            names, where = np.unique(key, return_inverse=True)
+            at, found = (x[where] for x in self.look(names))
+            gain = np.where(found, self.gain[:, at], 0.0)
+            p = np.where(depth >= k, gain + rest * p, p)
+            first = blank if k == 1 else root
+            before = tuple(np.concatenate([f, x[:-1]]) for f, x in zip(first, (at, found)))
         return np.bincount(word, np.log(p[0]) - np.log(p[1]), len(words))
 
     def curve(self, evidence: np.ndarray, words: np.ndarray) -> np.ndarray:
@@ -113,23 +116,23 @@ class Model:
 class Evidence:
     """Length-normalised evidence of documents; words seen before are looked up."""
 
-    limit = 400_000
+    limit = 300_000
 
     def __init__(self, model: Model):
         self.model, self.known = model, {}
 
-    def of(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+    def of(self, texts: list[bytes | None], step: int = 200) -> tuple[np.ndarray, np.ndarray]:
         out, sizes = np.zeros(len(texts)), np.zeros(len(texts))
-        for i, text in enumerate(texts):
-            words = lowered(text)
-            if not words:
-                continue
+        for begin in range(0, len(texts), step):
+            some = [lowered(text) for text in texts[begin : begin + step]]
             if len(self.known) > self.limit:
                 self.known.clear()
-            new = [w for w in set(words) if w not in self.known]
+            new = [word for word in set().union(*some) if word not in self.known]
             self.known.update(zip(new, np.clip(self.model.words(new) - MARGIN, 0, MOST).tolist()))
-            out[i] = np.sqrt(sum(map(self.known.__getitem__, words)) / len(words))
-            sizes[i] = len(words)
+            for i, words in enumerate(some, begin):
+                if words:
+                    out[i] = np.sqrt(sum(map(self.known.__getitem__, words)) / len(words))
+                    sizes[i] = len(words)
         return out, sizes
 
 
