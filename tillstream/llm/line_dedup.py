@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, binary, bit_filter, mix, over_batches, passing, stored
+from .common import WordHashes, binary, bit_filter, lists, mix, over_batches, passing, stored
 
 #: Shorter lines are only compared as they are: a changed word is too large a part of them.
 LEAST_WORDS = 5
@@ -47,23 +47,42 @@ def prefixes(words: np.ndarray, powers: Powers) -> np.ndarray:
     return out
 
 
-def line_hash(words: np.ndarray, powers: Powers) -> int:
-    return int(mix(prefixes(words, powers)[-1:] + np.uint64(len(words)))[0].view(np.int64))
-
-
 def variants(sums: np.ndarray, powers: Powers) -> np.ndarray:
-    """Hash of a line without its i-th word, for each i; equal to ``line_hash`` of what is left."""
+    """Hash of a line without its i-th word, for each i; equal to the hash of a line that is what is left."""
     after = (sums[-1] - sums[1:]) * powers.down[1]
     return mix(sums[:-1] + after + np.uint64(len(sums) - 2)).view(np.int64)
 
 
-def halves(sums: np.ndarray, powers: Powers) -> np.ndarray:
-    """Keys of the halves of which one survives an edit: first and last h words, for both roundings of h."""
-    n = len(sums) - 1
-    h = np.array([n // 2, (n - 1) // 2] if n % 2 == 0 else [n // 2])
-    last = (sums[-1] - sums[n - h]) * powers.down[n - h]
-    both = np.concatenate([sums[h] + (2 * h).astype(np.uint64), last + (2 * h + 1).astype(np.uint64)])
-    return mix(mix(both)).view(np.int64)
+class Lines:
+    """The lines with words of a text: their numbers, sizes, hashes and the keys of their halves.
+
+    One running sum over all words gives the hash of any run of them.
+    """
+
+    def __init__(self, text: bytes | None, hashes: WordHashes, powers: Powers):
+        self.raw = (text or b"").split(b"\n")
+        split = [line.split() for line in self.raw]
+        self.numbers = np.array([i for i, words in enumerate(split) if words], np.int64)
+        self.sizes = np.array([len(words) for words in split if words], np.int64)
+        self.ends = self.sizes.cumsum()
+        self.powers = powers
+        self.sums = prefixes(hashes.of([word for words in split for word in words]), powers)
+        self.names = mix(self.run(self.ends - self.sizes, self.ends) + self.sizes.astype(np.uint64)).view(np.int64)
+
+    def run(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return (self.sums[end] - self.sums[begin]) * self.powers.down[begin]
+
+    def halves(self) -> np.ndarray:
+        """Keys of the first and last h words of each line, for both roundings of h: one edit spares one."""
+        begin, keys = self.ends - self.sizes, []
+        for h in (self.sizes // 2, (self.sizes - 1) // 2):
+            keys.append(mix(self.run(begin, begin + h)) + (2 * h).astype(np.uint64))
+            keys.append(mix(self.run(self.ends - h, self.ends)) + (2 * h + 1).astype(np.uint64))
+        return mix(np.stack(keys, axis=1)).view(np.int64)
+
+    def variants(self, i: int) -> np.ndarray:
+        begin, end = self.ends[i] - self.sizes[i], self.ends[i]
+        return variants((self.sums[begin : end + 1] - self.sums[begin]) * self.powers.down[begin], self.powers)
 
 
 def near(a: list[bytes], b: list[bytes]) -> bool:
@@ -98,75 +117,51 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     def cut(batches):
         hashes, powers = WordHashes(), Powers()
         for batch in batches:
-            rows, numbers, lines, sizes = [], [], [], []
-            for row, text in enumerate(binary(batch, "body")):
-                for number, line in enumerate((text or b"").split(b"\n")):
-                    words = line.split()
-                    if words:
-                        rows.append(row)
-                        numbers.append(number)
-                        lines.append(line_hash(hashes.of(words), powers))
-                        sizes.append(len(words))
-            at = pa.array(rows, pa.int64())
+            found = [Lines(text, hashes, powers) for text in binary(batch, "body")]
+            at = pa.array(np.repeat(np.arange(len(found)), [len(x.numbers) for x in found]))
+            columns = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in zip(*((x.numbers, x.names, x.sizes) for x in found))]
+            keys = np.concatenate([x.halves() for x in found]).ravel() if found else np.zeros(0, np.int64)
+            halves = pa.FixedSizeListArray.from_arrays(pa.array(keys), 4).cast(pa.list_(pa.int64()))
             yield pa.record_batch(
-                [batch.column(0).take(at), batch.column(1).take(at), pa.array(numbers, pa.int64()), pa.array(lines, pa.int64()), pa.array(sizes, pa.int64())],
-                names=["id", "text_key", "line_no", "line", "words"],
+                [batch.column(0).take(at), batch.column(1).take(at), *map(pa.array, columns), halves],
+                names=["id", "text_key", "line_no", "line", "words", "halves"],
             )
 
-    lines = stored(over_batches(keyed, ["id", "text_key", "body"], cut, f"id {kind}, text_key long, line_no long, line long, words long"), "lines")
+    found = over_batches(keyed, ["id", "text_key", "body"], cut, f"id {kind}, text_key long, line_no long, line long, words long, halves array<long>")
+    every = stored(found, "lines")
+    lines = every.select("id", "text_key", "line_no", "line", "words")
     firsts = stored(lines.groupBy("line").agg(F.min(_place()).alias("first"), F.min("words").alias("words")), "firsts")
 
-    def scan(fn, schema: str, filtered: tuple | None = None):
-        """Run ``fn`` on the long enough lines of each batch whose hash passes, once per task."""
-        sent = docs.sparkSession.sparkContext.broadcast(filtered)
-
-        def run(batches):
-            hashes, powers, seen = WordHashes(), Powers(), set()
-            for batch in batches:
-                names, sums, kept = [], [], []
-                for text in binary(batch, "body"):
-                    for line in (text or b"").split(b"\n"):
-                        words = line.split()
-                        if len(words) < least_words:
-                            continue
-                        total = prefixes(hashes.of(words), powers)
-                        name = int(mix(total[-1:] + np.uint64(len(words)))[0].view(np.int64))
-                        if name not in seen:
-                            if len(seen) > 300_000:
-                                seen.clear()
-                            seen.add(name)
-                            names.append(name)
-                            sums.append(total)
-                            kept.append(line)
-                if sent.value is not None and names:
-                    at = passing(*sent.value, np.array(names, np.int64).view(np.uint64)).tolist()
-                    names, sums, kept = [names[i] for i in at], [sums[i] for i in at], [kept[i] for i in at]
-                if names:
-                    yield fn(names, sums, kept, powers)
-
-        return over_batches(keyed, ["body"], run, schema)
-
-    def flat(names, arrays, name):
-        return [pa.array(np.repeat(np.array(names, np.int64), [len(x) for x in arrays])), pa.array(np.concatenate(arrays))], ["line", name]
-
-    def halve(names, sums, kept, powers):
-        return pa.record_batch(*flat(names, [halves(x, powers) for x in sums], "half"))
-
-    halved = scan(halve, "line long, half long")
+    long_enough = every.where(F.col("words") >= least_words)
+    halved = stored(long_enough.select("line", F.explode("halves").alias("half")).distinct(), "halves")
     common = halved.groupBy("half").agg(F.min("line").alias("low"), F.max("line").alias("high")).where("low <> high").select("half")
     chosen = stored(halved.join(common, "half").select("line").distinct(), "chosen")
-    wanted = bit_filter(chosen.select("line"))
-
-    def vary(names, sums, kept, powers):
-        columns, titles = flat(names, [variants(x, powers) for x in sums], "variant")
-        places = np.concatenate([np.arange(len(x) - 1) for x in sums])
-        return pa.record_batch([*columns, pa.array(places)], names=[*titles, "place"])
+    sent = docs.sparkSession.sparkContext.broadcast(bit_filter(chosen.select("line")))
 
-    def spell(names, sums, kept, powers):
-        return pa.record_batch([pa.array(names, pa.int64()), pa.array(kept, pa.binary())], names=["line", "content"])
+    def vary(batches):
+        """Whole lines and their variants, each line whose hash passes once per task."""
+        hashes, powers, seen = WordHashes(), Powers(), set()
+        for batch in batches:
+            names, contents, keys = [], [], []
+            for text in binary(batch, "body"):
+                lines = Lines(text, hashes, powers)
+                for i in passing(*sent.value, lines.names.view(np.uint64)).tolist():
+                    name = int(lines.names[i])
+                    if lines.sizes[i] >= least_words and name not in seen:
+                        if len(seen) > 300_000:
+                            seen.clear()
+                        seen.add(name)
+                        names.append(name)
+                        contents.append(lines.raw[lines.numbers[i]])
+                        keys.append(lines.variants(i))
+            yield pa.record_batch(
+                [pa.array(names, pa.int64()), pa.array(contents, pa.binary()), lists(keys, pa.int64())], names=["line", "content", "variants"]
+            )
 
+    spelled = over_batches(keyed, ["body"], vary, "line long, content binary, variants array<long>").dropDuplicates(["line"])
+    spelled = stored(spelled, "spelled")
     order = firsts.select("line", "first")
-    varied = scan(vary, "line long, variant long, place long", wanted).distinct().join(order, "line")
+    varied = spelled.select("line", F.posexplode("variants").alias("place", "variant")).join(order, "line")
     varied = stored(varied, "variants")
     whole = chosen.join(order, "line").select(F.col("line").alias("variant"), "line", "first")
     # One word replaced: the same word left out of both.
@@ -176,8 +171,6 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     longer = varied.join(whole.select("variant", F.col("first").alias("other")), "variant").select("line", "first", "other")
     shorter = whole.join(varied.groupBy("variant").agg(F.min("first").alias("other")), "variant").select("line", "first", "other")
     pairs = stored(one.unionByName(longer).unionByName(shorter).where("other < first").select("line", F.col("other.line").alias("earlier")).distinct(), "pairs")
-    spelled = scan(spell, "line long, content binary", wanted).dropDuplicates(["line"])
-    spelled = stored(spelled.join(pairs.select(F.explode(F.array("line", "earlier")).alias("line")).distinct(), "line"), "spelled")
     both = pairs.join(spelled.select("line", F.col("content").alias("a")), "line").join(
         spelled.select(F.col("line").alias("earlier"), F.col("content").alias("b")), "earlier"
     )
