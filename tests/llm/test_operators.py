@@ -377,7 +377,7 @@ def test_token_files(spark, documents, odd, empty, tmp_path):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(B.tokenizer_path("word_bpe_49k.json"))
-    frame = documents.select("doc_id", "text").unionByName(odd.select("doc_id", "text").where("doc_id > 2 and doc_id < 9").selectExpr("doc_id + 70000", "text"))
+    frame = documents.select("doc_id", "text").unionByName(odd.select("doc_id", "text").where("doc_id > 2 and doc_id < 9").selectExpr("doc_id + 70000 as doc_id", "text"))
     start, want = 0, []
     for name, text in sorted(texts(frame)):
         ids = np.array(tokenizer.encode(text or "", add_special_tokens=False).ids + [2], "<u4")
