@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillstream.operators import sessions as S
+from tillstream.plans import insights as I
 from tillstream.plans import marts as M
 from tillstream.plans import serving as V
 from tillstream.plans import staging as G
@@ -114,12 +115,23 @@ def test_hot_keys_are_split(spark, settings, tmp_path, hot):
     assert "skew=true" in plan_of(context)
 
 
-def test_large_weather_is_not_broadcast(spark):
+def test_building_the_order_mart_starts_no_job(spark):
+    spark.sparkContext.setJobGroup("build-orders", "")
+    try:
+        I.category_state_matrix(M.commerce_orders(M.orders_with_context(T.staged(spark, FOLDER))), ["ASIA", "EUROPE"])
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("build-orders")
+    finally:
+        for name in ("spark.jobGroup.id", "spark.job.description"):
+            spark.sparkContext.setLocalProperty(name, None)
+
+
+def test_join_strategy_follows_the_size_check(spark, settings):
     staging = T.staged(spark, FOLDER)
-    small = plan_of(M.orders_with_context(staging, broadcast_rows=10_000_000))
-    large = plan_of(M.orders_with_context(staging, broadcast_rows=1))
-    assert "avg_temperature_c" in small
-    assert large.count("SortMergeJoin") >= small.count("SortMergeJoin") + 2
+    settings(spark__sql__autoBroadcastJoinThreshold="-1")
+    plan = plan_of(M.orders_with_context(staging).select("order_id", "avg_temperature_c", "brl_to_usd_fx_rate"))
+    assert "avg_temperature_c" in plan
+    assert not [line for line in plan.splitlines() if "BroadcastHashJoin" in line and "order_date" in line]
+    assert [line for line in plan.splitlines() if "SortMergeJoin" in line and "order_date" in line]
 
 
 @pytest.mark.parametrize("name", sorted(all_queries()))

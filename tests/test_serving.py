@@ -102,7 +102,7 @@ def test_empty_input_gives_zeros_or_no_rows(orders, sessions):
     assert I.session_insights(none).count() == 0
     assert I.event_histogram(none).count() == 0
     assert I.order_trend(nothing, "week").count() == 0
-    assert I.category_state_matrix(nothing).count() == 0
+    assert I.category_state_matrix(nothing, ["SP"]).count() == 0
     assert [row.total for row in I.funnel_steps(none).collect()] == [0, 0, 0]
 
 
@@ -127,6 +127,9 @@ def test_session_reports(sessions):
         ("Transactions", 1, 25.0),
     ]
     assert [row[:] for row in I.event_histogram(sessions, 2).collect()] == [(1, 1), (2, 1)]
+    parts = [row[:] for row in I.event_histogram(sessions, 20).collect()]
+    assert [place for place, _ in parts] == list(range(1, 21))
+    assert sum(n for _, n in parts) == 2 and max(n for _, n in parts) == 1
 
 
 def test_counts_and_tops_leave_out_null(patchy):
@@ -144,19 +147,12 @@ def test_trends_and_matrix(patchy, rows):
     ]
     assert I.order_trend(patchy, "month").count() == 1
     assert rows(I.category_trend(patchy, "month"))[0] == (date(2018, 1, 1), "audio", 350.0)
-    wide = I.category_state_matrix(patchy)
+    wide = I.category_state_matrix(patchy, ["RJ", "SP"])
     assert wide.columns == ["product_category_name", "RJ", "SP"]
     assert rows(wide) == [("audio", 350.0, 0.0), ("electronics", 0.0, 350.0), ("toys", 50.0, 0.0)]
     assert I.category_state_matrix(patchy, ["SP", "MG"]).columns[1:] == ["SP", "MG"]
 
 
-def test_too_many_states_for_a_matrix(patchy, monkeypatch):
-    monkeypatch.setattr(I, "MATRIX_COLUMNS", 1)
-    with pytest.raises(ValueError):
-        I.category_state_matrix(patchy)
-    assert I.category_state_long(patchy).count() == 3
-
-
 def test_serving_frames_are_completed(spark, sessions):
     products = spark.createDataFrame([("k", "toys")], "product_key string, category string")
     assert V.serving_products(products).first().product_category_name == "toys"

@@ -10,9 +10,6 @@ from pyspark.sql import functions as F
 from tillstream.functions.expressions import count_of, period_start, share_pct
 from tillstream.plans.serving import order_kpis
 
-# A wide matrix gets one column per value, so the values must be few.
-MATRIX_COLUMNS = 1_000
-
 
 def kpi_block(filtered_orders: DataFrame) -> DataFrame:
     """The headline figures of a filtered set of orders."""
@@ -89,20 +86,13 @@ def category_state_long(orders: DataFrame) -> DataFrame:
     )
 
 
-def category_state_matrix(orders: DataFrame, states: Sequence[str] | None = None) -> DataFrame:
-    """Revenue per category with one column per state, empty cells zero.
+def category_state_matrix(orders: DataFrame, states: Sequence[str]) -> DataFrame:
+    """Revenue per category with one column for each of ``states``, empty cells zero.
 
-    Without ``states`` they are looked up; more than a matrix can show is an error, for which
-    ``category_state_long`` is the way.
+    Where the states are not known beforehand, ``category_state_long`` gives all of them as rows.
     """
-    cells = category_state_long(orders)
-    if states is None:
-        found = cells.select("customer_state").distinct().limit(MATRIX_COLUMNS + 1).collect()
-        if len(found) > MATRIX_COLUMNS:
-            raise ValueError(f"more than {MATRIX_COLUMNS} states, use category_state_long")
-        states = sorted(row[0] for row in found)
     return (
-        cells.groupBy("product_category_name")
+        category_state_long(orders).groupBy("product_category_name")
         .pivot("customer_state", list(states))
         .agg(F.sum("revenue_brl"))
         .na.fill(0.0)
@@ -208,20 +198,25 @@ def funnel_steps(sessions: DataFrame) -> DataFrame:
 
 
 def event_histogram(sessions: DataFrame, bins: int = 20) -> DataFrame:
-    """Sessions per bin of their event count, equal bins over the observed range.
+    """Sessions per bin of their event count, equal bins over the observed range, empty ones too.
 
-    The sessions are first reduced to one row per distinct event count.
+    The sessions are first reduced to one row per distinct event count. No row for empty input.
     """
     sizes = sessions.where(F.col("event_count").isNotNull()).groupBy("event_count").agg(
         F.count(F.lit(1)).alias("sessions")
     )
     low = sizes.agg(F.min("event_count")).scalar()
     high = sizes.agg(F.max("event_count") + 1).scalar()
-    return (
+    counted = (
         sizes.groupBy(
             F.width_bucket(F.col("event_count").cast("double"), low.cast("double"), high.cast("double"), F.lit(bins)).alias("bin")
         )
         .agg(F.sum("sessions").alias("session_count"))
+    )
+    every = sessions.sparkSession.range(1, bins + 1).select(F.col("id").alias("bin")).where(low.isNotNull())
+    return (
+        every.join(counted, "bin", "left")
+        .select("bin", F.coalesce("session_count", F.lit(0)).alias("session_count"))
         .orderBy("bin")
     )
 

@@ -8,10 +8,6 @@ from pyspark.sql import functions as F
 from tillstream.functions.expressions import MONEY, cross_rate, order_value
 from tillstream.operators.sessions import SessionRule, summarize
 from tillstream.plans.staging import Staging
-from tillstream.session import hinted, join_hints
-
-# Weather and rates are broadcast up to this many rows; beyond it the join shuffles.
-BROADCAST_ROWS = 1_000_000
 
 ORDER_COLUMNS = [
     "order_id",
@@ -84,12 +80,13 @@ def cross_rates(fx_rates: DataFrame) -> DataFrame:
     )
 
 
-def orders_with_context(staging: Staging, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+def orders_with_context(staging: Staging) -> DataFrame:
     """Orders with items, payments, customer, main product, weather and exchange rate.
 
     Items and payments are reduced to one row per order before they are joined, so no join
-    multiplies orders. Both sides of every shuffled join are plain shuffles, which lets AQE
-    split a hot order, customer, product or day over several tasks.
+    multiplies orders. Sides reduced by an aggregate get a shuffle of their own behind it, so both
+    sides of every shuffled join are plain shuffles, which lets AQE split a hot order, customer,
+    product or day over several tasks. Which side is broadcast is left to Spark's size check.
     """
     orders = staging.orders.select(
         "order_id",
@@ -108,15 +105,14 @@ def orders_with_context(staging: Staging, broadcast_rows: int = BROADCAST_ROWS)
         "precipitation_mm",
     )
     rates = cross_rates(staging.fx_rates).withColumnRenamed("rate_date", "order_date")
-    hints = join_hints({"weather": staging.weather, "rates": staging.fx_rates}, broadcast_rows)
     totals = order_totals(staging.order_items, staging.order_payments)
     nothing = F.lit(0).cast(MONEY)
     return (
         orders.join(totals.repartition("order_id"), "order_id", "left")
         .join(staging.customers, "customer_id", "left")
         .join(products, "primary_product_id", "left")
-        .join(hinted(weather, hints["weather"], "order_date", "customer_city"), ["order_date", "customer_city"], "left")
-        .join(hinted(rates, hints["rates"], "order_date"), "order_date", "left")
+        .join(weather, ["order_date", "customer_city"], "left")
+        .join(rates.repartition("order_date"), "order_date", "left")
         .select(
             "order_id",
             "customer_id",

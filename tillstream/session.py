@@ -5,7 +5,6 @@ from __future__ import annotations
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # Settings every job relies on; they replace the cluster's own. A keyword of build_session changes one.
 DEFAULTS = {
@@ -55,21 +54,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and continue from there."""
     shared_folder(df.sparkSession)
     return df.checkpoint()
-
-
-def join_hints(bounds: dict[str, DataFrame], max_rows: int) -> dict[str, str]:
-    """How to join each named side, given a frame that bounds its rows.
-
-    One job counts them. A side of at most ``max_rows`` is broadcast; beyond it the join
-    shuffles both sides and AQE splits hot keys.
-    """
-    counted = None
-    for name, frame in bounds.items():
-        rows = frame.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("side"), "rows")
-        counted = rows if counted is None else counted.unionByName(rows)
-    return {row["side"]: "broadcast" if row["rows"] <= max_rows else "merge" for row in counted.collect()}
-
-
-def hinted(df: DataFrame, hint: str, *keys: str) -> DataFrame:
-    """Side of a join under its hint; for a shuffled join its last step is a plain shuffle."""
-    return df.hint(hint) if hint == "broadcast" else df.repartition(*keys).hint(hint)
