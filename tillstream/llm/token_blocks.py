@@ -13,9 +13,11 @@ their positions as bytes. The width is the one that 90 % of the block's values f
 
 from __future__ import annotations
 
+import os
 import re
 import uuid
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +37,8 @@ FILE_IDS = 1 << 20
 #: Blocks that are packed or unpacked at a time.
 STEP = 1_024
 END_ID = 2
+#: Characters of the texts whose new words are learned at a time.
+GROUP = 200_000
 
 
 def bit_lengths(values: np.ndarray) -> np.ndarray:
@@ -164,13 +168,17 @@ class Encoder:
 
     The tokenizer drops white space and never joins across it, so a text's ids are those of its words
     one after the other. Plain words are encoded many at a time and told apart by the ends of words.
+    Known words are kept in two generations: one that is met again moves to the younger one, the
+    others are forgotten when the younger one is full.
     """
 
-    limit = 250_000
+    limit = 150_000
     # Letters, then ASCII punctuation but the apostrophe: the tokenizer always cuts between the two.
-    _parts = re.compile(r"([a-zà-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+    _parts = re.compile(r"^(?:([a-zß-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)|.+)$", re.MULTILINE)
 
     def __init__(self, path: str):
+        # Spark runs a task per core; threads of the tokenizer would only get in its way.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -178,40 +186,61 @@ class Encoder:
         self.ends = np.zeros(max(self.tokenizer.get_vocab_size(), max(ends, default=0) + 1), bool)
         self.ends[ends] = True
         self.known: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+
+    def unknown(self, words) -> list[bytes]:
+        """Those of the words in neither generation; others move to the younger one."""
+        out = []
+        for word in words:
+            if word not in self.known:
+                found = self.old.get(word)
+                if found is None:
+                    out.append(word)
+                else:
+                    self.known[word] = found
+        return out
 
     def learn(self, words: list[bytes]) -> None:
-        split = {word: parts.groups() for word in words if (parts := self._parts.fullmatch(word.decode()))}
-        plain = [text for text in dict.fromkeys(letters for letters, _ in split.values()) if text.encode() not in self.known]
-        for begin in range(0, len(plain), 200):
-            some = plain[begin : begin + 200]
-            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
+        split = self._parts.findall(b"\n".join(words).decode())
+        plain = self.unknown({letters.encode() for letters, _ in split if letters})
+        for begin in range(0, len(plain), 500):
+            some = plain[begin : begin + 500]
+            ids = np.array(self.tokenizer.encode_batch_fast([b" ".join(some).decode()], add_special_tokens=False)[0].ids, "<u4")
             ends = ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()
             if len(ends) == len(some):
                 raw = ids.tobytes()
-                self.known.update((text.encode(), raw[a:b]) for text, a, b in zip(some, [0, *ends], ends))
-        self.encode({letters for letters, _ in split.values()} | {marks for _, marks in split.values() if marks})
-        for word, (letters, marks) in split.items():
+                self.known.update((text, raw[a:b]) for text, a, b in zip(some, [0, *ends], ends))
+            else:
+                self.encode(some)
+        self.encode(self.unknown({marks.encode() for _, marks in split if marks}))
+        known, odd = self.known, []
+        for word, (letters, marks) in zip(words, split):
             if marks:
-                self.known[word] = self.known[letters.encode()] + self.known[marks.encode()]
-        self.encode({word.decode() for word in words})
-
-    def encode(self, texts: set[str]) -> None:
-        """Look up by the tokenizer what is not known yet, each text on its own."""
-        new = [text for text in texts if text.encode() not in self.known]
-        for text, found in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-            self.known[text.encode()] = np.array(found.ids, "<u4").tobytes()
-
-    def ids(self, text: str | None) -> bytes:
-        """Little-endian 32-bit ids of a text."""
-        text = text or ""
+                known[word] = known[letters.encode()] + known[marks.encode()]
+            elif not letters:
+                odd.append(word)
+        self.encode(self.unknown(odd))
+
+    def encode(self, texts: list[bytes]) -> None:
+        """Look up by the tokenizer, each text on its own."""
+        found = self.tokenizer.encode_batch_fast([text.decode() for text in texts], add_special_tokens=False)
+        self.known.update((text, np.array(x.ids, "<u4").tobytes()) for text, x in zip(texts, found))
+
+    def ids(self, texts: list[str | None]) -> list[bytes]:
+        """Little-endian 32-bit ids of each text."""
         # Python lowers a final capital sigma by its place in the word, the tokenizer does not.
-        words = (text if "Σ" in text else text.lower()).encode().split()
+        split = [(text if "Σ" in text else text.lower()).encode().split() for text in (text or "" for text in texts)]
         if len(self.known) > self.limit:
-            self.known.clear()
-        new = [word for word in dict.fromkeys(words) if word not in self.known]
-        if new:
+            self.known, self.old = {}, self.known
+        if new := self.unknown(set().union(*split)):
             self.learn(new)
-        return b"".join(map(self.known.__getitem__, words))
+        return [b"".join(map(self.known.__getitem__, words)) for words in split]
+
+    def each(self, texts: list[str | None]) -> Iterator[bytes]:
+        """Ids of each text, some texts at a time; a group ends at ``GROUP`` characters."""
+        ends = np.cumsum([len(text or "") for text in texts]) // GROUP
+        for some in np.split(np.arange(len(texts)), np.flatnonzero(np.diff(ends)) + 1):
+            yield from self.ids([texts[i] for i in some])
 
 
 def tokenizer_path(name: str) -> str:
@@ -253,12 +282,11 @@ def write_token_files(
 
         for batch in batches:
             kind = batch.column(0).type
-            for name, text in zip(batch.column(0).to_pylist(), strings(batch, "body")):
-                piece = encoder.ids(text) + end
+            for name, piece in zip(batch.column(0).to_pylist(), encoder.each(strings(batch, "body"))):
                 names.append(name)
-                sizes.append(len(piece) // 4)
-                pieces.append(piece)
-                held += len(piece) // 4
+                sizes.append(len(piece) // 4 + 1)
+                pieces += (piece, end)
+                held += sizes[-1]
                 if held >= file_ids:
                     yield file()
                     names, sizes, pieces, held, number = [], [], [], 0, number + 1
