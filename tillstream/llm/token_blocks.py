@@ -38,7 +38,7 @@ FILE_IDS = 1 << 20
 STEP = 1_024
 END_ID = 2
 #: Characters of the texts whose new words are learned at a time.
-GROUP = 200_000
+GROUP = 1_000_000
 
 
 def bit_lengths(values: np.ndarray) -> np.ndarray:
@@ -172,7 +172,7 @@ class Encoder:
     others are forgotten when the younger one is full.
     """
 
-    limit = 150_000
+    limit = 250_000
     # Letters, then ASCII punctuation but the apostrophe: the tokenizer always cuts between the two.
     _parts = re.compile(r"^(?:([a-zß-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)|.+)$", re.MULTILINE)
 
@@ -188,17 +188,13 @@ class Encoder:
         self.known: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
-    def unknown(self, words) -> list[bytes]:
-        """Those of the words in neither generation; others move to the younger one."""
-        out = []
-        for word in words:
-            if word not in self.known:
-                found = self.old.get(word)
-                if found is None:
-                    out.append(word)
-                else:
-                    self.known[word] = found
-        return out
+    def unknown(self, words: set[bytes]) -> list[bytes]:
+        """Those of the words in neither generation; words of the older one move to the younger."""
+        new, old = words.difference(self.known), self.old
+        if not old:
+            return list(new)
+        self.known.update((word, old[word]) for word in new if word in old)
+        return list(new.difference(old))
 
     def learn(self, words: list[bytes]) -> None:
         split = self._parts.findall(b"\n".join(words).decode())
@@ -213,13 +209,11 @@ class Encoder:
             else:
                 self.encode(some)
         self.encode(self.unknown({marks.encode() for _, marks in split if marks}))
-        known, odd = self.known, []
+        known = self.known
         for word, (letters, marks) in zip(words, split):
             if marks:
                 known[word] = known[letters.encode()] + known[marks.encode()]
-            elif not letters:
-                odd.append(word)
-        self.encode(self.unknown(odd))
+        self.encode(self.unknown({word for word, (letters, _) in zip(words, split) if not letters}))
 
     def encode(self, texts: list[bytes]) -> None:
         """Look up by the tokenizer, each text on its own."""
