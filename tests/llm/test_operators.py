@@ -312,6 +312,15 @@ def test_grams_and_their_probabilities():
     assert word.tolist() == [0, 0, 0, 1, 1] and depth.tolist() == [2, 3, 4, 2, 3]
 
 
+def test_labels_beyond_the_curve_are_counted(spark, documents, labels, monkeypatch):
+    seen, count = [], X.count_grams
+    monkeypatch.setattr(X, "CURVE_ROWS", 2)
+    monkeypatch.setattr(X, "count_grams", lambda docs, known, *names: seen.append(known.count()) or count(docs, known, *names))
+    usable = labels.where("doc_id is not null and toxic is not null").select("doc_id").distinct().count()
+    X.fit_toxicity(documents, labels)
+    assert seen == [usable - 2]
+
+
 def test_toxicity_of_odd_rows(odd, empty, labels):
     model = X.fit_toxicity(odd, labels)
     assert all(0 <= r["score"] <= 1 for r in X.score_toxicity(odd, model).collect())

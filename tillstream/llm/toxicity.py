@@ -1,6 +1,7 @@
 """Toxicity: class-conditional Kneser-Ney models of the letters in words.
 
-Two models, of toxic and of ordinary documents, are counted over all labelled documents. A word's
+Two models, of toxic and of ordinary documents, are counted over all labelled documents but the few
+of the curve. A word's
 probability is the product of its bytes' probabilities, each given the bytes before it in the word.
 Interpolated Kneser-Ney smoothing discounts the class counts and hands the rest to the next shorter
 context. Contexts shorter than ``SHARED`` use the counts of both classes together, so rare
@@ -222,17 +223,18 @@ def fit_toxicity(
     text_col: str = "text",
     model_rows: int = MODEL_ROWS,
 ) -> Model:
-    """Models of both classes from all labelled documents that ``where`` holds for.
+    """Models of both classes from the labelled documents that ``where`` holds for.
 
-    The n-grams of all of them are counted. If more than ``model_rows`` n-grams are found, the
+    An eighth of them, ``CURVE_ROWS`` at most, gives the curve from evidence to score and is kept out
+    of the counts; the n-grams of all others are counted. If more than ``model_rows`` n-grams are found, the
     smallest cut-off of counts is applied under which those of three bytes or more fit; n-grams
-    below it are left to the shorter contexts. A bounded set of at most ``CURVE_ROWS`` labelled
-    documents is kept out of the counts and gives the curve from evidence to score. Without labels
-    of both classes the score is the share of toxic labels.
+    below it are left to the shorter contexts. Without labels of both classes the score is the share of toxic labels.
     """
     known = clean_labels(labels, label, id_col, where)
+    order = [F.xxhash64("sample_id", F.lit(1)), F.col("sample_id")]
     aside = F.pmod(F.xxhash64("sample_id"), F.lit(8)) == 0
-    counted = sized(stored(known.where(~aside), "labels"), LABEL_ROWS)
+    ids = stored(known.where(aside).orderBy(*order).limit(CURVE_ROWS), "curve")
+    counted = sized(stored(known.join(F.broadcast(ids.select("sample_id")), "sample_id", "left_anti"), "labels"), LABEL_ROWS)
     table = stored(count_grams(docs, counted, id_col, text_col), "grams")
     least = 1
     kept = table
@@ -246,8 +248,6 @@ def fit_toxicity(
     if len(rows):
         parts = smoothed(rows["gram"].to_numpy().astype(np.int64).view(np.uint64), rows["toxic"].to_numpy(), rows["ordinary"].to_numpy())
         model = Model(*parts, 1.0, 0.0, 0.0)
-    order = [F.xxhash64("sample_id", F.lit(1)), F.col("sample_id")]
-    ids = known.where(aside).orderBy(*order).limit(CURVE_ROWS)
     chosen = docs.select(F.col(id_col).alias("sample_id"), F.col(text_col).alias("sample_text")).join(F.broadcast(ids), "sample_id")
     sent = docs.sparkSession.sparkContext.broadcast(model.parts())
 
