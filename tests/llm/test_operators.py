@@ -321,6 +321,16 @@ def test_labels_beyond_the_curve_are_counted(spark, documents, labels, monkeypat
     assert seen == [usable - 2]
 
 
+def test_a_joined_model_scores_as_a_sent_one(spark, documents, odd, labels):
+    rows = documents.select("doc_id", "text").unionByName(odd.select("doc_id", "text"))
+    sent, joined = X.fit_toxicity(documents, labels), X.fit_toxicity(documents, labels, model_rows=1_000)
+    assert joined.table is not None and joined.table.count() + len(joined.keys) == len(sent.keys)
+    scores = [sorted((r["doc_id"] or 0, round(r["score"], 7), round(r["evidence"], 7)) for r in X.score_toxicity(rows, m).collect()) for m in (sent, joined)]
+    assert np.allclose(np.array(scores[0]), np.array(scores[1]), atol=1e-6) and max(s for _, _, s in scores[0]) > 0
+    left = [X.without_toxic(odd, m, least=sorted(s for _, s, _ in scores[0])[-3] - 1e-5) for m in (sent, joined)]
+    assert left[1].columns == odd.columns and left[0].count() == left[1].count()
+
+
 def test_toxicity_of_odd_rows(odd, empty, labels):
     model = X.fit_toxicity(odd, labels)
     assert all(0 <= r["score"] <= 1 for r in X.score_toxicity(odd, model).collect())

@@ -9,19 +9,24 @@ expressions rest on the shared model. A word speaks for toxicity by the differen
 log-likelihoods beyond ``MARGIN``, up to ``MOST`` more; what is below the margin is noise of sparse
 counts. A document's evidence is the root of their mean over its words; a logistic curve fitted on
 held-out documents turns evidence and length into a score.
+
+A model of few n-grams is sent to the executors. A larger one stays a table: the evidence of the
+distinct words comes from shuffled joins of their n-grams with it, and the words that have any are
+joined to the documents they occur in. Both ways use all n-grams and give the same scores.
 """
 
 from __future__ import annotations
 
 from collections import Counter
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import binary, over_batches, sized, stored
+from .common import WordHashes, binary, bit_filter, lists, over_batches, passing, sized, stored
 from .training import clean_labels
 
 #: Bytes of the longest n-gram; an n-gram and its length fit a 64-bit number.
@@ -34,8 +39,12 @@ PRIOR = 1.0
 #: Log-likelihood difference of a word that is noise, and the most that counts beyond it.
 MARGIN = 2.0
 MOST = 8.0
-#: Entries of a model that are sent to the executors at most, 40 bytes each.
+#: N-grams of a model that is sent to the executors at most, 40 bytes each; a larger one is joined.
 MODEL_ROWS = 400_000
+#: N-grams up to this length are few (65,793 at most) and are sent in any case.
+SHORT = 2
+#: Evidence that is summed by Spark is in units of 1 / FIXED, so the order of a sum doesn't matter.
+FIXED = 1 << 32
 #: Labelled ids that are broadcast at most; beyond it labels and documents are shuffled.
 LABEL_ROWS = 4_000_000
 #: Labelled documents of which the curve is fitted, left out of the counts.
@@ -72,7 +81,10 @@ def grams(words: list[bytes], order: int | None = None) -> tuple[list[np.ndarray
 
 @dataclass(frozen=True)
 class Model:
-    """Sorted n-grams and, per class, what they add and what their continuations hand down."""
+    """Sorted n-grams and, per class, what they add and what their continuations hand down.
+
+    If there is a ``table``, it holds the n-grams longer than ``SHORT`` and the arrays the others.
+    """
 
     keys: np.ndarray
     gain: np.ndarray
@@ -80,6 +92,7 @@ class Model:
     slope: float
     shift: float
     bend: float
+    table: DataFrame | None = None
 
     def parts(self) -> tuple:
         return self.keys, self.gain, self.rest, self.slope, self.shift, self.bend
@@ -214,6 +227,216 @@ def smoothed(gram: np.ndarray, toxic: np.ndarray, ordinary: np.ndarray) -> tuple
     return every, out_gain, out_rest
 
 
+def smoothed_table(grams: DataFrame) -> DataFrame:
+    """(gram, gain_0, gain_1, rest_0, rest_1): what ``smoothed`` gives, as aggregates over all n-grams."""
+    length = F.shiftright("gram", 56)
+    shorter = "shiftleft((gram >> 56) - 1, 56)"
+    tail = F.expr(f"(gram & (shiftleft(1L, cast(8 * ((gram >> 56) - 1) as int)) - 1)) | {shorter}")
+    none = F.lit(0).cast("long")
+    own = grams.select("gram", "toxic", "ordinary", none.alias("kinds_0"), none.alias("kinds_1"), none.alias("kinds"))
+    before = grams.where(length > 1).select(
+        tail.alias("gram"), none, none, (F.col("toxic") > 0).cast("long"), (F.col("ordinary") > 0).cast("long"), F.lit(1).cast("long")
+    )
+    sums = own.union(before).groupBy("gram").agg(*(F.sum(c).alias(c) for c in own.columns[1:]))
+    inner = (length < ORDER) & ((length == 1) | F.expr("(gram >> cast(8 * ((gram >> 56) - 1) as int)) & 255 != 32"))
+    pooled = F.when(inner, F.col("kinds")).otherwise(F.col("toxic") + F.col("ordinary"))
+    counts = [
+        F.when(length <= SHARED, pooled).when(inner, F.col(f"kinds_{c}")).otherwise(F.col(raw)).cast("double").alias(f"count_{c}")
+        for c, raw in enumerate(("toxic", "ordinary"))
+    ]
+    context = F.when(length > 1, F.expr(f"((gram & {(1 << 56) - 1}L) >> 8) | {shorter}")).otherwise(0)
+    counted = stored(sums.select("gram", context.alias("context"), *counts), "counts")
+    handed = counted.groupBy("context").agg(
+        *(F.sum(f"count_{c}").alias(f"total_{c}") for c in (0, 1)), *(F.sum((F.col(f"count_{c}") > 0).cast("double")).alias(f"seen_{c}") for c in (0, 1))
+    )
+    gain = [(F.greatest(F.col(f"count_{c}") - DISCOUNT, F.lit(0.0)) / (F.col(f"total_{c}") + PRIOR)).alias(f"gain_{c}") for c in (0, 1)]
+    rest = [((PRIOR + F.least(DISCOUNT * F.col(f"seen_{c}"), F.col(f"total_{c}"))) / (F.col(f"total_{c}") + PRIOR)).alias(f"rest_{c}") for c in (0, 1)]
+    nothing = F.lit(None).cast("double")
+    gains = counted.join(handed, "context").select("gram", *gain, nothing.alias("rest_0"), nothing.alias("rest_1"))
+    rests = handed.select(F.col("context").alias("gram"), nothing, nothing, *rest)
+    return gains.union(rests).groupBy("gram").agg(
+        *(F.coalesce(F.max(f"{what}_{c}"), F.lit(missing)).alias(f"{what}_{c}") for what, missing in (("gain", 0.0), ("rest", 1.0)) for c in (0, 1))
+    )
+
+
+def joined_model(rows: DataFrame) -> Model:
+    """A model whose n-grams longer than ``SHORT`` stay in the table ``rows``."""
+    length = F.shiftright("gram", 56)
+    short = rows.where(length <= SHORT).toPandas().sort_values("gram")
+    gain, rest = (np.stack([short[f"{what}_{c}"].to_numpy(float) for c in (0, 1)]) for what in ("gain", "rest"))
+    return Model(short["gram"].to_numpy(np.int64).view(np.uint64), gain, rest, 1.0, 0.0, 0.0, rows.where(length > SHORT))
+
+
+def distinct_words(docs: DataFrame, text_col: str) -> DataFrame:
+    """(spelled): each word of the texts once."""
+
+    def cut(batches):
+        known: set[bytes] = set()
+        for batch in batches:
+            new = set().union(*map(lowered, binary(batch, "body"))) - known
+            if len(known) > Evidence.limit:
+                known.clear()
+            known |= new
+            yield pa.record_batch([pa.array(list(new), pa.binary())], names=["spelled"])
+
+    return over_batches(docs.select(F.col(text_col).alias("body")), ["body"], cut, "spelled binary").distinct()
+
+
+def word_units(words: DataFrame) -> DataFrame:
+    """(word, unit): hash of a word and the n-grams its evidence is the sum over.
+
+    They are the word's beginning, a blank and up to five bytes, and each later run of six bytes.
+    """
+
+    def cut(batches):
+        for batch in batches:
+            for begin in range(0, batch.num_rows, 10_000):
+                some = batch.column(0).slice(begin, 10_000).to_pylist()
+                keys, word, depth = grams(some)
+                at = np.flatnonzero((depth >= ORDER) | np.append(np.diff(word) > 0, True))
+                unit = np.stack(keys)[np.minimum(depth[at], ORDER) - 1, at]
+                names = np.fromiter(map(xxhash.xxh3_64_intdigest, some), np.uint64, len(some))
+                yield pa.record_batch([pa.array(names[word[at]].view(np.int64)), pa.array(unit.view(np.int64))], names=["word", "unit"])
+
+    return words.mapInArrow(cut, "word long, unit long")
+
+
+def _tails(top: np.ndarray, k: int) -> np.ndarray:
+    """The last ``k`` bytes of n-grams."""
+    return (top & np.uint64((1 << (8 * k)) - 1)) | np.uint64(k << 56)
+
+
+def _contexts(top: np.ndarray, k: int) -> np.ndarray:
+    """The ``k`` bytes before the last one of n-grams."""
+    return _tails(top >> np.uint64(8), k) if k else np.zeros(len(top), np.uint64)
+
+
+def _tops(unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(unit, top): the longest n-gram of each byte a unit stands for; a word's beginning has several."""
+    length = unit >> np.uint64(56)
+    body = unit & np.uint64((1 << 56) - 1)
+    units, tops = [unit], [unit]
+    first = (body >> (np.uint64(8) * (length - np.uint64(1)))) == 32
+    for d in range(2, ORDER):
+        some = first & (length > d)
+        units.append(unit[some])
+        tops.append((body[some] >> (np.uint64(8) * (length[some] - np.uint64(d)))) | np.uint64(d << 56))
+    return np.concatenate(units), np.concatenate(tops)
+
+
+def unit_evidence(units: DataFrame, model: Model) -> DataFrame:
+    """(unit, value): toxic minus ordinary log-likelihood of each distinct unit, in units of 1 / FIXED."""
+
+    def ask(batches):
+        for batch in batches:
+            unit, top = _tops(batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64))
+            length = top >> np.uint64(56)
+            rows = [(unit, top, np.zeros(len(unit), np.int64), np.zeros(len(unit), np.uint64))]
+            for k in range(SHORT + 1, ORDER + 1):
+                long = length >= k
+                rows.append((unit[long], top[long], np.full(long.sum(), k), _tails(top[long], k)))
+                if k > SHORT + 1:
+                    rows.append((unit[long], top[long], np.full(long.sum(), -k), _contexts(top[long], k - 1)))
+            unit, top, slot, key = (np.concatenate(x) for x in zip(*rows))
+            yield pa.record_batch(
+                [pa.array(unit.view(np.int64)), pa.array(top.view(np.int64)), pa.array(slot.astype(np.int64)), pa.array(key.view(np.int64))],
+                names=["unit", "top", "slot", "gram"],
+            )
+
+    asked = units.mapInArrow(ask, "unit long, top long, slot long, gram long")
+    both = [f"{what}_{c}" for what in ("gain", "rest") for c in (0, 1)]
+    hits = asked.where("slot <> 0").join(model.table, "gram").select("unit", "top", "slot", *both)
+    every = hits.union(asked.where("slot = 0").select("unit", "top", "slot", *(F.lit(None).cast("double") for _ in both)))
+    gains = [(k, k, f"gain_{c}", 0.0) for k in range(SHORT + 1, ORDER + 1) for c in (0, 1)]
+    rests = [(k, -k, f"rest_{c}", 1.0) for k in range(SHORT + 2, ORDER + 1) for c in (0, 1)]
+    columns = [F.coalesce(F.max(F.when(F.col("slot") == slot, F.col(name))), F.lit(missing)).alias(f"{name}_{k}") for k, slot, name, missing in gains + rests]
+    sent = units.sparkSession.sparkContext.broadcast(model.parts())
+
+    def weigh(batches):
+        model = Model(*sent.value)
+        for batch in batches:
+            top = batch.column(1).to_numpy(zero_copy_only=False).view(np.uint64)
+            length = top >> np.uint64(56)
+            given = {name: batch.column(i).to_numpy(zero_copy_only=False) for i, name in enumerate(batch.schema.names)}
+            p = np.full((2, len(top)), 1 / 256)
+            for k in range(1, ORDER + 1):
+                if k <= SHORT + 1:
+                    at, found = model.look(_contexts(top, k - 1))
+                    rest = np.where(found, model.rest[:, at], 1.0)
+                else:
+                    rest = np.stack([given[f"rest_{c}_{k}"] for c in (0, 1)])
+                if k <= SHORT:
+                    at, found = model.look(_tails(top, k))
+                    gain = np.where(found, model.gain[:, at], 0.0)
+                else:
+                    gain = np.stack([given[f"gain_{c}_{k}"] for c in (0, 1)])
+                p = np.where(length >= k, gain + rest * p, p)
+            value = np.rint((np.log(p[0]) - np.log(p[1])) * FIXED).astype(np.int64)
+            yield pa.record_batch([batch.column(0), pa.array(value)], names=["unit", "value"])
+
+    return every.groupBy("unit", "top").agg(*columns).mapInArrow(weigh, "unit long, value long").groupBy("unit").agg(F.sum("value").alias("value"))
+
+
+def word_evidence(docs: DataFrame, model: Model, text_col: str) -> DataFrame:
+    """(word, value): hashes of the words of ``docs`` that have evidence, in units of 1 / FIXED."""
+    units = word_units(stored(distinct_words(docs, text_col), "words"))
+    values = stored(unit_evidence(units.select("unit").distinct(), model), "units")
+    sums = units.join(values, "unit").groupBy("word").agg(F.sum("value").alias("value"))
+    beyond = F.least(F.col("value") - int(MARGIN * FIXED), F.lit(int(MOST * FIXED)))
+    return sums.select("word", beyond.alias("value")).where("value > 0")
+
+
+def joined_evidence(docs: DataFrame, model: Model, columns: list[str], text_col: str) -> DataFrame:
+    """``columns``, text_key, e and n of each row, by joins with the table of the model."""
+    values = stored(word_evidence(docs, model, text_col), "evidence")
+    bits, log2 = bit_filter(values.select("word"))
+    sent = docs.sparkSession.sparkContext.broadcast(bits)
+    kept = [f"column_{i}" for i in range(len(columns))]
+
+    def scan(batches):
+        hashes = WordHashes()
+        for batch in batches:
+            sizes, names, times = [], [], []
+            for text in binary(batch, "body"):
+                words = lowered(text)
+                found = hashes.of(words)
+                name, count = np.unique(found[passing(sent.value, log2, found)], return_counts=True)
+                sizes.append(len(words))
+                names.append(name.view(np.int64))
+                times.append(count)
+            yield pa.record_batch(
+                [*batch.columns[:-1], pa.array(sizes, pa.int64()), lists(names, pa.int64()), lists(times, pa.int64())],
+                names=[*kept, "text_key", "n", "words", "times"],
+            )
+
+    keyed = docs.select(*(F.col(c).alias(k) for c, k in zip(columns, kept)), F.xxhash64(text_col).alias("text_key"), F.col(text_col).alias("body"))
+    kinds = "".join(f"{k} {keyed.schema[k].dataType.simpleString()}, " for k in kept)
+    rows = stored(over_batches(keyed, keyed.columns, scan, f"{kinds}text_key long, n long, words array<long>, times array<long>"), "rows")
+    # Copies of a text have the same words, which count once for all of them.
+    held = rows.select("text_key", F.explode(F.arrays_zip("words", "times")).alias("of")).select("text_key", F.col("of.words").alias("word"), F.col("of.times").alias("times"))
+    sums = held.distinct().join(values, "word").groupBy("text_key").agg(F.sum(F.col("times") * F.col("value")).alias("value"))
+    mean = F.coalesce(F.col("value"), F.lit(0)) / F.lit(float(FIXED)) / F.greatest(F.col("n"), F.lit(1))
+    return rows.drop("words", "times").join(sums, "text_key", "left").select(
+        *(F.col(k).alias(c) for c, k in zip(columns, kept)), "text_key", F.sqrt(mean).alias("e"), F.col("n").cast("double").alias("n")
+    )
+
+
+def weighed(docs: DataFrame, model: Model, columns: list[str], text_col: str) -> DataFrame:
+    """``columns``, e and n: evidence and number of words of each row."""
+    if model.table is not None:
+        return joined_evidence(docs, model, columns, text_col).select(*columns, "e", "n")
+    sent = docs.sparkSession.sparkContext.broadcast(model.parts())
+
+    def weigh(batches):
+        evidence = Evidence(Model(*sent.value))
+        for batch in batches:
+            found, sizes = evidence.of(binary(batch, text_col))
+            yield pa.record_batch([*batch.columns[:-1], pa.array(found), pa.array(sizes)], names=[*columns, "e", "n"])
+
+    kinds = "".join(f"{c} {docs.schema[c].dataType.simpleString()}, " for c in columns)
+    return over_batches(docs, [*columns, text_col], weigh, f"{kinds}e double, n double")
+
+
 def fit_toxicity(
     docs: DataFrame,
     labels: DataFrame,
@@ -226,9 +449,8 @@ def fit_toxicity(
     """Models of both classes from the labelled documents that ``where`` holds for.
 
     An eighth of them, ``CURVE_ROWS`` at most, gives the curve from evidence to score and is kept out
-    of the counts; the n-grams of all others are counted. If more than ``model_rows`` n-grams are found, the
-    smallest cut-off of counts is applied under which those of three bytes or more fit; n-grams
-    below it are left to the shorter contexts. Without labels of both classes the score is the share of toxic labels.
+    of the counts; the n-grams of all others are counted. If there are more than ``model_rows``, the
+    model stays a table. Without labels of both classes the score is the share of toxic labels.
     """
     known = clean_labels(labels, label, id_col, where)
     order = [F.xxhash64("sample_id", F.lit(1)), F.col("sample_id")]
@@ -236,29 +458,16 @@ def fit_toxicity(
     ids = stored(known.where(aside).orderBy(*order).limit(CURVE_ROWS), "curve")
     counted = sized(stored(known.join(F.broadcast(ids.select("sample_id")), "sample_id", "left_anti"), "labels"), LABEL_ROWS)
     table = stored(count_grams(docs, counted, id_col, text_col), "grams")
-    least = 1
-    kept = table
-    while kept.count() > model_rows:
-        least *= 2
-        kept = table.where((F.shiftright("gram", 56) < 3) | (F.col("toxic") + F.col("ordinary") >= least))
-        if least > 1 << 40:
-            raise ValueError("model_rows is too small for the n-grams of two bytes")
-    rows = kept.toPandas()
     model = Model(np.zeros(0, np.uint64), np.zeros((2, 0)), np.zeros((2, 0)), 0.0, 0.0, 0.0)
-    if len(rows):
+    found = table.count()
+    if found > model_rows:
+        model = joined_model(stored(smoothed_table(table), "model"))
+    elif found:
+        rows = table.toPandas()
         parts = smoothed(rows["gram"].to_numpy().astype(np.int64).view(np.uint64), rows["toxic"].to_numpy(), rows["ordinary"].to_numpy())
         model = Model(*parts, 1.0, 0.0, 0.0)
     chosen = docs.select(F.col(id_col).alias("sample_id"), F.col(text_col).alias("sample_text")).join(F.broadcast(ids), "sample_id")
-    sent = docs.sparkSession.sparkContext.broadcast(model.parts())
-
-    def weigh(batches):
-        model = Model(*sent.value)
-        evidence = Evidence(model)
-        for batch in batches:
-            found, sizes = evidence.of(binary(batch, "sample_text"))
-            yield pa.record_batch([batch.column(1), pa.array(found), pa.array(sizes), batch.column(2)], names=["y", "e", "n", "i"])
-
-    measured = chosen.select("sample_text", "sample_label", F.xxhash64("sample_id").alias("i")).mapInArrow(weigh, "y double, e double, n double, i long")
+    measured = weighed(chosen.select("sample_text", F.col("sample_label").alias("y"), F.xxhash64("sample_id").alias("i")), model, ["y", "i"], "sample_text")
     sample = measured.orderBy("i", "e", "n").limit(CURVE_ROWS).toPandas()
     return fit_curve(model, sample["e"].to_numpy(float), sample["n"].to_numpy(float), sample["y"].to_numpy(float))
 
@@ -275,11 +484,19 @@ def fit_curve(model: Model, evidence: np.ndarray, words: np.ndarray, y: np.ndarr
             bend = (x * (p * (1 - p))[:, None]).T @ x + 1e-2 * np.eye(3)
             w = w + np.clip(np.linalg.solve(bend, x.T @ (y - p) - 1e-2 * w), -4, 4)
         w[0] /= scale
-    return Model(*model.parts()[:3], float(w[0]), float(w[1]), float(w[2]))
+    return replace(model, slope=float(w[0]), shift=float(w[1]), bend=float(w[2]))
+
+
+def joined_score(model: Model) -> Column:
+    """The curve over the columns e and n."""
+    z = model.slope * F.col("e") + model.shift + model.bend * F.log1p("n")
+    return 1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), z))))
 
 
 def score_toxicity(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, score, evidence) per row; a text without words has no evidence."""
+    if model.table is not None:
+        return joined_evidence(docs, model, [id_col], text_col).select(id_col, joined_score(model).alias("score"), F.col("e").alias("evidence"))
     sent = docs.sparkSession.sparkContext.broadcast(model.parts())
 
     def score(batches):
@@ -297,6 +514,10 @@ def score_toxicity(docs: DataFrame, model: Model, id_col: str = "doc_id", text_c
 
 def without_toxic(docs: DataFrame, model: Model, text_col: str = "text", least: float = 0.3) -> DataFrame:
     """The rows of ``docs`` whose score is below ``least``, with all their columns."""
+    if model.table is not None:
+        scored = joined_evidence(docs, model, [], text_col).where(joined_score(model) >= least)
+        bad = scored.select(F.col("text_key").alias("bad_key")).distinct()
+        return docs.join(bad, F.xxhash64(docs[text_col]) == bad["bad_key"], "left_anti")
     sent = docs.sparkSession.sparkContext.broadcast(model.parts())
 
     def keep(batches):
