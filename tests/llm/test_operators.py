@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import re
 import zlib
 
@@ -121,6 +122,28 @@ def test_benchmark_matches_brute_force(spark, documents):
     assert got == want and want
 
 
+def test_seeds_miss_no_pattern_of_changes():
+    item = np.arange(1, 21, dtype=np.uint64)
+    for count in range(1, 21):
+        words, width = item[:count], D.run_length(count)
+        for changed in itertools.combinations(range(count), count // 5):
+            other = words.copy()
+            other[list(changed)] += np.uint64(100)
+            assert (D.seeds(words, width) == D.seeds(other, width)).any(), (count, changed)
+
+
+def test_changed_and_short_items_are_found(spark):
+    words = [f"w{i}" for i in range(40)]
+    fifth = ["other" if i % 5 == 4 else w for i, w in enumerate(words)]
+    items = [(1, " ".join(words)), (2, "quite a short item"), (3, "seven words are here in this item"), (4, "one"), (5, " ,. "), (6, None)]
+    rows = [
+        (1, "before it " + " ".join(fifth) + " after it"), (2, "x Quite a short, item! y"), (3, "x seven words are there in this item y"),
+        (4, "quite a long item"), (5, "seven words were there in this item"), (6, "x y one"), (7, " ".join(["other" if i % 4 == 3 else w for i, w in enumerate(words)])),
+    ]
+    found = D.contaminated(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r["doc_id"], r["item_id"]) for r in found.collect()} == {(1, 1), (2, 2), (3, 3), (6, 4)}
+
+
 def test_benchmark_of_odd_rows(spark, odd, empty):
     benchmark = spark.createDataFrame([(1, "lorem ipsum dolor sit amet consectetur adipiscing elit sed do eiusmod tempor")], "item_id long, text string")
     assert {r["doc_id"] for r in D.contaminated(odd, benchmark).collect()} == {1, 2, 6, None}

@@ -1,9 +1,10 @@
-"""Benchmark decontamination by spaced seeds.
+"""Benchmark decontamination by seeds.
 
-A seed is a window of ``SPAN`` words in which a fixed mask ignores some positions, so a changed word
-under an ignored position leaves the seed's hash as it was. Hashes of benchmark items and of
-documents are joined; around each hit the words are compared along the hit's alignment, and an
-item counts as found if most words of a long enough window agree.
+A seed is a run of words. However the words that may differ lie in a window, one run between them
+has at least ``run_length`` words, so seeds of this length miss no alignment that verification would
+accept. Hashes of benchmark items and of documents are joined; around each hit the words are
+compared along the hit's alignment, and an item counts as found if most words of a long enough
+window agree.
 
 Before the join, documents drop seeds that cannot match by a bit filter over the benchmark's seeds.
 Its size is bounded; a filter that is too small lets more seeds through but loses none.
@@ -20,9 +21,6 @@ from pyspark.sql import functions as F
 
 from .common import WordHashes, bit_filter, lists, mix, over_batches, passing, stored, strings
 
-#: Positions that count in a window of ten words.
-MASKS = ("1111001111", "1100111111", "1111110011")
-SPAN = 10
 #: Words of the window that is verified, and the percentage of them that must agree.
 WINDOW = 20
 PERCENT = 80
@@ -39,39 +37,47 @@ def plain_words(text: str | None) -> list[bytes]:
     return (text or "").lower().encode().translate(_PLAIN).split()
 
 
-def seeds(words: np.ndarray) -> np.ndarray:
-    """Hash of each seed: one row per mask, one column per window."""
-    count = max(len(words) - SPAN + 1, 0)
-    out = np.zeros((len(MASKS), count), np.uint64)
-    if count:
-        for m, mask in enumerate(MASKS):
-            for i, counts in enumerate(mask):
-                if counts == "1":
-                    out[m] = out[m] * _GOLDEN + words[i : i + count]
-            out[m] = mix(out[m] + np.uint64(m + 1))
-    return out
+def run_length(count: int) -> int:
+    """Words of the longest run that any accepted window of an item of ``count`` words has left unchanged."""
+    size = min(count, WINDOW)
+    changed = size * (100 - PERCENT) // 100
+    return -(-(size - changed) // (changed + 1))
+
+
+#: Words of the longest seed of any item.
+SPAN = max(map(run_length, range(WINDOW + 1)))
+
+
+def seeds(words: np.ndarray, width: int) -> np.ndarray:
+    """Hash of each run of ``width`` words."""
+    count = max(len(words) - width + 1, 0)
+    total = np.zeros(count, np.uint64)
+    for i in range(width):
+        total = total * _GOLDEN + words[i : i + count]
+    return mix(total + np.uint64(width))
 
 
 def benchmark_seeds(benchmark: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(item, hash, offset): each seed of each item once."""
+    """(item, hash, offset, width): each seed of each item once."""
 
     def cut(batches):
         hashes = WordHashes()
         for batch in batches:
             for item, text in zip(batch.column(0), strings(batch, text_col)):
-                found = seeds(hashes.of(plain_words(text)))
-                count = found.shape[1]
-                if count:
+                words = hashes.of(plain_words(text))
+                if len(words):
+                    width = run_length(len(words))
+                    found = seeds(words, width)
                     yield pa.record_batch(
-                        [pa.array([item.as_py()] * found.size, batch.column(0).type), pa.array(found.ravel().view(np.int64)), pa.array(np.tile(np.arange(count), len(MASKS)))],
-                        names=["item", "hash", "offset"],
+                        [pa.array([item.as_py()] * len(found), batch.column(0).type), pa.array(found.view(np.int64)), pa.array(np.arange(len(found))), pa.array(np.full(len(found), width))],
+                        names=["item", "hash", "offset", "width"],
                     )
 
     kind = benchmark.schema[id_col].dataType.simpleString()
-    return over_batches(benchmark.where(F.col(id_col).isNotNull()), [id_col, text_col], cut, f"item {kind}, hash long, offset long").distinct()
+    return over_batches(benchmark.where(F.col(id_col).isNotNull()), [id_col, text_col], cut, f"item {kind}, hash long, offset long, width long").distinct()
 
 
-def find_hits(docs: DataFrame, bits: np.ndarray, log2: int, id_col: str, text_col: str) -> DataFrame:
+def find_hits(docs: DataFrame, bits: np.ndarray, log2: int, widths: list[int], id_col: str, text_col: str) -> DataFrame:
     """(id, text_key, part, words, hits): stretches of documents around seeds that pass the filter."""
     sent = docs.sparkSession.sparkContext.broadcast(bits)
 
@@ -81,13 +87,11 @@ def find_hits(docs: DataFrame, bits: np.ndarray, log2: int, id_col: str, text_co
             rows, parts, words_out, ats, keys, counts = [], [], [], [], [], []
             for row, text in enumerate(strings(batch, "body")):
                 words = hashes.of(plain_words(text))
-                found = seeds(words)
-                count = found.shape[1]
-                flat = found.ravel()
-                hit = passing(sent.value, log2, flat)
-                if not len(hit):
+                runs = [seeds(words, width) for width in widths]
+                hits = [passing(sent.value, log2, run) for run in runs]
+                at, key = np.concatenate(hits), np.concatenate([run[hit] for run, hit in zip(runs, hits)])
+                if not len(at):
                     continue
-                at, key = hit % count, flat[hit]
                 order = np.argsort(at, kind="stable")
                 at, key = at[order], key[order]
                 for stretch in np.split(np.arange(len(at)), np.flatnonzero(np.diff(at) > SPAN + 2 * WINDOW) + 1):
@@ -135,14 +139,14 @@ def contaminated(
 
     An item is found if, along one alignment, at least 80 % of the words of a window of 20 item words
     agree (of the whole item if it is shorter). Words are compared in lower case without ASCII
-    punctuation. Items of fewer than ten words make no seed and are never reported, nor are items
-    without id or text. Null and empty texts hold nothing. Rows without an id are searched, too;
+    punctuation. Items without id or words are never reported. Null and empty texts hold nothing. Rows without an id are searched, too;
     ``text_key`` (xxhash64 of the text) tells rows that share an id apart. Repeated rows give one
     result row.
     """
     found = stored(benchmark_seeds(benchmark, item_col, item_text_col), "seeds")
     bits, log2 = bit_filter(found.select("hash"))
-    stretches = stored(find_hits(docs, bits, log2, id_col, text_col), "stretches")
+    widths = sorted(row[0] for row in found.select("width").distinct().collect()) or [SPAN]
+    stretches = stored(find_hits(docs, bits, log2, widths, id_col, text_col), "stretches")
     hits = stretches.select("part", F.explode(F.arrays_zip("ats", "hashes")).alias("hit")).select("part", "hit.ats", F.col("hit.hashes").alias("hash"))
     aligned = hits.join(found, "hash").select("part", "item", (F.col("ats") - F.col("offset")).alias("diagonal")).distinct()
     items = benchmark.where(F.col(item_col).isNotNull()).select(F.col(item_col).alias("item"), F.col(item_text_col).alias("item_text"))
