@@ -158,6 +158,34 @@ def test_documents_are_best_effort(spark, tmp_path):
     assert sink_files.add_documents(frame, str(tmp_path / "blocked" / "x")) == 0
 
 
+def test_documents_keep_fields_no_schema_names(layers, tmp_path):
+    spark = layers
+    product = {"status": 1, "product": {"code": "77", "nutriments": {"fat": 1}}, "extra": "p"}
+    for name, text in {
+        "p.json": product, "s.json": {"products": [product["product"]]}, "w/x.json": {"daily": {"time": ["2018-01-01"], "wind": [3]}, "elevation": 4},
+        "f.json": [{"date": "2018-01-01", "base": "EUR", "quote": "USD", "rate": 1.2, "extra": "f"}], "c/a.jsonl": dict(CLICKS[0], page="/home"),
+    }.items():
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_text(json.dumps(text, indent=None if name.endswith("l") else 1))
+    at = lambda name: str(tmp_path / name)
+    jobs.load_products(payloads.read_product_payloads(spark, at("p.json")), at("bp"), store=at("sp"))
+    jobs.load_products(payloads.read_product_sample(spark, at("s.json")), at("bs"), store=at("ss"))
+    jobs.load_weather(payloads.read_weather_folder(spark, at("w")), at("bw"), store=at("sw"))
+    jobs.load_fx(payloads.read_fx_payloads(spark, at("f.json")), at("bf"), store=at("sf"))
+    replay.run_replay(spark, ReplayPlan(source=at("c"), output=at("r")))
+    received = {name: json.loads(spark.read.parquet(at(name)).first().received) for name in ("sp", "ss", "sw", "sf", "r/documents")}
+    assert received["sp"] == product and received["ss"] == product["product"]
+    assert received["sw"]["elevation"] == 4 and received["sw"]["daily"]["wind"] == [3]
+    assert received["sf"]["extra"] == "f" and received["r/documents"]["page"] == "/home"
+    assert json.loads(spark.read.json(f"{at('r')}/replays/0_raw").first().received)["page"] == "/home"
+
+
+def test_a_failed_job_is_not_an_unreachable_store(spark, tmp_path):
+    broken = spark.range(3).select(F.raise_error(F.lit("lost")).cast("string").alias("body"))
+    with pytest.raises(Exception, match="lost"):
+        sink_files.add_documents(broken, str(tmp_path / "store"))
+
+
 def test_bucketed_tables_join_without_shuffle(layers):
     spark = layers
     left = spark.range(100).select(F.col("id").cast("string").alias("order_id"))

@@ -76,7 +76,7 @@ def load_fx(entries: DataFrame, bronze: str, store: str | None = None) -> int:
         "frankfurter",
         "frankfurter_fx_rates",
         normalize_fx(entries, F.current_timestamp()),
-        lambda batch: envelope(entries, [], F.lit(batch), _now_text(), F.struct(*entries.columns)),
+        lambda batch: envelope(entries, [], F.lit(batch), _now_text(), F.struct(*(c for c in entries.columns if c != "received"))),
         bronze,
         store,
     )

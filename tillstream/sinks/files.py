@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,21 +28,29 @@ def write_json_lines(df: DataFrame, path: str) -> None:
 def add_documents(df: DataFrame, path: str, key: str | None = None) -> int:
     """Append documents to a bronze store and return how many were added.
 
-    With a ``key``, copies within the input and documents stored before are ignored. The store
-    is best effort: if it cannot be written, the load goes on and 0 is returned.
+    With a ``key``, copies within the input and documents stored before are ignored. If the store
+    cannot be reached, the load goes on and 0 is returned; a job that fails is an error.
     """
     spark = df.sparkSession
-    try:
-        if key is not None:
-            df = one_per_key(df, [key], [])
-            if exists(spark, path):
-                df = unseen(df, spark.read.schema(df.schema).parquet(path), [key])
-        counted = Observation(f"documents of {path}")
-        df.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode("append").parquet(path)
-        return counted.get["rows"]
-    except Exception:
-        LOGGER.warning("documents were not stored under %s", path, exc_info=True)
+    if not reachable(spark, path):
+        LOGGER.warning("documents were not stored: %s cannot be reached", path)
         return 0
+    if key is not None:
+        df = one_per_key(df, [key], [])
+        df = unseen(df, spark.read.schema(df.schema).parquet(path), [key])
+    counted = Observation(f"documents of {path}")
+    df.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode("append").parquet(path)
+    return counted.get["rows"]
+
+
+def reachable(spark: SparkSession, path: str) -> bool:
+    """Whether the folder ``path`` is there or can be made."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    try:
+        return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(jvm_path)
+    except Py4JJavaError:
+        LOGGER.warning("no folder %s", path, exc_info=True)
+        return False
 
 
 def write_topics(messages: DataFrame, path: str) -> None:

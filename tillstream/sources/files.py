@@ -59,9 +59,17 @@ def read_click_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(CLICK_JSON).json(path)
 
 
-def read_document(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Files holding one JSON document (or one array) each."""
-    return spark.read.schema(schema).option("multiLine", True).json(path)
+def read_document(spark: SparkSession, path: str, schema: str, **about: Column) -> DataFrame:
+    """Files holding one JSON document (or one array) each, as parsed columns and the text ``received``.
+
+    The text holds fields that the schema doesn't name, too. ``about`` adds columns on the file.
+    """
+    texts = spark.read.text(path, wholetext=True).where(F.col("value").rlike(r"\S"))
+    listed = F.when(F.col("value").rlike(r"^\s*\["), F.from_json("value", "array<string>"))
+    one = F.coalesce(listed, F.array("value"))
+    named = texts.select(one.alias("texts"), *(column.alias(name) for name, column in about.items()))
+    entries = named.select(F.explode("texts").alias("received"), *about)
+    return entries.withColumn("parsed", F.from_json("received", schema)).select("parsed.*", "received", *about)
 
 
 def _split_ddl(ddl: str) -> list[str]:

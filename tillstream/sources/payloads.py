@@ -22,8 +22,10 @@ def read_product_payloads(spark: SparkSession, path: str) -> DataFrame:
 
 def read_product_sample(spark: SparkSession, path: str) -> DataFrame:
     """A sample file with all products in one array, in the shape of accepted answers."""
-    sample = read_document(spark, path, PRODUCT_SAMPLE_JSON)
-    return sample.select(F.lit(1).alias("status"), F.explode("products").alias("product"))
+    sample = read_document(spark, path, "products array<string>")
+    received = sample.select(F.explode("products").alias("received"))
+    product = F.get(F.from_json(F.concat(F.lit('{"products":['), "received", F.lit("]}")), PRODUCT_SAMPLE_JSON)["products"], F.lit(0))
+    return received.select(F.lit(1).alias("status"), product.alias("product"), "received")
 
 
 def read_weather_payloads(spark: SparkSession, city_paths: dict[str, str]) -> DataFrame:
@@ -40,8 +42,7 @@ def read_weather_payloads(spark: SparkSession, city_paths: dict[str, str]) -> Da
 
 def read_weather_folder(spark: SparkSession, folder: str) -> DataFrame:
     """Daily series of any number of cities in one scan; each file is named after its city."""
-    series = read_document(spark, folder, WEATHER_PAYLOAD_JSON)
-    return series.withColumn("city", F.regexp_replace("_metadata.file_name", r"\.[^.]*$", ""))
+    return read_document(spark, folder, WEATHER_PAYLOAD_JSON, city=F.regexp_replace("_metadata.file_name", r"\.[^.]*$", ""))
 
 
 def read_fx_payloads(spark: SparkSession, path: str) -> DataFrame:
@@ -114,11 +115,15 @@ def explode_entries(payloads: DataFrame, column: str) -> DataFrame:
 def envelope(
     payloads: DataFrame, keys: list[Column], batch: Column, ingested_at: Column, payload: Column, **constants: object
 ) -> DataFrame:
-    """Bronze form of payload rows: keys, batch, load time, the document as JSON text, marks."""
+    """Bronze form of payload rows: keys, batch, load time, the document as JSON text, marks.
+
+    Rows that were read from files keep the text as ``received``, with all its fields.
+    """
     return payloads.select(
         *keys,
         batch.alias("batch_id"),
         ingested_at.alias("ingested_at"),
         F.to_json(payload, {"ignoreNullFields": "false"}).alias("payload"),
         *(F.lit(value).alias(name) for name, value in constants.items()),
+        *(["received"] if "received" in payloads.columns else []),
     )

@@ -19,15 +19,12 @@ def start_replay(spark: SparkSession, plan: ReplayPlan, continuous: str | None =
 
     Without ``continuous`` it ends when all present files are done; with an interval it keeps
     waiting for more. Each batch writes to folders of its own, so a repeated batch replaces
-    its output. Order across files does not matter: sessions go by event time. ``added`` gets the
+    its output. Documents and archive keep each line as ``received``. Order across files does not matter: sessions go by event time. ``added`` gets the
     number of documents each batch adds to the store.
     """
-    events = (
-        spark.readStream.schema(CLICK_JSON)
-        .option("mode", "FAILFAST")
-        .option("maxFilesPerTrigger", files_per_batch)
-        .json(plan.source)
-    )
+    lines = spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(plan.source).where(F.col("value").rlike(r"\S"))
+    parsed = F.from_json("value", CLICK_JSON, {"mode": "FAILFAST"})
+    events = lines.select(parsed.alias("parsed"), F.col("value").alias("received")).select("parsed.*", "received")
     trigger = {"processingTime": continuous} if continuous else {"availableNow": True}
 
     def handle(batch: DataFrame, batch_number: int) -> None:
