@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import remainder, table
+from .conversation_repair import conversation_repairs, damage
 from .decontamination import contaminated
 from .jaccard_join import jaccard_classes
 from .line_dedup import dedup_lines
 from .mixing import mix_sources
+from .periodic_runs import run_digests
 from .personal_data import personal_data
 from .quality_ranking import CUT, fit_quality, score_quality
 from .quality_rules import apply_rules, fit_rules
@@ -97,6 +99,17 @@ def op10_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_digests(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    return conversation_repairs(damage(turns), turns)
+
+
 def _rule_rows() -> str:
     return ", ".join(f"('{host}', '{path}', '{says}')" for host, path, says in RULES)
 
