@@ -17,6 +17,7 @@ from .periodic_runs import run_digests
 from .personal_data import personal_data
 from .quality_ranking import CUT, fit_quality, score_quality
 from .quality_rules import apply_rules, fit_rules
+from .repeats import repeat_digests
 from .text_stats import COUNTS
 from .token_blocks import token_output
 from .toxicity import fit_toxicity, score_toxicity
@@ -104,6 +105,11 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_digests(table(spark, sf_dir, "documents"))
 
 
+@query
+def op12_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeat_digests(table(spark, sf_dir, "documents"))
+
+
 @query
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations")
