@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import binary, bit_filter, mix, over_batches, passing, stored
+from .common import FILTER_BITS, FILTER_LOG2, binary, mix, over_batches, passing, stored
 
 WIDTH = 100
 GRAM = 48
@@ -51,6 +51,8 @@ MOST_CONTEXTS = 200_000
 BYTES_AT_ONCE = 1_000_000
 ANCHORS_PER_ROW = 5_000
 CONTEXTS_AT_ONCE = 50_000
+#: The words of a filter come to the driver in blocks of 2^BLOCK_LOG2.
+BLOCK_LOG2 = 14
 
 _NO_ANCHOR = np.uint64(2**64 - 1)
 _FACTOR = 0x9E3779B97F4A7C15
@@ -153,7 +155,7 @@ def _repeated_hashes(docs: DataFrame) -> DataFrame:
 
 def _anchor_rows(docs: DataFrame, hashes: DataFrame) -> DataFrame:
     """Anchors whose hash passes the filter of ``hashes``, with their contexts, in rows by document."""
-    bits, log2 = bit_filter(hashes)
+    bits, log2 = _filter(hashes)
     sent = docs.sparkSession.sparkContext.broadcast(bits)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -186,6 +188,32 @@ def _anchor_rows(docs: DataFrame, hashes: DataFrame) -> DataFrame:
     return over_batches(docs, ["doc_id", "text"], scan, ANCHORS)
 
 
+def _filter(keys: DataFrame) -> tuple[np.ndarray, int]:
+    """The bits of ``bit_filter`` over a column of hashes, packed by the executors: the driver gets a few blocks."""
+    name = keys.columns[0]
+    log2 = int(min(FILTER_LOG2, max(16, np.ceil(np.log2(FILTER_BITS * max(keys.count(), 1))))))
+    mask = F.lit((1 << log2) - 1)
+    slots = [F.shiftrightunsigned(name, 64 - log2), F.shiftrightunsigned(name, 64 - 2 * log2).bitwiseAND(mask)]
+    slot = keys.select(F.explode(F.array(*slots)).alias("slot"))
+    words = slot.groupBy(F.shiftright("slot", 6).alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(slot & 63 as int)))").alias("bits"))
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blocks: dict[int, np.ndarray] = {}
+        for batch in batches:
+            word, value = np.asarray(batch.column("word")), np.asarray(batch.column("bits"))
+            for block in np.unique(word >> BLOCK_LOG2).tolist():
+                mine = word >> BLOCK_LOG2 == block
+                bits = blocks.setdefault(block, np.zeros(1 << BLOCK_LOG2, np.int64))
+                bits[word[mine] & ((1 << BLOCK_LOG2) - 1)] = value[mine]
+        yield pa.RecordBatch.from_arrays([pa.array(list(blocks), pa.int64()), pa.array([b.tobytes() for b in blocks.values()], pa.binary())], ["block", "bits"])
+
+    dealt = words.repartition(8, F.shiftright("word", BLOCK_LOG2))
+    bits = np.zeros(max(1 << (log2 - 6), 1 << BLOCK_LOG2), np.int64)
+    for row in over_batches(dealt, ["word", "bits"], pack, "block long, bits binary").toLocalIterator():
+        bits[row["block"] << BLOCK_LOG2 : (row["block"] + 1) << BLOCK_LOG2] = np.frombuffer(row["bits"], np.int64)
+    return bits.view(np.uint8), log2
+
+
 class Tree:
     """Sorted strings of groups with the common prefixes of neighbours, and the intervals of these."""
 
@@ -261,7 +289,7 @@ SPANS = "doc_id long, digest binary, start long, stop long"
 
 def _contexts(rows: DataFrame, firsts: DataFrame) -> DataFrame:
     """The contexts at their first places, told by a filter; it may let some later ones through."""
-    bits, log2 = bit_filter(firsts.select(F.col("name").bitwiseXOR(F.col("context")).bitwiseXOR(F.shiftleft(F.col("place").cast("long"), 33))))
+    bits, log2 = _filter(firsts.select(F.col("name").bitwiseXOR(F.col("context")).bitwiseXOR(F.shiftleft(F.col("place").cast("long"), 33))))
     sent = rows.sparkSession.sparkContext.broadcast(bits)
 
     def flat(batch: pa.RecordBatch, name: str) -> pa.Array:
@@ -381,7 +409,7 @@ def _judged(docs: DataFrame, spans: DataFrame, kind: str, final: Callable[[bytes
     Texts without spans do not move: a filter tells the others, which are joined with their spans.
     """
     spans = stored(spans.withColumn("name", _spark_name()), "spans")
-    bits, log2 = bit_filter(spans.select("name"))
+    bits, log2 = _filter(spans.select("name"))
     sent = docs.sparkSession.sparkContext.broadcast(bits)
     arrow = pa.binary() if kind == "binary" else pa.string()
     results = [("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept", arrow)]
