@@ -49,8 +49,10 @@ FREE = WIDTH - GRAM
 MOST_CONTEXTS = 200_000
 #: Texts are scanned together up to about so many bytes; anchors are written in rows of so many.
 BYTES_AT_ONCE = 1_000_000
-ANCHORS_PER_ROW = 5_000
-CONTEXTS_AT_ONCE = 50_000
+ANCHORS_PER_ROW = 64
+CONTEXTS_AT_ONCE = 30_000
+#: Rows of a batch whose texts are Python objects at one time.
+ROWS_AT_ONCE = 500
 #: The words of a filter come to the driver in blocks of 2^BLOCK_LOG2.
 BLOCK_LOG2 = 14
 
@@ -107,6 +109,12 @@ def anchors(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.
     return places, hashes[places]
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for first in range(0, batch.num_rows, ROWS_AT_ONCE):
+            yield batch.slice(first, ROWS_AT_ONCE)
+
+
 def _texts(batch: pa.RecordBatch) -> Iterator[tuple[int, list[bytes]]]:
     """Groups of the texts of a batch, as (number of the first, texts)."""
     first, size, group = 0, 0, []
@@ -143,7 +151,7 @@ def _repeated_hashes(docs: DataFrame) -> DataFrame:
     """Hashes of anchors that occur twice or more."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             for _, texts in _texts(batch):
                 found, count = np.unique(_anchors_of(texts)[2], return_counts=True)
                 found = np.concatenate([found, found[count > 1]]).view(np.int64)
@@ -159,7 +167,7 @@ def _anchor_rows(docs: DataFrame, hashes: DataFrame) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(bits)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             ids = batch.column("doc_id").to_pylist()
             for first, texts in _texts(batch):
                 which, place, found = _anchors_of(texts)
@@ -415,7 +423,7 @@ def _judged(docs: DataFrame, spans: DataFrame, kind: str, final: Callable[[bytes
     results = [("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept", arrow)]
 
     def begin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             texts = [text or b"" for text in binary(batch, "text")]
             names = np.asarray(batch.column("name")).view(np.uint64)
             moved = np.zeros(len(texts), bool)
@@ -430,7 +438,7 @@ def _judged(docs: DataFrame, spans: DataFrame, kind: str, final: Callable[[bytes
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "digest", "n_bytes", "text", "kept"])
 
     def end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             rows = []
             lists = batch.column("spans").to_pylist()
             for text, spans, kept in zip(batch.column("text").to_pylist(), lists, batch.column("kept").to_pylist(), strict=True):
