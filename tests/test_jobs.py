@@ -217,3 +217,66 @@ def test_replay_of_no_events_keeps_the_table(layers, tmp_path):
     before = layers.table("raw.retailrocket_events").count()
     assert replay.run_replay(layers, plan) == {"record_count": 0, "table_rows": 0, "document_rows": 0, "topic_counts": {}}
     assert layers.table("raw.retailrocket_events").count() == before
+
+
+def event_rows(spark, *ids):
+    columns = "event_id string, visitor_id string, event_type string, item_id string, transaction_id string, event_ts timestamp, kafka_topic string"
+    return spark.createDataFrame([(i, "v", "view", None, None, None, "t") for i in ids], columns)
+
+
+def ids_of(table):
+    return sorted(row["event_id"] for row in table.collect())
+
+
+def test_a_load_that_fails_leaves_the_old_rows(layers):
+    spark = layers
+    assert tables.refresh_raw(event_rows(spark, "a", "b"), "retailrocket_events") == 2
+    reader = spark.table("raw.retailrocket_events")
+    broken = event_rows(spark, "c", "d").withColumn("item_id", F.raise_error(F.lit("lost")).cast("string"))
+    with pytest.raises(Exception, match="lost"):
+        tables.refresh_raw(broken, "retailrocket_events")
+    assert ids_of(spark.table("raw.retailrocket_events")) == ["a", "b"]
+    assert tables.refresh_raw(event_rows(spark, "e"), "retailrocket_events") == 1
+    assert ids_of(spark.table("raw.retailrocket_events")) == ["e"]
+    # Who began to read before sees what was there then.
+    assert ids_of(reader) == ["a", "b"]
+    event_rows(spark, "f").write.insertInto("raw.retailrocket_events")
+    assert ids_of(spark.table("raw.retailrocket_events")) == ["e", "f"]
+
+
+def test_batches_of_a_replay_are_loaded_once(layers, tmp_path):
+    spark = layers
+    target, folder = "raw.retailrocket_events", str(tmp_path / "table")
+    for number, ids in ((0, "ab"), (1, "c"), (1, "c"), (0, "ab")):
+        assert tables.load_batch(event_rows(spark, *ids), target, folder, number) == len(ids)
+    assert ids_of(spark.table(target)) == ["a", "b", "c"]
+    broken = event_rows(spark, "x").withColumn("item_id", F.raise_error(F.lit("lost")).cast("string"))
+    with pytest.raises(Exception, match="lost"):
+        tables.load_batch(broken, target, folder, 1)
+    assert ids_of(spark.table(target)) == ["a", "b", "c"]
+    assert tables.refresh_raw(event_rows(spark, "z"), "retailrocket_events") == 1
+    assert ids_of(spark.table(target)) == ["z"] and len(list((tmp_path / "table").glob("batch-*/*.parquet"))) >= 2
+
+
+def test_a_replay_fills_the_table_batch_by_batch_and_goes_on_without_a_broker(layers, click_folder, tmp_path):
+    spark = layers
+    (click_folder / "b.jsonl").write_text(json.dumps(dict(CLICKS[0], event_id="e-11")) + "\n")
+    plan = ReplayPlan(source=str(click_folder), output=str(tmp_path / "replay"), kafka_servers="nowhere:1")
+    query = replay.start_replay(spark, plan, files_per_batch=1, table="raw.retailrocket_events")
+    query.awaitTermination()
+    assert ids_of(spark.table("raw.retailrocket_events")) == ["e-11", "e-7", "e-8", "e-9"]
+    assert spark.read.json(f"{plan.output}/progress").count() == 2
+
+
+def test_a_store_reads_the_buckets_of_its_load_only(spark, tmp_path, monkeypatch):
+    store = str(tmp_path / "store")
+    many = spark.range(2_000).select(F.col("id").cast("string").alias("event_id"), F.lit("x").alias("body"))
+    assert sink_files.add_documents(many, store, key="event_id") == 2_000
+    seen = []
+    monkeypatch.setattr(sink_files, "unseen", lambda new, stored, keys: seen.append(stored) or U.unseen(new, stored, keys))
+    one = spark.createDataFrame([("7", "y"), ("new", "y")], "event_id string, body string")
+    assert sink_files.add_documents(one, store, key="event_id") == 1
+    plan = seen[0]._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(bucket" in plan or "PartitionFilters: [bucket" in plan
+    assert seen[0].count() < 100 and seen[0].columns == ["event_id"]
+    assert spark.read.parquet(store).count() == 2_001

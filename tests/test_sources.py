@@ -181,3 +181,19 @@ def test_progress_is_the_latest_time_not_the_last_text(spark):
     events = spark.createDataFrame([("2026-04-03T23:00:00-05:00",), ("2026-04-04T01:00:00Z",), ("bad",)], "event_ts string")
     latest = progress_of(events, "replay", "x").selectExpr("cast(last_event_ts as string)").first()[0]
     assert latest == "2026-04-04 04:00:00"
+
+
+def test_csv_cells_with_quotes_and_line_breaks(spark, tmp_path):
+    path = tmp_path / "customers.csv"
+    path.write_text('customer_id,customer_city,customer_state\nc1,"sao ""p"", x",SP\n"c2","two\nlines",RJ\nc3,short\nc4,a,b,c\nc5,"",MG\n')
+    rows = [tuple(r) for r in files.read_table_csv(spark, str(path), "olist_customers", misfits=True).collect()]
+    assert rows == [
+        ("c1", 'sao "p", x', "SP", None),
+        ("c2", "two\nlines", "RJ", None),
+        ("c3", "short", None, "c3,short"),
+        ("c4", "a", "b", "c4,a,b,c"),
+        ("c5", None, "MG", None),
+    ]
+    assert [tuple(r) for r in files.misfit_records(spark, str(path)).collect()] == [("customers.csv", "c3,short"), ("customers.csv", "c4,a,b,c")]
+    split = files.read_table_csv(spark, str(path), "olist_customers", multi_line=False)
+    assert split.where("customer_city = 'sao \"p\", x'").count() == 1

@@ -59,7 +59,8 @@ def run(spark, chosen: argparse.Namespace) -> object:
     if chosen.job == "replay":
         plan = ReplayPlan(chosen.source, chosen.output, kafka_servers=chosen.kafka_servers)
         if chosen.mode == "continuous":
-            return start_replay(spark, plan, continuous=chosen.interval).awaitTermination()
+            query = start_replay(spark, plan, continuous=chosen.interval, table="raw.retailrocket_events")
+            return query.awaitTermination()
         return run_replay(spark, plan)
     if chosen.job == "warehouse":
         return jobs.build_warehouse(spark)

@@ -127,6 +127,38 @@ def _cells(timed: DataFrame, rule: SessionRule) -> DataFrame:
     )
 
 
+def session_parts(events: DataFrame, rule: SessionRule) -> DataFrame:
+    """Rows that each cover events of one session, from events with a time; ``merge_parts`` joins them."""
+    return _cells(events, rule).drop("cell")
+
+
+def merge_parts(parts: DataFrame, rule: SessionRule) -> DataFrame:
+    """Sessions from rows that each cover events of one session; the rows may overlap in time.
+
+    Sessions have the form of parts, so they can be merged again with parts of later events: one
+    that lies between two sessions joins them. Only such rows are ordered per visitor, never events.
+    """
+    in_order = Window.partitionBy("visitor_id").orderBy("first_tick", "last_tick")
+    reached = F.max("last_tick").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
+    opens = F.when(rule.splits(F.col("first_tick"), reached), 1).otherwise(0)
+    placed = parts.withColumn("_opens", opens).withColumn(
+        "_place", F.sum("_opens").over(in_order.rowsBetween(Window.unboundedPreceding, 0))
+    )
+    return (
+        placed.groupBy("visitor_id", "_place")
+        .agg(
+            F.min("first_tick").alias("first_tick"),
+            F.max("last_tick").alias("last_tick"),
+            F.min("session_start_ts").alias("session_start_ts"),
+            F.max("session_end_ts").alias("session_end_ts"),
+            F.sum("event_count").alias("event_count"),
+            *(F.sum(name).alias(name) for name in COUNTS),
+            F.min("sample_item_id").alias("sample_item_id"),
+        )
+        .drop("_place")
+    )
+
+
 def _number(cells: DataFrame, rule: SessionRule) -> DataFrame:
     in_order = Window.partitionBy("visitor_id").orderBy("cell")
     opens = rule.splits(F.col("first_tick"), F.lag("last_tick").over(in_order))

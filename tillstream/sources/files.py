@@ -12,19 +12,48 @@ from tillstream.schemas import CLICK_JSON, RAW_SCHEMAS
 from tillstream.settings import COMMERCE_FILES
 
 
-def read_table_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """CSV with a header as the raw table ``table``.
+#: Name of the column that holds the text of CSV records which do not fit the header.
+MISFIT = "misfit_record"
+
+
+def scan_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """CSV records with the columns of the header, all text, and ``misfit_record``.
+
+    Cells may be quoted; a quote in one is doubled, and with ``multi_line`` it may hold line
+    breaks. Such files are read as a whole by one task each, so a large table should come as many
+    files; without ``multi_line`` a file is split. A record with fewer cells than the header lacks
+    the last ones, of one with more the first count; both have their text in ``misfit_record``,
+    which is null for all others. Files of one folder must have the same header.
+    """
+    options = {"header": True, "quote": '"', "escape": '"', "multiLine": multi_line, "enforceSchema": False}
+    columns = spark.read.options(**options).csv(path).columns
+    if MISFIT in columns:
+        raise ValueError(f"{path} has a column {MISFIT}")
+    schema = ", ".join(f"`{name.replace('`', '``')}` string" for name in [*columns, MISFIT])
+    return spark.read.schema(schema).options(**options).option("columnNameOfCorruptRecord", MISFIT).csv(path)
+
+
+def read_table_csv(spark: SparkSession, path: str, table: str, multi_line: bool = True, misfits: bool = False) -> DataFrame:
+    """CSV with a header as the raw table ``table``, see ``scan_csv``.
 
     Columns are taken by their names in the header, so their order and further columns don't matter;
     a missing one is an error, and so are files of one folder with different headers. An unreadable
-    number or time becomes null.
+    number or time becomes null. With ``misfits`` the column ``misfit_record`` is kept.
     """
     fields = [part.split(maxsplit=1) for part in _split_ddl(RAW_SCHEMAS[table])]
-    scanned = spark.read.option("header", True).option("enforceSchema", False).csv(path)
+    scanned = scan_csv(spark, path, multi_line)
     missing = [name for name, _ in fields if name not in scanned.columns]
     if missing:
         raise ValueError(f"{path} has no column {', '.join(missing)}")
-    return scanned.select(*(_from_text(name, kind).alias(name) for name, kind in fields))
+    return scanned.select(*(_from_text(name, kind).alias(name) for name, kind in fields), *([MISFIT] if misfits else []))
+
+
+def misfit_records(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """(file, misfit_record) of the records that do not fit the header of their file."""
+    found = scan_csv(spark, path, multi_line).withColumn("file", F.element_at(F.split(F.input_file_name(), "/"), -1))
+    # Spark refuses to read the text of a record alone, so the condition, always true, asks for a cell.
+    cell = F.coalesce(F.length(F.col(f"`{found.columns[0]}`")), F.lit(0)) >= 0
+    return found.where(F.col(MISFIT).isNotNull() & cell).select("file", MISFIT)
 
 
 def _from_text(name: str, kind: str) -> Column:

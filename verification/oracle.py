@@ -337,6 +337,16 @@ QUERIES = {
                     else o_orderstatus end as order_status,
                o_orderdate as order_purchase_timestamp
         from orders""",
+    "csv_odd_cells": """
+        select c_custkey as customer_id,
+               case c_custkey % 4 when 0 then c_name || ' "the" 2nd, of' || chr(10) || ' x' when 1 then 'a, ' || c_name
+                    else c_name end as customer_city,
+               case when c_custkey % 10 <> 3 then c_mktsegment end as customer_state
+        from customer""",
+    "csv_misfits": """
+        select c_custkey || ',' || case c_custkey % 4 when 1 then '"a, ' || c_name || '"' else c_name end
+               || case c_custkey % 10 when 7 then ',' || c_mktsegment || ',more' else '' end as misfit_record
+        from customer where c_custkey % 10 in (3, 7)""",
     "stg_orders": "select * from s_orders",
     "stg_order_items": """
         select order_id, cast(order_item_id as bigint) as order_item_id, product_id, seller_id,
@@ -418,6 +428,12 @@ QUERIES = {
         select cast(event_id as bigint) as event_id, cast(visitor_id as bigint) as visitor_id, event_type, item_id,
                cast(transaction_id as bigint) as transaction_id, event_ts
         from clicks where cast(event_id as bigint) % 4 <> 0""",
+    "table_reload": f"select {EVENT_COLUMNS} from clicks",
+    "replay_loaded_twice": f"select {EVENT_COLUMNS} from clicks",
+    "document_store_inserts": """
+        select cast(event_id as bigint) as event_id, cast(visitor_id as bigint) as visitor_id, event_type, item_id,
+               cast(transaction_id as bigint) as transaction_id
+        from clicks""",
     "audit_state": "select * from audits",
     "latest_audit": """
         select source_name, batch_id, loaded_at, row_count from audits
@@ -474,6 +490,7 @@ QUERIES = {
         from ({_sessions("s_events", "second", 1800, "first")})
         where date_trunc('second', session_end_ts) + interval 30 minute
               <= (select date_trunc('second', max(event_ts)) - interval 1 hour from s_events)""",
+    "streaming_sessions_all": _sessions("s_events", "second", 1800, "first"),
     "orders_page": """
         select * from order_rows
         where order_status = 'delivered' and customer_state = 'ASIA'

@@ -18,15 +18,18 @@ from tillstream.plans import marts as M
 from tillstream.plans import serving as V
 from tillstream.plans import staging as G
 from tillstream.session import shared_folder
-from tillstream.settings import WAREHOUSE_STATUSES, TopicPlan
-from tillstream.sinks.files import progress_of
-from tillstream.sinks.tables import with_total
+from tillstream.schemas import RAW_SCHEMAS
+from tillstream.settings import WAREHOUSE_STATUSES, ReplayPlan, TopicPlan
+from tillstream.sinks.files import add_documents, progress_of
+from tillstream.sinks.tables import create_table, switch_rows, with_total
 from tillstream.sources import clicks as C
 from tillstream.sources import payloads as P
 from tillstream.sources import testbed as T
 from tillstream.sources.catalog import empty_table
-from tillstream.sources.files import read_table_csv
-from tillstream.streaming.sessions import session_stream, write_closed_sessions
+from tillstream.sources.files import misfit_records, read_table_csv
+from tillstream.streaming.archive import SessionArchive
+from tillstream.streaming.replay import start_replay
+from tillstream.streaming.sessions import click_stream, session_stream, write_closed_sessions
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -105,6 +108,41 @@ def csv_orders(spark, folder):
     )
 
 
+def odd_cells(spark, folder):
+    """Customers as CSV text of our own making: quotes, separators and line breaks in cells, and records that do not fit."""
+    number = F.col("c_custkey").cast("string")
+    name = (
+        F.when(F.col("c_custkey") % 4 == 0, F.concat(F.lit('"'), F.col("c_name"), F.lit(' ""the"" 2nd, of\n x"')))
+        .when(F.col("c_custkey") % 4 == 1, F.concat(F.lit('"a, '), F.col("c_name"), F.lit('"')))
+        .otherwise(F.col("c_name"))
+    )
+    record = (
+        F.when(F.col("c_custkey") % 10 == 3, F.concat_ws(",", number, name))
+        .when(F.col("c_custkey") % 10 == 7, F.concat_ws(",", number, name, "c_mktsegment", F.lit("more")))
+        .otherwise(F.concat_ws(",", number, name, "c_mktsegment"))
+    )
+    path = f"{shared_folder(spark)}/odd-cells-{uuid.uuid4().hex}"
+    dealt = T.table(spark, folder, "customer").select("c_custkey", record.alias("record")).repartition(8, "c_custkey")
+    # Each partition becomes a file, whose first record follows the header.
+    first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
+    header = F.lit("customer_id,customer_city,customer_state\n")
+    dealt.select(F.when(first, F.concat(header, "record")).otherwise(F.col("record")).alias("value")).write.text(path)
+    return path
+
+
+@query
+def csv_odd_cells(spark, folder):
+    """Records of such files as the table of customers."""
+    rows = read_table_csv(spark, odd_cells(spark, folder), "olist_customers")
+    return rows.withColumn("customer_id", F.col("customer_id").cast("bigint"))
+
+
+@query
+def csv_misfits(spark, folder):
+    """Records of such files that do not fit the header."""
+    return misfit_records(spark, odd_cells(spark, folder)).select("misfit_record")
+
+
 @query
 def stg_order_items(spark, folder):
     return plain(G.stage_order_items(T.raw_order_items(spark, folder)))
@@ -276,6 +314,53 @@ def bronze_unseen(spark, folder):
     return U.unseen(U.one_per_key(events, ["event_id"], ["event_ts"]), stored, ["event_id"])
 
 
+def click_files(spark, folder, files):
+    """Events as JSON lines in files that each cover all of the time."""
+    path = f"{shared_folder(spark)}/clicks-{uuid.uuid4().hex}"
+    text = F.date_format("event_ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    raw_clicks(spark, folder).withColumn("event_ts", text).repartition(files, "event_id").write.json(path)
+    return path
+
+
+def own_table(spark, name):
+    """An empty table of events beside the layers."""
+    target = f"checks.{name}_{uuid.uuid4().hex}"
+    spark.sql("CREATE DATABASE IF NOT EXISTS checks")
+    create_table(spark, target, RAW_SCHEMAS["retailrocket_events"])
+    return target
+
+
+@query
+def table_reload(spark, folder):
+    """A table after a load of half of the events, a load of all, and an empty load that keeps them."""
+    events = C.normalize_clicks(raw_clicks(spark, folder), TopicPlan())
+    target = own_table(spark, "reload")
+    switch_rows(events.where(F.col("event_id") % 2 == 0), target)
+    switch_rows(events, target)
+    switch_rows(events.where("false"), target, keep_if_empty=True)
+    return V.as_times(spark.table(target), "event_ts")
+
+
+@query
+def replay_loaded_twice(spark, folder):
+    """The table of a replay whose batches all ran twice."""
+    target = own_table(spark, "replay")
+    plan = ReplayPlan(click_files(spark, folder, 3), f"{shared_folder(spark)}/replay-{uuid.uuid4().hex}")
+    for attempt in ("first", "second"):
+        start_replay(spark, plan, table=target, checkpoint=f"{plan.output}/checkpoint-{attempt}").awaitTermination()
+    return V.as_times(spark.table(target), "event_ts")
+
+
+@query
+def document_store_inserts(spark, folder):
+    """A document store after three loads that overlap."""
+    events = raw_clicks(spark, folder).drop("event_ts")
+    store = f"{shared_folder(spark)}/store-{uuid.uuid4().hex}"
+    for part in (events.where(F.col("event_id") % 3 == 0), events.where(F.col("event_id") % 2 == 0), events.unionByName(events)):
+        add_documents(part, store, key="event_id")
+    return spark.read.parquet(store).drop("bucket")
+
+
 # Audit
 
 
@@ -414,6 +499,15 @@ def streaming_sessions_closed(spark, folder):
     return V.as_times(spark.read.parquet(f"{target}/data"), "session_start_ts", "session_end_ts")
 
 
+@query
+def streaming_sessions_all(spark, folder):
+    """All sessions of a stream whose files each cover all of the time, so that most events are late."""
+    archive = SessionArchive(f"{shared_folder(spark)}/archive-{uuid.uuid4().hex}", buckets=8)
+    clicks = click_stream(spark, click_files(spark, folder, 4), files_per_batch=1)
+    archive.start(clicks, f"{archive.path}/checkpoint").awaitTermination()
+    return archive.sessions(spark).drop("closed")
+
+
 # Serving reads
 
 
