@@ -58,7 +58,7 @@ def test_commerce_files_to_marts(layers, tmp_path):
     assert tables.load_counts(counts, spark).where("table_name = 'total'").first().row_count == 2401
     # Made-up weather covers the first days only; orders of other days have none.
     dates = DayRange(date(2018, 1, 1), date(2018, 12, 31))
-    cities = [city for city, _ in generators.CITY_STATES]
+    cities = [city for city, _ in generators.PLACES]
     jobs.load_fallback(generators.fallback_weather(spark, cities, dates, F.current_timestamp()), "open_meteo", "open_meteo_weather", ["city"], str(tmp_path / "bronze-w"))
     jobs.load_fallback(generators.fallback_fx(spark, "EUR", dates, F.current_timestamp()), "frankfurter", "frankfurter_fx_rates", [], str(tmp_path / "bronze-f"))
     jobs.build_warehouse(spark)

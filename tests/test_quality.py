@@ -1,6 +1,7 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from tillstream.operators import quality as Q
 
@@ -77,3 +78,20 @@ def test_report_and_strict_mode(spark, orders, tmp_path):
     assert document["results"][0]["failures"] == 2
     skipped = Q.check_suite(spark, {}, {"a.b": (Q.rows_above(0),)})
     Q.write_report(skipped, str(tmp_path / "s"))
+
+
+def test_a_table_that_cannot_be_read_skips_itself_only(spark, orders, tmp_path):
+    good = spark.createDataFrame([("1",), (None,)], "code string")
+    good.write.parquet(str(tmp_path / "gone"))
+    gone = spark.read.parquet(str(tmp_path / "gone"))
+    for part in (tmp_path / "gone").glob("part-*"):
+        part.unlink()
+    lost = good.withColumn("code", F.raise_error(F.lit("executor lost")).cast("string"))
+    tables = {"a": good, "b": good.select(F.lit(1).alias("other")), "c": None, "d": lambda: spark.table("no_such_table"), "e": gone, "f": lost}
+    results = Q.run_suite(spark, tables, {name: (Q.not_null("code"),) for name in tables}).collect()
+    assert [(r.table_name, r.status, r.failures) for r in results] == [
+        ("a", "failed", 1), ("b", "skipped", 0), ("c", "skipped", 0), ("d", "skipped", 0), ("e", "skipped", 0), ("f", "failed", 0),
+    ]
+    assert [r.error is None for r in results] == [True, False, True, False, False, False]
+    assert Q.run_check("lost", lambda: lost.where("code = 'x'")).status == "failed"
+    assert Q.run_check("gone", lambda: gone.where("code = 'x'")).status == "skipped"

@@ -6,6 +6,8 @@ import json
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,12 +55,27 @@ class CheckResult:
     error: str | None = None
 
 
+#: What a job that fails raises, and conditions of it that say that the rows of a table are not there.
+PROBLEMS = (PySparkException, Py4JJavaError)
+UNREADABLE = ("FAILED_READ_FILE", "PATH_NOT_FOUND", "CANNOT_READ_FILE_FOOTER", "UNABLE_TO_INFER_SCHEMA")
+
+
+def unreadable(problem: Exception) -> bool:
+    """Whether a check can't run because a table, a column or its files are missing or broken.
+
+    A job that was lost for any other reason, as by its executors, says nothing about the table.
+    """
+    if isinstance(problem, AnalysisException):
+        return True
+    return any(f"[{condition}" in str(problem) for condition in UNREADABLE)
+
+
 def run_check(name: str, violations: Callable[[], DataFrame]) -> CheckResult:
-    """Count the violations; a query that cannot run counts as skipped."""
+    """Count the violations; a query over what is not there is skipped, and one whose job is lost fails."""
     try:
         failures = violations().count()
-    except Exception as problem:
-        return CheckResult(name, "skipped", 0, str(problem))
+    except PROBLEMS as problem:
+        return CheckResult(name, "skipped" if unreadable(problem) else "failed", 0, str(problem))
     return CheckResult(name, "failed" if failures else "passed", failures)
 
 
@@ -212,12 +229,41 @@ def check_suite(
     if absent:
         parts.append(
             spark.createDataFrame(
-                absent, "table_name string, expectation string, column_name string, status string, failures bigint"
+                absent, SUITE_RESULT
             )
         )
     return _union(parts)
 
 
+SUITE_RESULT = "table_name string, expectation string, column_name string, status string, failures bigint"
+
+
+def run_suite(
+    spark: SparkSession,
+    tables: Mapping[str, DataFrame | Callable[[], DataFrame] | None],
+    suite: Mapping[str, Sequence[Expectation]] = SUITE,
+) -> DataFrame:
+    """Results of a suite with the column ``error``, each table checked by a job of its own.
+
+    A table that is absent, lacks a column or cannot be read has its expectations skipped, with the
+    error, and the others are checked; a job that is lost for another reason makes them fail. A table
+    may be given as a function, so that one that cannot even be opened is skipped, too. A job
+    returns one row for each expectation.
+    """
+    rows = []
+    for name, expectations in suite.items():
+        frame, error, status = tables.get(name), None, "skipped"
+        try:
+            if frame is not None:
+                frame = frame() if callable(frame) else frame
+                rows += [(*row, None) for row in check_table(name, frame, expectations).collect()]
+                continue
+        except PROBLEMS as problem:
+            error, status = str(problem), "skipped" if unreadable(problem) else "failed"
+        rows += [(name, e.kind, e.column, status, 0, error) for e in expectations]
+    return spark.createDataFrame(rows, f"{SUITE_RESULT}, error string")
+
+
 def catalog_tables(spark: SparkSession, names: Sequence[str]) -> dict[str, DataFrame | None]:
     return {name: spark.table(name) if spark.catalog.tableExists(name) else None for name in names}
 

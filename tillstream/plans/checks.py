@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -39,7 +40,7 @@ def run_violation_queries(spark: SparkSession) -> DataFrame:
 
 
 def run_suite(spark: SparkSession) -> DataFrame:
-    return Q.check_suite(spark, Q.catalog_tables(spark, list(Q.SUITE)), Q.SUITE)
+    return Q.run_suite(spark, {name: partial(spark.table, name) for name in Q.SUITE})
 
 
 def run_quality(spark: SparkSession, report: str, contracts: Sequence[Mapping] = (), strict: bool = True) -> None:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillstream.functions.expressions import batch_id, strip
@@ -30,25 +30,29 @@ def load_commerce(spark: SparkSession, folder: str, listed: Iterable[str] | None
     return counts
 
 
+def product_documents(payloads: DataFrame, batch: Column, ingested_at: Column, fallback: bool = False) -> DataFrame:
+    """The accepted answers with a code, as documents of a batch."""
+    code = strip(F.col("product.code"))
+    return envelope(
+        accepted_products(payloads).where(code != ""),
+        [code.alias("product_code")],
+        batch,
+        ingested_at,
+        F.struct("status", "product"),
+        source_system="open_food_facts",
+        fallback=fallback,
+    )
+
+
 def load_products(payloads: DataFrame, bronze: str, store: str | None = None, fallback: bool = False) -> int:
     """Refresh the food products from answers; the accepted answers are kept as documents."""
-    code = strip(F.col("product.code"))
-    kept = accepted_products(payloads).where(code != "")
     return _load(
         payloads.sparkSession,
         "open_food_facts",
         "open-food-facts",
         "open_food_facts_products",
         normalize_products(payloads, F.current_timestamp()),
-        lambda batch: envelope(
-            kept,
-            [code.alias("product_code")],
-            F.lit(batch),
-            _now_text(),
-            F.struct("status", "product"),
-            source_system="open_food_facts",
-            fallback=fallback,
-        ),
+        lambda batch: product_documents(payloads, F.lit(batch), _now_text(), fallback),
         bronze,
         store,
     )

@@ -380,11 +380,12 @@ QUERIES = {
     "bronze_envelope": """
         select code as product_code, 'open-food-facts-20240101T000000' as batch_id,
                timestamp '2024-01-01 00:00:00' as ingested_at,
-               '{"status":1,"product":{"code":"' || case when code = '' then '  ' else ' ' || code end
-               || '","product_name":"' || product_name || '","brands":'
-               || coalesce('"' || brands || '"', 'null') || '}}' as payload,
+               '{"status":1,"product":{"code":" ' || code || '","product_name":"' || product_name || '","generic_name":'
+               || coalesce('"' || generic_name || '"', 'null') || ',"brands":' || coalesce('"' || brands || '"', 'null')
+               || ',"categories":"' || categories || '","image_front_url":null,"ecoscore_grade":'
+               || coalesce('"' || ecoscore_grade || '"', 'null') || '}}' as payload,
                'open_food_facts' as source_system, false as fallback
-        from offers""",
+        from offers where code <> ''""",
     "fx_payload_normalize": """
         select cast(o_orderdate as date) as rate_date, 'EUR' as base_currency, quote_currency,
                cast(case quote_currency when 'USD' then o_orderkey % 5 else o_orderkey % 9 + 1 end as double) as fx_rate,
@@ -638,6 +639,7 @@ QUERIES = {
            or product_name is null or nullif(trim(product_name), '') is null""",
     "dq_suite": SUITE,
     "dq_suite_skips": SUITE_SKIPS,
+    "dq_suite_unreadable": SUITE_SKIPS,
     "dq_summary": f"""
         select count(*) filter (where status = 'passed') as passed, count(*) filter (where status = 'failed') as failed,
                count(*) filter (where status = 'skipped') as skipped

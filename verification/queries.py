@@ -17,6 +17,7 @@ from tillstream.plans import insights as I
 from tillstream.plans import marts as M
 from tillstream.plans import serving as V
 from tillstream.plans import staging as G
+from tillstream.plans.jobs import product_documents
 from tillstream.session import shared_folder
 from tillstream.schemas import RAW_SCHEMAS
 from tillstream.settings import WAREHOUSE_STATUSES, ReplayPlan, TopicPlan
@@ -210,16 +211,8 @@ def product_payload_normalize(spark, folder):
 
 @query
 def bronze_envelope(spark, folder):
-    payloads = P.accepted_products(product_payloads(spark, folder))
-    return P.envelope(
-        payloads,
-        [F.trim("product.code").alias("product_code")],
-        F.lit("open-food-facts-20240101T000000"),
-        loaded_at(),
-        F.struct("status", F.struct("product.code", "product.product_name", "product.brands").alias("product")),
-        source_system="open_food_facts",
-        fallback=False,
-    )
+    """The documents that a load of products keeps."""
+    return product_documents(product_payloads(spark, folder), F.lit("open-food-facts-20240101T000000"), loaded_at())
 
 
 @query
@@ -822,6 +815,14 @@ def dq_suite_skips(spark, folder):
     return Q.check_suite(spark, suite_tables(spark, folder) | {"raw.open_meteo_weather": None})
 
 
+@query
+def dq_suite_unreadable(spark, folder):
+    """The suite with a table that lacks a checked column: its checks are skipped, the others run."""
+    tables = suite_tables(spark, folder)
+    weather = tables["raw.open_meteo_weather"].select(F.lit(1).alias("other"))
+    return Q.run_suite(spark, tables | {"raw.open_meteo_weather": weather}).drop("error")
+
+
 @query
 def dq_summary(spark, folder):
     return Q.summarize_results(Q.check_suite(spark, suite_tables(spark, folder)))
