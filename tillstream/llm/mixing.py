@@ -8,6 +8,9 @@ seeded hashes.
 
 from __future__ import annotations
 
+from fractions import Fraction
+from heapq import heapify, heapreplace
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -57,14 +60,20 @@ def apportion(votes: np.ndarray, seats: int) -> np.ndarray:
             low = middle
         else:
             high = middle
-    got = np.floor(votes / high + 0.5).astype(np.int64)
-    while (rest := seats - int(got.sum())) > 0:
-        # One round of quotients; each party may win once, so equal quotients are met in order.
-        best = np.argsort(-(votes / (2 * got + 1)), kind="stable")[: min(rest, len(votes))]
-        top = votes[best] / (2 * got[best] + 1)
-        follow = votes[best[0]] / (2 * got[best[0]] + 3)
-        won = best[top >= follow]
-        got[won] += 1
+    # A little less than that for certain, so that a seat of equal quotients is still to be given.
+    got = np.maximum(np.floor(votes / high * (1 - 1e-12) + 0.5 - 1e-9), 0).astype(np.int64)
+    rest = seats - int(got.sum())
+    if rest > 0:
+        # Only the highest quotients can win one of the rest; these are compared as exact fractions.
+        quotient = votes / (2 * got + 1)
+        least = np.partition(quotient, -min(rest, len(votes)))[-min(rest, len(votes))]
+        chosen = np.flatnonzero(quotient >= least * (1 - 1e-9)).tolist()
+        heap = [(-Fraction(votes[i]) / int(2 * got[i] + 1), i) for i in chosen]
+        heapify(heap)
+        for _ in range(rest):
+            i = heap[0][1]
+            got[i] += 1
+            heapreplace(heap, (-Fraction(votes[i]) / int(2 * got[i] + 1), i))
     return got
 
 
