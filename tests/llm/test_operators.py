@@ -6,6 +6,7 @@ import hashlib
 import itertools
 import re
 import zlib
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -125,11 +126,25 @@ def test_benchmark_matches_brute_force(spark, documents):
 def test_seeds_miss_no_pattern_of_changes():
     item = np.arange(1, 21, dtype=np.uint64)
     for count in range(1, 21):
-        words, width = item[:count], D.run_length(count)
+        words = item[:count]
+        shown = [(mask, D.seeds(words, mask)) for mask in D.masks_of(count)]
+        assert all(mask[0] == 0 and len(mask) <= count - count // 5 for mask, _ in shown)
         for changed in itertools.combinations(range(count), count // 5):
             other = words.copy()
             other[list(changed)] += np.uint64(100)
-            assert (D.seeds(words, width) == D.seeds(other, width)).any(), (count, changed)
+            assert any((own == D.seeds(other, mask)).any() for mask, own in shown), (count, changed)
+
+
+def test_masks_ignore_what_lies_between_their_places():
+    mask = (0, 1, 3)
+    words = np.arange(1, 30, dtype=np.uint64)
+    other = words.copy()
+    other[[4, 12]] = 77
+    same = D.seeds(words, mask) == D.seeds(other, mask)
+    assert same[2] and same[10] and not same[[1, 3, 4, 9, 11, 12]].any()
+    assert D.seeds(words[:3], mask).size == 0 and not set(D.seeds(words, (0, 1, 3))) & set(D.seeds(words, (0, 1, 2)))
+    # All but the shortest items are sought by masks with gaps.
+    assert all(any(m[-1] >= len(m) for m in D.masks_of(count)) for count in range(5, 30))
 
 
 def test_changed_and_short_items_are_found(spark):
@@ -170,7 +185,13 @@ def test_trees_keep_their_constraints_and_separate():
     forest = Q.fit_forest(x, y, [-1, 0, 0])
     grid = np.stack([np.linspace(0, 1, 200), np.full(200, 0.7), np.full(200, 0.5)], axis=1)
     assert (np.diff(forest.margin(grid)) <= 1e-12).all()
-    assert ((forest.probability(x) > 0.5) == (y > 0)).mean() > 0.9
+    # No cut of one feature alone does better than these two together.
+    cuts = np.linspace(0, 1, 101)
+    best = max((((x[:, 0] < a) & (x[:, 1] > b)) == (y > 0)).mean() for a in cuts for b in cuts[:50])
+    assert ((forest.probability(x) > 0.5) == (y > 0)).mean() > best - 0.02
+    falling = (x[:, 0] + 0.5 * x[:, 2] < 0.7).astype(float)
+    forest = Q.fit_forest(x, falling, [-1, 0, -1])
+    assert ((forest.probability(x) > 0.5) == (falling > 0)).mean() > 0.93
     assert (Q.fit_forest(x, np.ones(2_000), [0, 0, 0]).probability(x) > 0.9).all()
     assert Q.fit_forest(np.zeros((0, 3)), np.zeros(0), [0, 0, 0]).probability(x).shape == (2_000,)
 
@@ -291,6 +312,18 @@ def test_seats_are_those_of_the_highest_quotients():
         assert M.apportion(votes, seats).tolist() == got
 
 
+def test_seats_of_equal_quotients_are_exact():
+    rng = np.random.default_rng(9)
+    for _ in range(1_500):
+        votes, seats = rng.integers(0, 12, int(rng.integers(1, 7))), int(rng.integers(0, 30))
+        got = [0] * len(votes)
+        for _ in range(seats if votes.sum() else 0):
+            got[max(range(len(votes)), key=lambda i: (Fraction(int(votes[i]), 2 * got[i] + 1), -i))] += 1
+        assert M.apportion(votes, seats).tolist() == got
+    many = M.apportion(rng.random(20_000) * 1e9, 1_000_003)
+    assert many.sum() == 1_000_003
+
+
 def test_mix_reaches_targets(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     rows = M.mix_sources(docs).join(docs.select("doc_id", "source"), "doc_id").toPandas()

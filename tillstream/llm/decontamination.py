@@ -1,10 +1,13 @@
-"""Benchmark decontamination by seeds.
+"""Benchmark decontamination by spaced seeds.
 
-A seed is a run of words. However the words that may differ lie in a window, one run between them
-has at least ``run_length`` words, so seeds of this length miss no alignment that verification would
-accept. Hashes of benchmark items and of documents are joined; around each hit the words are
-compared along the hit's alignment, and an item counts as found if most words of a long enough
-window agree.
+A seed is what a mask shows of the words: it ignores the words at some places, which may differ.
+For every length of item there are up to three masks such that, however the words that may differ
+lie in a window, one mask at one place meets none of them; so seeds miss no alignment that
+verification would accept (a test tries all patterns of changes). Because of their gaps the masks
+show more words than the longest run that is sure to be left unchanged: six of a window of 20,
+where the run has four. Hashes of benchmark items and of documents are joined; around each hit the
+words are compared along the hit's alignment, and an item counts as found if most words of a long
+enough window agree.
 
 Before the join, documents drop seeds that cannot match by a bit filter over the benchmark's seeds.
 Its size is bounded; a filter that is too small lets more seeds through but loses none.
@@ -37,47 +40,67 @@ def plain_words(text: str | None) -> list[bytes]:
     return (text or "").lower().encode().translate(_PLAIN).split()
 
 
-def run_length(count: int) -> int:
-    """Words of the longest run that any accepted window of an item of ``count`` words has left unchanged."""
-    size = min(count, WINDOW)
-    changed = size * (100 - PERCENT) // 100
-    return -(-(size - changed) // (changed + 1))
-
-
-#: Words of the longest seed of any item.
-SPAN = max(map(run_length, range(WINDOW + 1)))
-
-
-def seeds(words: np.ndarray, width: int) -> np.ndarray:
-    """Hash of each run of ``width`` words."""
-    count = max(len(words) - width + 1, 0)
-    total = np.zeros(count, np.uint64)
-    for i in range(width):
-        total = total * _GOLDEN + words[i : i + count]
-    return mix(total + np.uint64(width))
+#: Places that a mask shows, by the words of an item (of its window, if it is longer). In four words none may differ.
+MASKS: dict[int, tuple[tuple[int, ...], ...]] = {
+    1: ((0,),),
+    2: ((0, 1),),
+    3: ((0, 1, 2),),
+    4: ((0, 1, 2, 3),),
+    5: ((0, 1, 3), (0, 2, 3)),
+    6: ((0, 1, 2, 4), (0, 2, 3, 4)),
+    7: ((0, 1, 2, 3, 5), (0, 1, 3, 4, 5), (0, 2, 3, 4, 5)),
+    8: ((0, 1, 2, 3, 4, 6), (0, 1, 2, 4, 5, 6), (0, 2, 3, 4, 5, 6)),
+    9: ((0, 1, 2, 3, 5, 6), (0, 1, 3, 4, 5, 6)),
+    10: ((0, 1, 2, 4, 5), (0, 1, 3, 6, 7), (0, 1, 2, 5, 7)),
+    11: ((0, 1, 3, 5, 6), (0, 1, 2, 5, 6)),
+    12: ((0, 1, 2, 4, 6, 7), (0, 2, 3, 6, 7, 8), (0, 1, 2, 3, 4, 6)),
+    13: ((0, 1, 2, 4, 6, 7), (0, 1, 4, 5, 6, 7)),
+    14: ((0, 1, 2, 4, 6, 7, 8), (0, 1, 2, 4, 7, 9, 10), (0, 1, 2, 3, 4, 5, 7)),
+    15: ((0, 1, 2, 3, 5, 6), (0, 1, 4, 8, 9, 10), (0, 1, 3, 5, 6, 10)),
+    16: ((0, 1, 2, 3, 5, 6), (0, 2, 3, 11, 12, 13), (0, 1, 2, 4, 5, 6)),
+    17: ((0, 1, 2, 3, 5, 6), (0, 1, 2, 4, 8, 9)),
+    18: ((0, 1, 2, 4, 7, 8, 9), (0, 1, 2, 5, 10, 11, 12), (0, 1, 2, 4, 5, 6, 7)),
+    19: ((0, 1, 2, 4, 7, 9, 10, 11), (0, 1, 2, 3, 4, 6, 7, 8), (0, 1, 2, 10, 12, 13, 14, 15)),
+    20: ((0, 1, 2, 3, 5, 6), (0, 1, 2, 4, 8, 9), (0, 1, 2, 4, 5, 6)),
+}
+#: Words from the first to the last place of the longest mask.
+SPAN = 1 + max(mask[-1] for masks in MASKS.values() for mask in masks)
+
+
+def masks_of(count: int) -> tuple[tuple[int, ...], ...]:
+    """The masks of an item of ``count`` words."""
+    return MASKS[min(count, WINDOW)]
+
+
+def seeds(words: np.ndarray, mask: tuple[int, ...]) -> np.ndarray:
+    """Hash of what the mask shows at each place."""
+    count = max(len(words) - mask[-1], 0)
+    total = np.full(count, sum(1 << place for place in mask), np.uint64)
+    for place in mask:
+        total = total * _GOLDEN + words[place : place + count]
+    return mix(total)
 
 
 def benchmark_seeds(benchmark: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(item, hash, offset, width): each seed of each item once."""
+    """(item, hash, offset, mask): each seed of each item once; a mask is told by the bits of its places."""
 
     def cut(batches):
         hashes = WordHashes()
         for batch in batches:
             for item, text in zip(batch.column(0), strings(batch, text_col)):
                 words = hashes.of(plain_words(text))
-                if len(words):
-                    width = run_length(len(words))
-                    found = seeds(words, width)
+                for mask in masks_of(len(words)) if len(words) else ():
+                    found, bits = seeds(words, mask), sum(1 << place for place in mask)
                     yield pa.record_batch(
-                        [pa.array([item.as_py()] * len(found), batch.column(0).type), pa.array(found.view(np.int64)), pa.array(np.arange(len(found))), pa.array(np.full(len(found), width))],
-                        names=["item", "hash", "offset", "width"],
+                        [pa.array([item.as_py()] * len(found), batch.column(0).type), pa.array(found.view(np.int64)), pa.array(np.arange(len(found))), pa.array(np.full(len(found), bits))],
+                        names=["item", "hash", "offset", "mask"],
                     )
 
     kind = benchmark.schema[id_col].dataType.simpleString()
-    return over_batches(benchmark.where(F.col(id_col).isNotNull()), [id_col, text_col], cut, f"item {kind}, hash long, offset long, width long").distinct()
+    return over_batches(benchmark.where(F.col(id_col).isNotNull()), [id_col, text_col], cut, f"item {kind}, hash long, offset long, mask long").distinct()
 
 
-def find_hits(docs: DataFrame, bits: np.ndarray, log2: int, widths: list[int], id_col: str, text_col: str) -> DataFrame:
+def find_hits(docs: DataFrame, bits: np.ndarray, log2: int, masks: list[tuple[int, ...]], id_col: str, text_col: str) -> DataFrame:
     """(id, text_key, part, words, hits): stretches of documents around seeds that pass the filter."""
     sent = docs.sparkSession.sparkContext.broadcast(bits)
 
@@ -87,7 +110,7 @@ def find_hits(docs: DataFrame, bits: np.ndarray, log2: int, widths: list[int], i
             rows, parts, words_out, ats, keys, counts = [], [], [], [], [], []
             for row, text in enumerate(strings(batch, "body")):
                 words = hashes.of(plain_words(text))
-                runs = [seeds(words, width) for width in widths]
+                runs = [seeds(words, mask) for mask in masks]
                 hits = [passing(sent.value, log2, run) for run in runs]
                 at, key = np.concatenate(hits), np.concatenate([run[hit] for run, hit in zip(runs, hits)])
                 if not len(at):
@@ -145,8 +168,11 @@ def contaminated(
     """
     found = stored(benchmark_seeds(benchmark, item_col, item_text_col), "seeds")
     bits, log2 = bit_filter(found.select("hash"))
-    widths = sorted(row[0] for row in found.select("width").distinct().collect()) or [SPAN]
-    stretches = stored(find_hits(docs, bits, log2, widths, id_col, text_col), "stretches")
+    used = {row["mask"] for row in found.select("mask").distinct().collect()}
+    # The masks that the benchmark has, at most as many as there are in all; without items one that finds nothing.
+    shown = {sum(1 << place for place in mask): mask for masks in MASKS.values() for mask in masks}
+    masks = [mask for bits_of, mask in sorted(shown.items()) if bits_of in used] or [MASKS[1][0]]
+    stretches = stored(find_hits(docs, bits, log2, masks, id_col, text_col), "stretches")
     hits = stretches.select("part", F.explode(F.arrays_zip("ats", "hashes")).alias("hit")).select("part", "hit.ats", F.col("hit.hashes").alias("hash"))
     aligned = hits.join(found, "hash").select("part", "item", (F.col("ats") - F.col("offset")).alias("diagonal")).distinct()
     items = benchmark.where(F.col(item_col).isNotNull()).select(F.col(item_col).alias("item"), F.col(item_text_col).alias("item_text"))
