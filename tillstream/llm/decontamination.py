@@ -16,6 +16,7 @@ Its size is bounded; a filter that is too small lets more seeds through but lose
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +28,8 @@ from .common import WordHashes, bit_filter, lists, mix, over_batches, passing, s
 #: Words of the window that is verified, and the percentage of them that must agree.
 WINDOW = 20
 PERCENT = 80
+#: Documents are searched together up to about so many words.
+WORDS_AT_ONCE = 50_000
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 #: ASCII letters in lower case, other ASCII characters but digits as blanks.
@@ -55,12 +58,12 @@ MASKS: dict[int, tuple[tuple[int, ...], ...]] = {
     11: ((0, 1, 3, 5, 6), (0, 1, 2, 5, 6)),
     12: ((0, 1, 2, 4, 6, 7), (0, 2, 3, 6, 7, 8), (0, 1, 2, 3, 4, 6)),
     13: ((0, 1, 2, 4, 6, 7), (0, 1, 4, 5, 6, 7)),
-    14: ((0, 1, 2, 4, 6, 7, 8), (0, 1, 2, 4, 7, 9, 10), (0, 1, 2, 3, 4, 5, 7)),
+    14: ((0, 1, 2, 4, 6, 7), (0, 1, 4, 5, 6, 7)),
     15: ((0, 1, 2, 3, 5, 6), (0, 1, 4, 8, 9, 10), (0, 1, 3, 5, 6, 10)),
     16: ((0, 1, 2, 3, 5, 6), (0, 2, 3, 11, 12, 13), (0, 1, 2, 4, 5, 6)),
     17: ((0, 1, 2, 3, 5, 6), (0, 1, 2, 4, 8, 9)),
-    18: ((0, 1, 2, 4, 7, 8, 9), (0, 1, 2, 5, 10, 11, 12), (0, 1, 2, 4, 5, 6, 7)),
-    19: ((0, 1, 2, 4, 7, 9, 10, 11), (0, 1, 2, 3, 4, 6, 7, 8), (0, 1, 2, 10, 12, 13, 14, 15)),
+    18: ((0, 1, 2, 3, 5, 6), (0, 1, 2, 4, 8, 9)),
+    19: ((0, 1, 2, 3, 5, 6), (0, 1, 2, 4, 8, 9)),
     20: ((0, 1, 2, 3, 5, 6), (0, 1, 2, 4, 8, 9), (0, 1, 2, 4, 5, 6)),
 }
 #: Words from the first to the last place of the longest mask.
@@ -100,34 +103,61 @@ def benchmark_seeds(benchmark: DataFrame, id_col: str, text_col: str) -> DataFra
     return over_batches(benchmark.where(F.col(id_col).isNotNull()), [id_col, text_col], cut, f"item {kind}, hash long, offset long, mask long").distinct()
 
 
+def _grouped(texts) -> Iterator[tuple[int, list[np.ndarray]]]:
+    """Consecutive texts with words, about WORDS_AT_ONCE in all, as (number of the first, texts)."""
+    first, size, group = 0, 0, []
+    for words in texts:
+        if group and size + len(words) > WORDS_AT_ONCE:
+            yield first, group
+            first, size, group = first + len(group), 0, []
+        group.append(words)
+        size += len(words)
+    if size:
+        yield first, group
+
+
 def find_hits(docs: DataFrame, bits: np.ndarray, log2: int, masks: list[tuple[int, ...]], id_col: str, text_col: str) -> DataFrame:
     """(id, text_key, part, words, hits): stretches of documents around seeds that pass the filter."""
     sent = docs.sparkSession.sparkContext.broadcast(bits)
 
+    def stretches_of(texts: list[np.ndarray]):
+        """(text, words, places of hits, their hashes) of each stretch of several texts, sought together."""
+        ends = np.cumsum([len(words) for words in texts])
+        words = np.concatenate(texts)
+        ats, keys = [], []
+        for mask in masks:
+            found = seeds(words, mask)
+            at = passing(sent.value, log2, found)
+            # A seed that reaches into the next text is none.
+            at = at[at + mask[-1] < ends[np.searchsorted(ends, at, side="right")]]
+            ats.append(at)
+            keys.append(found[at])
+        at, key = np.concatenate(ats), np.concatenate(keys)
+        order = np.argsort(at, kind="stable")
+        at, key = at[order], key[order]
+        text = np.searchsorted(ends, at, side="right")
+        breaks = np.flatnonzero((np.diff(at) > SPAN + 2 * WINDOW) | (np.diff(text) > 0)) + 1
+        for first, behind in zip(np.append(0, breaks), np.append(breaks, len(at))) if len(at) else ():
+            row = text[first]
+            begin = max(at[first] - WINDOW, ends[row] - len(texts[row]))
+            stop = min(at[behind - 1] + SPAN + WINDOW, ends[row])
+            yield row, words[begin:stop], at[first:behind] - begin, key[first:behind]
+
     def scan(batches):
         hashes = WordHashes()
         for batch in batches:
-            rows, parts, words_out, ats, keys, counts = [], [], [], [], [], []
-            for row, text in enumerate(strings(batch, "body")):
-                words = hashes.of(plain_words(text))
-                runs = [seeds(words, mask) for mask in masks]
-                hits = [passing(sent.value, log2, run) for run in runs]
-                at, key = np.concatenate(hits), np.concatenate([run[hit] for run, hit in zip(runs, hits)])
-                if not len(at):
+            texts = strings(batch, "body")
+            for rows, group in _grouped(map(hashes.of, map(plain_words, texts))):
+                found = list(stretches_of(group))
+                if not found:
                     continue
-                order = np.argsort(at, kind="stable")
-                at, key = at[order], key[order]
-                for stretch in np.split(np.arange(len(at)), np.flatnonzero(np.diff(at) > SPAN + 2 * WINDOW) + 1):
-                    begin = max(int(at[stretch[0]]) - WINDOW, 0)
-                    rows.append(row)
-                    parts.append(int.from_bytes(os.urandom(8), "little", signed=True))
-                    words_out.append(words[begin : int(at[stretch[-1]]) + SPAN + WINDOW].view(np.int64))
-                    ats.append(at[stretch] - begin)
-                    keys.append(key[stretch].view(np.int64))
-            if rows:
-                taken = batch.take(pa.array(rows))
+                taken = batch.take(pa.array([rows + int(row) for row, *_ in found]))
+                parts = [int.from_bytes(os.urandom(8), "little", signed=True) for _ in found]
                 yield pa.record_batch(
-                    [taken.column(0), taken.column(2), pa.array(parts, pa.int64()), lists(words_out, pa.int64()), lists(ats, pa.int64()), lists(keys, pa.int64())],
+                    [
+                        taken.column(0), taken.column(2), pa.array(parts, pa.int64()), lists([w.view(np.int64) for _, w, _, _ in found], pa.int64()),
+                        lists([at for _, _, at, _ in found], pa.int64()), lists([key.view(np.int64) for *_, key in found], pa.int64()),
+                    ],
                     names=["id", "text_key", "part", "words", "ats", "hashes"],
                 )
 
