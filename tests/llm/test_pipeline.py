@@ -21,7 +21,7 @@ def test_query_equals_sql(spark, name):
 
 def test_each_operator_has_a_query():
     names = entry.queries()
-    assert all(any(name.startswith(f"op{n}_") for name in names) for n in range(1, 11)) and "pipeline" in names
+    assert all(any(name.startswith(f"op{n}_") for name in names) for n in range(1, 14)) and "pipeline" in names
 
 
 def test_stages(spark, documents, odd, empty):
