@@ -5,28 +5,34 @@ of the curve. A word's
 probability is the product of its bytes' probabilities, each given the bytes before it in the word.
 Interpolated Kneser-Ney smoothing discounts the class counts and hands the rest to the next shorter
 context. Contexts shorter than ``SHARED`` use the counts of both classes together, so rare
-expressions rest on the shared model. A word speaks for toxicity by the difference of the two
-log-likelihoods beyond ``MARGIN``, up to ``MOST`` more; what is below the margin is noise of sparse
-counts. A document's evidence is the root of their mean over its words; a logistic curve fitted on
-held-out documents turns evidence and length into a score.
-
-A model of few n-grams is sent to the executors. A larger one stays a table: the evidence of the
-distinct words comes from shuffled joins of their n-grams with it, and the words that have any are
-joined to the documents they occur in. Both ways use all n-grams and give the same scores.
+expressions rest on the shared model. A document has two measures: the difference of the two
+log-likelihoods per byte, and the root of the mean over its words of what the difference of a word
+has beyond ``MARGIN``, up to ``MOST``, which a few strong words raise in a long text. A logistic
+curve fitted on held-out documents turns both and the length into a score.
+
+All n-grams are kept. Spark counts and smooths them and writes them in ascending order as files in the
+shared folder; tasks map the files into memory and look n-grams up by binary search. Nothing of the
+model but the paths of its files passes the driver, and there is one way for every size.
 """
 
 from __future__ import annotations
 
+import mmap
+import uuid
 from collections import Counter
 from dataclasses import dataclass, replace
+from itertools import islice
+from urllib.parse import unquote, urlparse
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, binary, bit_filter, lists, over_batches, passing, sized, stored
+from tillstream.session import shared_folder
+
+from .common import binary, over_batches, stored
 from .training import clean_labels
 
 #: Bytes of the longest n-gram; an n-gram and its length fit a 64-bit number.
@@ -39,14 +45,10 @@ PRIOR = 1.0
 #: Log-likelihood difference of a word that is noise, and the most that counts beyond it.
 MARGIN = 2.0
 MOST = 8.0
-#: N-grams of a model that is sent to the executors at most, 40 bytes each; a larger one is joined.
-MODEL_ROWS = 400_000
-#: N-grams up to this length are few (65,793 at most) and are sent in any case.
-SHORT = 2
-#: Evidence that is summed by Spark is in units of 1 / FIXED, so the order of a sum doesn't matter.
-FIXED = 1 << 32
-#: Labelled ids that are broadcast at most; beyond it labels and documents are shuffled.
-LABEL_ROWS = 4_000_000
+#: N-grams of a file, 24 bytes each.
+FILE_GRAMS = 1_000_000
+#: Words whose n-grams are formed at a time.
+STEP_WORDS = 20_000
 #: Labelled documents of which the curve is fitted, left out of the counts.
 CURVE_ROWS = 4_000
 
@@ -79,75 +81,139 @@ def grams(words: list[bytes], order: int | None = None) -> tuple[list[np.ndarray
     return keys, word, depth
 
 
+class GramFile:
+    """One file of the model: ascending n-grams, per class what they add and what they hand down."""
+
+    def __init__(self, data):
+        count = int(np.frombuffer(data, "<u8", 1)[0])
+        self.keys = np.frombuffer(data, "<u8", count, 8)
+        self.gain, self.rest = np.frombuffer(data, "<f4", 4 * count, 8 + 8 * count).reshape(2, 2, count)
+
+
+def encode_grams(keys: np.ndarray, gain: np.ndarray, rest: np.ndarray) -> bytes:
+    return np.array([len(keys)], "<u8").tobytes() + keys.astype("<u8").tobytes() + np.stack([gain, rest]).astype("<f4").tobytes()
+
+
+def publish(rows: DataFrame) -> tuple[str, ...]:
+    """Write the smoothed n-grams as files of up to ``FILE_GRAMS``, in ascending order; their paths.
+
+    The files stay in the shared folder. Where that is no path of the machines' own, each executor
+    fetches them from it once.
+    """
+    spark = rows.sparkSession
+    columns = ["gram", *(f"{what}_{c}" for what in ("gain", "rest") for c in (0, 1))]
+
+    def write(batches):
+        held, count = [], 0
+
+        def file():
+            found = pa.Table.from_batches(held)
+            keys, *values = (found.column(i).to_numpy() for i in range(5))
+            content = encode_grams(keys, np.stack(values[:2]), np.stack(values[2:]))
+            return pa.record_batch([pa.array([content], pa.binary())], names=["content"])
+
+        for batch in batches:
+            held.append(batch)
+            count += batch.num_rows
+            if count >= FILE_GRAMS:
+                yield file()
+                held, count = [], 0
+        if count:
+            yield file()
+
+    ordered = rows.select(*columns).repartitionByRange("gram").sortWithinPartitions("gram")
+    path = f"{shared_folder(spark).rstrip('/')}/llm-model-{uuid.uuid4().hex}"
+    # The text writer puts the bytes of a value and one separator into a file of its own.
+    content = ordered.mapInArrow(write, "content binary").select(F.col("content").cast("string").alias("value"))
+    content.write.option("maxRecordsPerFile", 1).option("compression", "none").text(path)
+    found = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path").collect()
+    paths = sorted(row["path"] for row in found)
+    for each in paths:
+        if urlparse(each).scheme not in ("", "file"):
+            spark.sparkContext.addFile(each)
+    return tuple(paths)
+
+
+def mapped(path: str) -> GramFile:
+    """A file of the model in the memory of a task."""
+    parts = urlparse(path)
+    local = unquote(parts.path) if parts.scheme in ("", "file") else SparkFiles.get(path.rsplit("/", 1)[1])
+    with open(local, "rb") as file:
+        return GramFile(mmap.mmap(file.fileno(), 0, access=mmap.ACCESS_READ))
+
+
 @dataclass(frozen=True)
 class Model:
-    """Sorted n-grams and, per class, what they add and what their continuations hand down.
+    """Paths of the files of n-grams, and the curve: weights of both measures, of one, of log length."""
+
+    paths: tuple[str, ...] = ()
+    weights: tuple[float, float, float, float] = (0.0, 0.0, 0.0, 0.0)
+
+    def curve(self, mean: np.ndarray, excess: np.ndarray, words: np.ndarray) -> np.ndarray:
+        a, b, c, d = self.weights
+        return 1 / (1 + np.exp(-np.clip(a * mean + b * excess + c + d * np.log1p(words), -30, 30)))
 
-    If there is a ``table``, it holds the n-grams longer than ``SHORT`` and the arrays the others.
-    """
 
-    keys: np.ndarray
-    gain: np.ndarray
-    rest: np.ndarray
-    slope: float
-    shift: float
-    bend: float
-    table: DataFrame | None = None
+class Evidence:
+    """Measures of documents by the files of a model; words met before are looked up."""
+
+    limit = 300_000
 
-    def parts(self) -> tuple:
-        return self.keys, self.gain, self.rest, self.slope, self.shift, self.bend
+    def __init__(self, files: list[GramFile]):
+        self.files = sorted((file for file in files if len(file.keys)), key=lambda file: file.keys[0])
+        self.firsts = np.array([file.keys[0] for file in self.files[1:]], np.uint64)
+        self.known: dict[bytes, int] = {}
+        self.values = np.zeros(0)
 
     def look(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        at = np.minimum(np.searchsorted(self.keys, keys), max(len(self.keys) - 1, 0))
-        return at, self.keys[at] == keys
+        """(gain, rest) of ascending n-grams by class; unknown ones add nothing and hand all down."""
+        gain, rest = np.zeros((2, len(keys))), np.ones((2, len(keys)))
+        cuts = [0, *np.searchsorted(keys, self.firsts).tolist(), len(keys)]
+        for file, begin, end in zip(self.files, cuts, cuts[1:]):
+            if begin < end:
+                at = np.minimum(np.searchsorted(file.keys, keys[begin:end]), len(file.keys) - 1)
+                found = np.flatnonzero(file.keys[at] == keys[begin:end])
+                gain[:, begin + found] = file.gain[:, at[found]]
+                rest[:, begin + found] = file.rest[:, at[found]]
+        return gain, rest
 
     def words(self, words: list[bytes]) -> np.ndarray:
-        """Evidence of each word: toxic minus ordinary log-likelihood."""
-        if not words or not len(self.keys):
+        """Toxic minus ordinary log-likelihood of each word."""
+        if not words or not self.files:
             return np.zeros(len(words))
         keys, word, depth = grams(words)
         p = np.full((2, len(word)), 1 / 256)
         # What the context hands down was looked up where the context ended, one byte before.
-        blank = self.look(np.array([32 | 1 << 56], np.uint64))
-        root = self.look(np.zeros(1, np.uint64))
-        before = tuple(np.repeat(x, len(word)) for x in root)
+        _, blank = self.look(np.array([32 | 1 << 56], np.uint64))
+        _, root = self.look(np.zeros(1, np.uint64))
+        before = np.repeat(root, len(word), axis=1)
         for k, key in enumerate(keys, 1):
-            rest = np.where(before[1], self.rest[:, before[0]], 1.0)
-            # Many words share their n-grams: each is looked up once, in the order of the table.
+            # Many words share their n-grams: each is looked up once, in the order of the files.
             names, where = np.unique(key, return_inverse=True)
-            at, found = (x[where] for x in self.look(names))
-            gain = np.where(found, self.gain[:, at], 0.0)
-            p = np.where(depth >= k, gain + rest * p, p)
-            first = blank if k == 1 else root
-            before = tuple(np.concatenate([f, x[:-1]]) for f, x in zip(first, (at, found)))
+            gain, rest = self.look(names)
+            p = np.where(depth >= k, gain[:, where] + before * p, p)
+            before = np.concatenate([blank if k == 1 else root, rest[:, where[:-1]]], axis=1)
         return np.bincount(word, np.log(p[0]) - np.log(p[1]), len(words))
 
-    def curve(self, evidence: np.ndarray, words: np.ndarray) -> np.ndarray:
-        z = self.slope * evidence + self.shift + self.bend * np.log1p(words)
-        return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-
-
-class Evidence:
-    """Length-normalised evidence of documents; words seen before are looked up."""
-
-    limit = 300_000
-
-    def __init__(self, model: Model):
-        self.model, self.known = model, {}
-
-    def of(self, texts: list[bytes | None], step: int = 200) -> tuple[np.ndarray, np.ndarray]:
-        out, sizes = np.zeros(len(texts)), np.zeros(len(texts))
+    def of(self, texts: list[bytes | None], step: int = 200) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(difference per byte, root of the mean excess of words, number of words) of each text."""
+        mean, excess, sizes = np.zeros((3, len(texts)))
         for begin in range(0, len(texts), step):
             some = [lowered(text) for text in texts[begin : begin + step]]
             if len(self.known) > self.limit:
-                self.known.clear()
+                self.known, self.values = {}, np.zeros(0)
             new = [word for word in set().union(*some) if word not in self.known]
-            self.known.update(zip(new, np.clip(self.model.words(new) - MARGIN, 0, MOST).tolist()))
+            found = [self.words(new[at : at + STEP_WORDS]) for at in range(0, len(new), STEP_WORDS)]
+            self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
+            self.values = np.concatenate([self.values, *found])
+            beyond = np.clip(self.values - MARGIN, 0, MOST)
             for i, words in enumerate(some, begin):
                 if words:
-                    out[i] = np.sqrt(sum(map(self.known.__getitem__, words)) / len(words))
+                    at = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+                    mean[i] = self.values[at].sum() / (sum(map(len, words)) + len(words))
+                    excess[i] = np.sqrt(beyond[at].mean())
                     sizes[i] = len(words)
-        return out, sizes
+        return mean, excess, sizes
 
 
 def count_grams(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -159,9 +225,9 @@ def count_grams(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str)
             toxic = batch.column(1).to_pylist()
             for text, label in zip(binary(batch, "sample_text"), toxic):
                 words[int(label > 0)].update(lowered(text))
-            if len(words[0]) + len(words[1]) > 200_000:
-                yield from _counted(words)
-                words = Counter(), Counter()
+                if len(words[0]) + len(words[1]) > STEP_WORDS:
+                    yield from _counted(words)
+                    words = Counter(), Counter()
         yield from _counted(words)
 
     chosen = docs.select(F.col(id_col).alias("sample_id"), F.col(text_col).alias("sample_text")).join(labels, "sample_id")
@@ -169,7 +235,13 @@ def count_grams(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str)
     return parts.groupBy("gram").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
 
 
-def _counted(words):
+def _counted(words: tuple[Counter, Counter]):
+    """The n-grams of words and how often they occur, by class; a long text's words in slices."""
+    for begin in range(0, max(map(len, words)), STEP_WORDS):
+        yield from _counted_slice(tuple(Counter(dict(islice(each.items(), begin, begin + STEP_WORDS))) for each in words))
+
+
+def _counted_slice(words: tuple[Counter, Counter]):
     totals: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     for label in (0, 1):
         if not words[label]:
@@ -186,49 +258,13 @@ def _counted(words):
         yield pa.record_batch([pa.array(gram.view(np.int64)), pa.array(toxic), pa.array(ordinary)], names=["gram", "toxic", "ordinary"])
 
 
-def smoothed(gram: np.ndarray, toxic: np.ndarray, ordinary: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(sorted n-grams, gain, rest) of interpolated Kneser-Ney models of both classes.
+def smoothed_table(grams: DataFrame) -> DataFrame:
+    """(gram, gain_0, gain_1, rest_0, rest_1): interpolated Kneser-Ney models of both classes.
 
     The longest n-grams have their class counts; a shorter one has the number of bytes seen before
-    it, which is what Kneser-Ney backs off to. Those up to ``SHARED`` bytes take it over both classes.
+    it, which is what Kneser-Ney backs off to. One that begins at a word's start has no byte before
+    it and keeps its count. Those up to ``SHARED`` bytes take both over both classes.
     """
-    order = np.argsort(gram)
-    keys, raw = gram[order], np.stack([toxic[order], ordinary[order]]).astype(float)
-    length = (keys >> np.uint64(56)).astype(np.int64)
-    body = keys & np.uint64(0x00FFFFFFFFFFFFFF)
-    count = raw.copy()
-    for k in range(1, ORDER):
-        longer = np.flatnonzero(length == k + 1)
-        tail = (body[longer] & np.uint64((1 << (8 * k)) - 1)) | (np.uint64(k) << np.uint64(56))
-        at = np.searchsorted(keys, tail)
-        own = length == k
-        # An n-gram that begins at a word's start has no byte before it and keeps its count.
-        inner = own & (((body >> np.uint64(8 * (k - 1))) & np.uint64(255)) != 32) if k > 1 else own
-        for c in (0, 1):
-            seen = np.bincount(at, (raw[c, longer] > 0).astype(float), len(keys))
-            count[c] = np.where(inner, seen, count[c])
-        if k <= SHARED:
-            pooled = np.where(inner, np.bincount(at, minlength=len(keys)), raw.sum(axis=0))
-            count[:, own] = pooled[own]
-    context = np.where(length > 1, (body >> np.uint64(8)) | ((length - 1).astype(np.uint64) << np.uint64(56)), np.uint64(0))
-    names, group = np.unique(context, return_inverse=True)
-    gain = np.zeros_like(count)
-    handed = np.ones((2, len(names)))
-    for c in (0, 1):
-        total = np.bincount(group, count[c], len(names))
-        kinds = np.bincount(group, (count[c] > 0).astype(float), len(names))
-        gain[c] = np.maximum(count[c] - DISCOUNT, 0) / (total + PRIOR)[group]
-        handed[c] = (PRIOR + np.minimum(DISCOUNT * kinds, total)) / (total + PRIOR)
-    # One sorted table: n-grams with their gain, contexts with what they hand down.
-    every = np.union1d(keys, names)
-    out_gain, out_rest = np.zeros((2, len(every))), np.ones((2, len(every)))
-    out_gain[:, np.searchsorted(every, keys)] = gain
-    out_rest[:, np.searchsorted(every, names)] = handed
-    return every, out_gain, out_rest
-
-
-def smoothed_table(grams: DataFrame) -> DataFrame:
-    """(gram, gain_0, gain_1, rest_0, rest_1): what ``smoothed`` gives, as aggregates over all n-grams."""
     length = F.shiftright("gram", 56)
     shorter = "shiftleft((gram >> 56) - 1, 56)"
     tail = F.expr(f"(gram & (shiftleft(1L, cast(8 * ((gram >> 56) - 1) as int)) - 1)) | {shorter}")
@@ -259,182 +295,18 @@ def smoothed_table(grams: DataFrame) -> DataFrame:
     )
 
 
-def joined_model(rows: DataFrame) -> Model:
-    """A model whose n-grams longer than ``SHORT`` stay in the table ``rows``."""
-    length = F.shiftright("gram", 56)
-    short = rows.where(length <= SHORT).toPandas().sort_values("gram")
-    gain, rest = (np.stack([short[f"{what}_{c}"].to_numpy(float) for c in (0, 1)]) for what in ("gain", "rest"))
-    return Model(short["gram"].to_numpy(np.int64).view(np.uint64), gain, rest, 1.0, 0.0, 0.0, rows.where(length > SHORT))
+def measured(docs: DataFrame, model: Model, columns: list[str], text_col: str, kinds: str, row) -> DataFrame:
+    """``columns`` of each row and what ``row`` makes of (mean, excess, words) of its text."""
 
-
-def distinct_words(docs: DataFrame, text_col: str) -> DataFrame:
-    """(spelled): each word of the texts once."""
-
-    def cut(batches):
-        known: set[bytes] = set()
-        for batch in batches:
-            new = set().union(*map(lowered, binary(batch, "body"))) - known
-            if len(known) > Evidence.limit:
-                known.clear()
-            known |= new
-            yield pa.record_batch([pa.array(list(new), pa.binary())], names=["spelled"])
-
-    return over_batches(docs.select(F.col(text_col).alias("body")), ["body"], cut, "spelled binary").distinct()
-
-
-def word_units(words: DataFrame) -> DataFrame:
-    """(word, unit): hash of a word and the n-grams its evidence is the sum over.
-
-    They are the word's beginning, a blank and up to five bytes, and each later run of six bytes.
-    """
-
-    def cut(batches):
+    def measure(batches):
+        evidence = None
         for batch in batches:
-            for begin in range(0, batch.num_rows, 10_000):
-                some = batch.column(0).slice(begin, 10_000).to_pylist()
-                keys, word, depth = grams(some)
-                at = np.flatnonzero((depth >= ORDER) | np.append(np.diff(word) > 0, True))
-                unit = np.stack(keys)[np.minimum(depth[at], ORDER) - 1, at]
-                names = np.fromiter(map(xxhash.xxh3_64_intdigest, some), np.uint64, len(some))
-                yield pa.record_batch([pa.array(names[word[at]].view(np.int64)), pa.array(unit.view(np.int64))], names=["word", "unit"])
+            evidence = evidence or Evidence([mapped(path) for path in model.paths])
+            found = row(*evidence.of(binary(batch, text_col)))
+            yield pa.record_batch([*batch.columns[:-1], *map(pa.array, found.values())], names=[*columns, *found])
 
-    return words.mapInArrow(cut, "word long, unit long")
-
-
-def _tails(top: np.ndarray, k: int) -> np.ndarray:
-    """The last ``k`` bytes of n-grams."""
-    return (top & np.uint64((1 << (8 * k)) - 1)) | np.uint64(k << 56)
-
-
-def _contexts(top: np.ndarray, k: int) -> np.ndarray:
-    """The ``k`` bytes before the last one of n-grams."""
-    return _tails(top >> np.uint64(8), k) if k else np.zeros(len(top), np.uint64)
-
-
-def _tops(unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(unit, top): the longest n-gram of each byte a unit stands for; a word's beginning has several."""
-    length = unit >> np.uint64(56)
-    body = unit & np.uint64((1 << 56) - 1)
-    units, tops = [unit], [unit]
-    first = (body >> (np.uint64(8) * (length - np.uint64(1)))) == 32
-    for d in range(2, ORDER):
-        some = first & (length > d)
-        units.append(unit[some])
-        tops.append((body[some] >> (np.uint64(8) * (length[some] - np.uint64(d)))) | np.uint64(d << 56))
-    return np.concatenate(units), np.concatenate(tops)
-
-
-def unit_evidence(units: DataFrame, model: Model) -> DataFrame:
-    """(unit, value): toxic minus ordinary log-likelihood of each distinct unit, in units of 1 / FIXED."""
-
-    def ask(batches):
-        for batch in batches:
-            unit, top = _tops(batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64))
-            length = top >> np.uint64(56)
-            rows = [(unit, top, np.zeros(len(unit), np.int64), np.zeros(len(unit), np.uint64))]
-            for k in range(SHORT + 1, ORDER + 1):
-                long = length >= k
-                rows.append((unit[long], top[long], np.full(long.sum(), k), _tails(top[long], k)))
-                if k > SHORT + 1:
-                    rows.append((unit[long], top[long], np.full(long.sum(), -k), _contexts(top[long], k - 1)))
-            unit, top, slot, key = (np.concatenate(x) for x in zip(*rows))
-            yield pa.record_batch(
-                [pa.array(unit.view(np.int64)), pa.array(top.view(np.int64)), pa.array(slot.astype(np.int64)), pa.array(key.view(np.int64))],
-                names=["unit", "top", "slot", "gram"],
-            )
-
-    asked = units.mapInArrow(ask, "unit long, top long, slot long, gram long")
-    both = [f"{what}_{c}" for what in ("gain", "rest") for c in (0, 1)]
-    hits = asked.where("slot <> 0").join(model.table, "gram").select("unit", "top", "slot", *both)
-    every = hits.union(asked.where("slot = 0").select("unit", "top", "slot", *(F.lit(None).cast("double") for _ in both)))
-    gains = [(k, k, f"gain_{c}", 0.0) for k in range(SHORT + 1, ORDER + 1) for c in (0, 1)]
-    rests = [(k, -k, f"rest_{c}", 1.0) for k in range(SHORT + 2, ORDER + 1) for c in (0, 1)]
-    columns = [F.coalesce(F.max(F.when(F.col("slot") == slot, F.col(name))), F.lit(missing)).alias(f"{name}_{k}") for k, slot, name, missing in gains + rests]
-    sent = units.sparkSession.sparkContext.broadcast(model.parts())
-
-    def weigh(batches):
-        model = Model(*sent.value)
-        for batch in batches:
-            top = batch.column(1).to_numpy(zero_copy_only=False).view(np.uint64)
-            length = top >> np.uint64(56)
-            given = {name: batch.column(i).to_numpy(zero_copy_only=False) for i, name in enumerate(batch.schema.names)}
-            p = np.full((2, len(top)), 1 / 256)
-            for k in range(1, ORDER + 1):
-                if k <= SHORT + 1:
-                    at, found = model.look(_contexts(top, k - 1))
-                    rest = np.where(found, model.rest[:, at], 1.0)
-                else:
-                    rest = np.stack([given[f"rest_{c}_{k}"] for c in (0, 1)])
-                if k <= SHORT:
-                    at, found = model.look(_tails(top, k))
-                    gain = np.where(found, model.gain[:, at], 0.0)
-                else:
-                    gain = np.stack([given[f"gain_{c}_{k}"] for c in (0, 1)])
-                p = np.where(length >= k, gain + rest * p, p)
-            value = np.rint((np.log(p[0]) - np.log(p[1])) * FIXED).astype(np.int64)
-            yield pa.record_batch([batch.column(0), pa.array(value)], names=["unit", "value"])
-
-    return every.groupBy("unit", "top").agg(*columns).mapInArrow(weigh, "unit long, value long").groupBy("unit").agg(F.sum("value").alias("value"))
-
-
-def word_evidence(docs: DataFrame, model: Model, text_col: str) -> DataFrame:
-    """(word, value): hashes of the words of ``docs`` that have evidence, in units of 1 / FIXED."""
-    units = word_units(stored(distinct_words(docs, text_col), "words"))
-    values = stored(unit_evidence(units.select("unit").distinct(), model), "units")
-    sums = units.join(values, "unit").groupBy("word").agg(F.sum("value").alias("value"))
-    beyond = F.least(F.col("value") - int(MARGIN * FIXED), F.lit(int(MOST * FIXED)))
-    return sums.select("word", beyond.alias("value")).where("value > 0")
-
-
-def joined_evidence(docs: DataFrame, model: Model, columns: list[str], text_col: str) -> DataFrame:
-    """``columns``, text_key, e and n of each row, by joins with the table of the model."""
-    values = stored(word_evidence(docs, model, text_col), "evidence")
-    bits, log2 = bit_filter(values.select("word"))
-    sent = docs.sparkSession.sparkContext.broadcast(bits)
-    kept = [f"column_{i}" for i in range(len(columns))]
-
-    def scan(batches):
-        hashes = WordHashes()
-        for batch in batches:
-            sizes, names, times = [], [], []
-            for text in binary(batch, "body"):
-                words = lowered(text)
-                found = hashes.of(words)
-                name, count = np.unique(found[passing(sent.value, log2, found)], return_counts=True)
-                sizes.append(len(words))
-                names.append(name.view(np.int64))
-                times.append(count)
-            yield pa.record_batch(
-                [*batch.columns[:-1], pa.array(sizes, pa.int64()), lists(names, pa.int64()), lists(times, pa.int64())],
-                names=[*kept, "text_key", "n", "words", "times"],
-            )
-
-    keyed = docs.select(*(F.col(c).alias(k) for c, k in zip(columns, kept)), F.xxhash64(text_col).alias("text_key"), F.col(text_col).alias("body"))
-    kinds = "".join(f"{k} {keyed.schema[k].dataType.simpleString()}, " for k in kept)
-    rows = stored(over_batches(keyed, keyed.columns, scan, f"{kinds}text_key long, n long, words array<long>, times array<long>"), "rows")
-    # Copies of a text have the same words, which count once for all of them.
-    held = rows.select("text_key", F.explode(F.arrays_zip("words", "times")).alias("of")).select("text_key", F.col("of.words").alias("word"), F.col("of.times").alias("times"))
-    sums = held.distinct().join(values, "word").groupBy("text_key").agg(F.sum(F.col("times") * F.col("value")).alias("value"))
-    mean = F.coalesce(F.col("value"), F.lit(0)) / F.lit(float(FIXED)) / F.greatest(F.col("n"), F.lit(1))
-    return rows.drop("words", "times").join(sums, "text_key", "left").select(
-        *(F.col(k).alias(c) for c, k in zip(columns, kept)), "text_key", F.sqrt(mean).alias("e"), F.col("n").cast("double").alias("n")
-    )
-
-
-def weighed(docs: DataFrame, model: Model, columns: list[str], text_col: str) -> DataFrame:
-    """``columns``, e and n: evidence and number of words of each row."""
-    if model.table is not None:
-        return joined_evidence(docs, model, columns, text_col).select(*columns, "e", "n")
-    sent = docs.sparkSession.sparkContext.broadcast(model.parts())
-
-    def weigh(batches):
-        evidence = Evidence(Model(*sent.value))
-        for batch in batches:
-            found, sizes = evidence.of(binary(batch, text_col))
-            yield pa.record_batch([*batch.columns[:-1], pa.array(found), pa.array(sizes)], names=[*columns, "e", "n"])
-
-    kinds = "".join(f"{c} {docs.schema[c].dataType.simpleString()}, " for c in columns)
-    return over_batches(docs, [*columns, text_col], weigh, f"{kinds}e double, n double")
+    own = "".join(f"{c} {docs.schema[c].dataType.simpleString()}, " for c in columns)
+    return over_batches(docs, [*columns, text_col], measure, own + kinds)
 
 
 def fit_toxicity(
@@ -444,87 +316,66 @@ def fit_toxicity(
     where: Column | None = None,
     id_col: str = "doc_id",
     text_col: str = "text",
-    model_rows: int = MODEL_ROWS,
 ) -> Model:
     """Models of both classes from the labelled documents that ``where`` holds for.
 
-    An eighth of them, ``CURVE_ROWS`` at most, gives the curve from evidence to score and is kept out
-    of the counts; the n-grams of all others are counted. If there are more than ``model_rows``, the
-    model stays a table. Without labels of both classes the score is the share of toxic labels.
+    An eighth of them, ``CURVE_ROWS`` at most, gives the curve from measures to score and is kept out
+    of the counts; the n-grams of all others are counted, and all are kept. Labels without id or
+    value don't count, the larger of several labels of an id does, and rows that repeat in ``docs``
+    count each time. Without labels of both classes the score is the share of toxic labels, without
+    any it is one half.
     """
     known = clean_labels(labels, label, id_col, where)
     order = [F.xxhash64("sample_id", F.lit(1)), F.col("sample_id")]
     aside = F.pmod(F.xxhash64("sample_id"), F.lit(8)) == 0
     ids = stored(known.where(aside).orderBy(*order).limit(CURVE_ROWS), "curve")
-    counted = sized(stored(known.join(F.broadcast(ids.select("sample_id")), "sample_id", "left_anti"), "labels"), LABEL_ROWS)
-    table = stored(count_grams(docs, counted, id_col, text_col), "grams")
-    model = Model(np.zeros(0, np.uint64), np.zeros((2, 0)), np.zeros((2, 0)), 0.0, 0.0, 0.0)
-    found = table.count()
-    if found > model_rows:
-        model = joined_model(stored(smoothed_table(table), "model"))
-    elif found:
-        rows = table.toPandas()
-        parts = smoothed(rows["gram"].to_numpy().astype(np.int64).view(np.uint64), rows["toxic"].to_numpy(), rows["ordinary"].to_numpy())
-        model = Model(*parts, 1.0, 0.0, 0.0)
+    counted = stored(known.join(F.broadcast(ids.select("sample_id")), "sample_id", "left_anti"), "labels")
+    model = Model(publish(smoothed_table(stored(count_grams(docs, counted, id_col, text_col), "grams"))))
     chosen = docs.select(F.col(id_col).alias("sample_id"), F.col(text_col).alias("sample_text")).join(F.broadcast(ids), "sample_id")
-    measured = weighed(chosen.select("sample_text", F.col("sample_label").alias("y"), F.xxhash64("sample_id").alias("i")), model, ["y", "i"], "sample_text")
-    sample = measured.orderBy("i", "e", "n").limit(CURVE_ROWS).toPandas()
-    return fit_curve(model, sample["e"].to_numpy(float), sample["n"].to_numpy(float), sample["y"].to_numpy(float))
+    rows = chosen.select("sample_text", F.col("sample_label").alias("y"), F.xxhash64("sample_id").alias("i"))
+    kinds = "mean double, excess double, n double"
+    found = measured(rows, model, ["y", "i"], "sample_text", kinds, lambda mean, excess, n: {"mean": mean, "excess": excess, "n": n})
+    sample = found.orderBy("i", "excess", "mean", "n").limit(CURVE_ROWS).toPandas()
+    return fit_curve(model, *(sample[name].to_numpy(float) for name in ("mean", "excess", "n", "y")))
 
 
-def fit_curve(model: Model, evidence: np.ndarray, words: np.ndarray, y: np.ndarray) -> Model:
-    """Logistic regression of the label on evidence and log length."""
+def fit_curve(model: Model, mean: np.ndarray, excess: np.ndarray, words: np.ndarray, y: np.ndarray) -> Model:
+    """Logistic regression of the label on both measures and log length."""
     share = (y.sum() + 0.5) / (len(y) + 1)
-    w = np.array([0.0, np.log(share / (1 - share)), 0.0])
+    w = np.array([0.0, 0.0, np.log(share / (1 - share)), 0.0])
     if 0 < y.sum() < len(y):
-        scale = evidence.std() + 1e-9
-        x = np.stack([evidence / scale, np.ones_like(evidence), np.log1p(words)], axis=1)
+        scale = np.array([mean.std() + 1e-9, excess.std() + 1e-9, 1.0, 1.0])
+        x = np.stack([mean, excess, np.ones_like(mean), np.log1p(words)], axis=1) / scale
         for _ in range(25):
             p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-            bend = (x * (p * (1 - p))[:, None]).T @ x + 1e-2 * np.eye(3)
+            bend = (x * (p * (1 - p))[:, None]).T @ x + 1e-2 * np.eye(4)
             w = w + np.clip(np.linalg.solve(bend, x.T @ (y - p) - 1e-2 * w), -4, 4)
-        w[0] /= scale
-    return replace(model, slope=float(w[0]), shift=float(w[1]), bend=float(w[2]))
-
-
-def joined_score(model: Model) -> Column:
-    """The curve over the columns e and n."""
-    z = model.slope * F.col("e") + model.shift + model.bend * F.log1p("n")
-    return 1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), z))))
+        w = w / scale
+    return replace(model, weights=tuple(w.tolist()))
 
 
 def score_toxicity(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, score, evidence) per row; a text without words has no evidence."""
-    if model.table is not None:
-        return joined_evidence(docs, model, [id_col], text_col).select(id_col, joined_score(model).alias("score"), F.col("e").alias("evidence"))
-    sent = docs.sparkSession.sparkContext.broadcast(model.parts())
-
-    def score(batches):
-        model = Model(*sent.value)
-        evidence = Evidence(model)
-        for batch in batches:
-            found, sizes = evidence.of(binary(batch, text_col))
-            yield pa.record_batch(
-                [batch.column(0), pa.array(model.curve(found, sizes)), pa.array(found)], names=[id_col, "score", "evidence"]
-            )
+    """(id, score, evidence) per row, repeated rows and null ids as they come; an empty table gives none.
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    return over_batches(docs, [id_col, text_col], score, f"{id_col} {kind}, score double, evidence double")
+    The evidence is the difference of log-likelihoods per byte. A null text and one without words have
+    none, and the score of length 0.
+    """
+    kinds = "score double, evidence double"
+    return measured(docs, model, [id_col], text_col, kinds, lambda mean, excess, n: {"score": model.curve(mean, excess, n), "evidence": mean})
 
 
 def without_toxic(docs: DataFrame, model: Model, text_col: str = "text", least: float = 0.3) -> DataFrame:
-    """The rows of ``docs`` whose score is below ``least``, with all their columns."""
-    if model.table is not None:
-        scored = joined_evidence(docs, model, [], text_col).where(joined_score(model) >= least)
-        bad = scored.select(F.col("text_key").alias("bad_key")).distinct()
-        return docs.join(bad, F.xxhash64(docs[text_col]) == bad["bad_key"], "left_anti")
-    sent = docs.sparkSession.sparkContext.broadcast(model.parts())
+    """The rows of ``docs`` whose score is below ``least``, with all their columns.
+
+    Each row is judged by its text alone: repeated rows stay or go together, null ids are as others.
+    Null texts and those without words stay: nothing in them is toxic.
+    """
 
     def keep(batches):
-        model = Model(*sent.value)
-        evidence = Evidence(model)
+        evidence = None
         for batch in batches:
-            found, sizes = evidence.of(binary(batch, text_col))
-            yield batch.filter(pa.array(model.curve(found, sizes) < least))
+            evidence = evidence or Evidence([mapped(path) for path in model.paths])
+            mean, excess, n = evidence.of(binary(batch, text_col))
+            yield batch.filter(pa.array((model.curve(mean, excess, n) < least) | (n == 0)))
 
     return docs.mapInArrow(keep, docs.schema)
