@@ -427,6 +427,7 @@ def plain_kneser_ney(words: tuple[Counter, Counter]):
 
 def test_the_model_is_that_of_plain_kneser_ney(spark, monkeypatch):
     monkeypatch.setattr(X, "STEP_WORDS", 3)  # words are counted in slices
+    monkeypatch.setattr(X, "HELD_GRAMS", 20)
     texts = [(1, "idiot idiots fool foul", 1.0), (2, "Foul IDIOT idiot é", 1.0), (3, "fools of the house are kind", 0.0), (4, "the house the idiom", 0.0), (5, None, 1.0), (6, "", 0.0)]
     docs = spark.createDataFrame([r[:2] for r in texts], "doc_id long, text string").repartition(3)
     known = spark.createDataFrame([(r[0], r[2]) for r in texts], "sample_id long, sample_label double")

@@ -21,10 +21,10 @@ import mmap
 import uuid
 from collections import Counter
 from dataclasses import dataclass, replace
-from itertools import islice
 from urllib.parse import unquote, urlparse
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from tillstream.session import shared_folder
 
-from .common import binary, over_batches, stored
+from .common import binary, bit_filter, over_batches, passing, stored
 from .training import clean_labels
 
 #: Bytes of the longest n-gram; an n-gram and its length fit a 64-bit number.
@@ -49,6 +49,8 @@ MOST = 8.0
 FILE_GRAMS = 1_000_000
 #: Words whose n-grams are formed at a time.
 STEP_WORDS = 20_000
+#: N-grams a task counts before it gives their counts out.
+HELD_GRAMS = 400_000
 #: Labelled documents of which the curve is fitted, left out of the counts.
 CURVE_ROWS = 4_000
 
@@ -216,46 +218,71 @@ class Evidence:
         return mean, excess, sizes
 
 
+def labelled_texts(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(sample_text, sample_label) of the labelled documents.
+
+    A bit filter over the labelled ids keeps other texts out of the shuffle of the join.
+    """
+    sent = docs.sparkSession.sparkContext.broadcast(bit_filter(labels.select(F.xxhash64("sample_id").alias("key"))))
+
+    @F.pandas_udf("boolean")
+    def may_be_labelled(keys: pd.Series) -> pd.Series:
+        found = np.zeros(len(keys), bool)
+        found[passing(*sent.value, keys.to_numpy(np.int64).view(np.uint64))] = True
+        return pd.Series(found)
+
+    named = docs.select(F.col(id_col).cast(labels.schema["sample_id"].dataType).alias("sample_id"), F.col(text_col).alias("sample_text"))
+    return named.where(may_be_labelled(F.xxhash64("sample_id"))).join(labels, "sample_id").select("sample_text", "sample_label")
+
+
 def count_grams(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(gram, toxic, ordinary): in how many places labelled documents have each n-gram of bytes."""
 
     def count(batches):
         words: tuple[Counter, Counter] = Counter(), Counter()
+        held = GramCounts()
         for batch in batches:
             toxic = batch.column(1).to_pylist()
             for text, label in zip(binary(batch, "sample_text"), toxic):
                 words[int(label > 0)].update(lowered(text))
                 if len(words[0]) + len(words[1]) > STEP_WORDS:
-                    yield from _counted(words)
+                    yield from held.add(words)
                     words = Counter(), Counter()
-        yield from _counted(words)
+        yield from held.add(words)
+        yield from held.drain()
 
-    chosen = docs.select(F.col(id_col).alias("sample_id"), F.col(text_col).alias("sample_text")).join(labels, "sample_id")
-    parts = chosen.select("sample_text", "sample_label").mapInArrow(count, "gram long, toxic long, ordinary long")
+    parts = labelled_texts(docs, labels, id_col, text_col).mapInArrow(count, "gram long, toxic long, ordinary long")
     return parts.groupBy("gram").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
 
 
-def _counted(words: tuple[Counter, Counter]):
-    """The n-grams of words and how often they occur, by class; a long text's words in slices."""
-    for begin in range(0, max(map(len, words)), STEP_WORDS):
-        yield from _counted_slice(tuple(Counter(dict(islice(each.items(), begin, begin + STEP_WORDS))) for each in words))
-
-
-def _counted_slice(words: tuple[Counter, Counter]):
-    totals: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    for label in (0, 1):
-        if not words[label]:
-            continue
-        keys, word, depth = grams(list(words[label]))
-        times = np.fromiter(words[label].values(), np.int64)[word]
-        for k, key in enumerate(keys, 1):
-            inside = depth >= k
-            found, where = np.unique(key[inside], return_inverse=True)
-            n = np.bincount(where, times[inside]).astype(np.int64)
-            totals.append((found, n * label, n * (1 - label)))
-    if totals:
-        gram, toxic, ordinary = (np.concatenate(x) for x in zip(*totals))
-        yield pa.record_batch([pa.array(gram.view(np.int64)), pa.array(toxic), pa.array(ordinary)], names=["gram", "toxic", "ordinary"])
+class GramCounts:
+    """Counts of n-grams by class, given out whenever there are more than ``HELD_GRAMS``."""
+
+    def __init__(self):
+        self.gram, self.times = np.zeros(0, np.uint64), np.zeros((2, 0), np.int64)
+
+    def add(self, words: tuple[Counter, Counter]):
+        """Count the n-grams of words; a long text's words in slices."""
+        for label, each in enumerate(words):
+            listed, times = list(each), np.fromiter(each.values(), np.int64, len(each))
+            for begin in range(0, len(listed), STEP_WORDS):
+                keys, word, depth = grams(listed[begin : begin + STEP_WORDS])
+                some = times[begin : begin + STEP_WORDS][word]
+                inside = [depth >= k for k in range(1, len(keys) + 1)]
+                gram = np.concatenate([key[i] for key, i in zip(keys, inside)])
+                own = np.zeros((2, len(gram)), np.int64)
+                own[1 - label] = np.concatenate([some[i] for i in inside])
+                found, where = np.unique(np.concatenate([self.gram, gram]), return_inverse=True)
+                both = np.concatenate([self.times, own], axis=1)
+                # Sums as floating-point numbers are exact up to 2**53 places of a task.
+                self.gram, self.times = found, np.stack([np.bincount(where, row, len(found)) for row in both]).astype(np.int64)
+                if len(found) > HELD_GRAMS:
+                    yield from self.drain()
+
+    def drain(self):
+        if len(self.gram):
+            yield pa.record_batch([pa.array(self.gram.view(np.int64)), *map(pa.array, self.times)], names=["gram", "toxic", "ordinary"])
+        self.__init__()
 
 
 def smoothed_table(grams: DataFrame) -> DataFrame:
