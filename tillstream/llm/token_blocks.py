@@ -174,7 +174,8 @@ class Encoder:
 
     limit = 250_000
     # Letters, then ASCII punctuation but the apostrophe: the tokenizer always cuts between the two.
-    _parts = re.compile(r"^(?:([a-zß-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)|.+)$", re.MULTILINE)
+    # The letters are a-z and, as UTF-8, those from ß to ÿ.
+    _parts = re.compile(rb"^(?:((?:[a-z]++|\xc3[\x9f-\xb6\xb8-\xbf])++)([!-&(-/:-@\[-`{-~]*)|.+)$", re.MULTILINE)
 
     def __init__(self, path: str):
         # Spark runs a task per core; threads of the tokenizer would only get in its way.
@@ -197,22 +198,20 @@ class Encoder:
         return list(new.difference(old))
 
     def learn(self, words: list[bytes]) -> None:
-        split = self._parts.findall(b"\n".join(words).decode())
-        plain = self.unknown({letters.encode() for letters, _ in split if letters})
+        split = self._parts.findall(b"\n".join(words))
+        plain = self.unknown({letters for letters, _ in split if letters})
         for begin in range(0, len(plain), 500):
             some = plain[begin : begin + 500]
             ids = np.array(self.tokenizer.encode_batch_fast([b" ".join(some).decode()], add_special_tokens=False)[0].ids, "<u4")
             ends = ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()
             if len(ends) == len(some):
                 raw = ids.tobytes()
-                self.known.update((text, raw[a:b]) for text, a, b in zip(some, [0, *ends], ends))
+                self.known.update(zip(some, map(raw.__getitem__, map(slice, [0, *ends], ends))))
             else:
                 self.encode(some)
-        self.encode(self.unknown({marks.encode() for _, marks in split if marks}))
+        self.encode(self.unknown({marks for _, marks in split if marks}))
         known = self.known
-        for word, (letters, marks) in zip(words, split):
-            if marks:
-                known[word] = known[letters.encode()] + known[marks.encode()]
+        known.update((word, known[letters] + known[marks]) for word, (letters, marks) in zip(words, split) if marks)
         self.encode(self.unknown({word for word, (letters, _) in zip(words, split) if not letters}))
 
     def encode(self, texts: list[bytes]) -> None:
@@ -237,6 +236,19 @@ class Encoder:
             yield from self.ids([texts[i] for i in some])
 
 
+def process_encoder(path: str) -> Encoder:
+    """The encoder of this Python process for a tokenizer file, kept from task to task.
+
+    The code of a task is new to the process each time, so the encoder is held by the tokenizer's module.
+    """
+    import tokenizers
+
+    held = vars(tokenizers).setdefault("tillstream_encoders", {})
+    if path not in held:
+        held[path] = Encoder(path)
+    return held[path]
+
+
 def tokenizer_path(name: str) -> str:
     """A path as it is; a bare name is a file of the public tokenizers installed on each machine."""
     if "/" in name:
@@ -264,7 +276,7 @@ def write_token_files(
     def encode(batches):
         from pyspark import TaskContext
 
-        encoder, part, number = Encoder(tokenizer_path(tokenizer)), TaskContext.get().partitionId(), 0
+        encoder, part, number = process_encoder(tokenizer_path(tokenizer)), TaskContext.get().partitionId(), 0
         end = np.array([end_id], "<u4").tobytes()
         names, sizes, pieces, held = [], [], [], 0
         kind = None
