@@ -513,6 +513,16 @@ def test_spans_match_brute_force(spark, documents, odd):
     assert P.personal_data(odd.limit(0)).count() == 0
 
 
+def test_spans_of_a_text_with_many_finds(spark):
+    pieces = ["+1 (555) 123-4567", "555-123-4567", "me [at] host [dot] org", "a.b@c.de", "4111 1111 1111 1111", "4111-1111-1111-1112", "1.2.3.4", "999.1.1.1", "12", "tel"]
+    rng = np.random.default_rng(9)
+    text = " ".join(pieces[i] for i in rng.integers(0, len(pieces), 100_000))
+    row = P.personal_data(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    want = base_spans(text)
+    assert row["base_sha256"] == hashlib.sha256(",".join(want).encode()).hexdigest()
+    assert set(want) <= set(row["spans"].split(","))
+
+
 # 10. Token blocks
 
 

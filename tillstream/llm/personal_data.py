@@ -16,12 +16,15 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillstream.llm.common import stored
+
 KINDS = ("email", "ip", "card", "phone")
 #: Runs are matched from their start and without giving characters back, which finds the same spans.
+#: Runs of digits that are too short or too long for a card are no candidates.
 PATTERNS = {
     "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "ip": r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
-    "card": r"[0-9](?:[\x20-]?[0-9])++",
+    "card": r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){15,18}+(?![\x20-]?[0-9])",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 #: A text without this character cannot match.
@@ -49,37 +52,90 @@ LABELERS = ("strict", "gazetteer", "around", "make")
 CONTEXT = 24
 
 
-def matches(text: str, pattern: str) -> Column:
-    """Spans (start, end, found) of a pattern in code points, leftmost and without overlaps."""
-    found, gaps = F.expr(f"{text}_found"), F.expr(f"{text}_gaps")
-    begin = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<start:bigint,end:bigint,found:string>>").alias("out"))
+#: Elements of a block of running values.
+BLOCK = 512
+
+
+def numbers_below(count: Column) -> Column:
+    return F.when(count > 0, F.sequence(F.lit(0), (count - 1).cast("int"))).otherwise(F.array().cast("array<int>"))
+
+
+def with_running(df: DataFrame, values: dict[str, str], add, zero: int) -> DataFrame:
+    """Add columns: for each element of an array of longs what ``add`` makes of all before it.
+
+    ``values`` names the arrays by the names of the new columns. An aggregate that appends to its
+    result copies it at each step, so it takes blocks; what precedes a block comes from the totals
+    of the blocks before. Arrays are arguments of ``zip_with`` and never named alone inside a
+    lambda, where Spark might compute them anew for each element.
+    """
+    start = F.lit(zero).cast("long")
 
-    def step(state, i):
-        start = state["at"] + F.length(gaps[i])
-        end = start + F.length(found[i])
-        return F.struct(
-            end.cast("long").alias("at"),
-            F.concat(state["out"], F.array(F.struct(start.cast("long").alias("start"), end.cast("long").alias("end"), found[i].alias("found")))).alias("out"),
-        )
+    def appended(part, begin):
+        state = F.struct(begin.alias("at"), F.array().cast("array<bigint>").alias("out"))
+        step = lambda state, v: F.struct(add(state["at"], v).alias("at"), F.concat(state["out"], F.array(state["at"])).alias("out"))
+        return F.aggregate(part, state, step, lambda state: state["out"])
 
-    numbers = F.sequence(F.lit(0), F.size(found) - 1)
-    return F.when(F.size(found) > 0, F.aggregate(numbers, begin, step, lambda state: state["out"])).otherwise(begin["out"])
+    def blocks(name):
+        return numbers_below(F.ceil(F.size(name) / BLOCK))
 
+    def block(name, b):
+        return F.slice(name, b * BLOCK + 1, F.lit(BLOCK))
 
-def with_spans(df: DataFrame, names: dict[str, str], needs: dict[str, str]) -> DataFrame:
+    def begins(name):
+        return appended(F.transform(blocks(name), lambda b: F.aggregate(block(name, b), start, add)), start)
+
+    begun = df.select("*", *(begins(name).alias(f"{out}_begins") for out, name in values.items()))
+    def joined(out, name):
+        return F.flatten(F.zip_with(blocks(name), f"{out}_begins", lambda b, at: appended(block(name, b), at)))
+
+    run = begun.select("*", *(joined(out, name).alias(out) for out, name in values.items()))
+    return run.drop(*(f"{out}_begins" for out in values))
+
+
+def spans_of(name: str, context: bool) -> Column:
+    """Spans (start, end, found) of a pattern in code points, leftmost and without overlaps.
+
+    With ``context`` also ``before``, the CONTEXT characters before a span, and ``after``, the next
+    one. They come from the pieces around it, since cutting them out of the text walks from its start;
+    a find has a third of CONTEXT characters or more, so three finds back are enough.
+    """
+    found, gaps = F.col(f"{name}_found"), F.col(f"{name}_gaps")
+
+    def tail(pieces, i):
+        return F.coalesce(F.substring(F.get(pieces, i), -CONTEXT, CONTEXT), F.lit(""))
+
+    def about(i):
+        before = F.concat(tail(found, i - 3), tail(gaps, i - 2), tail(found, i - 2), tail(gaps, i - 1), tail(found, i - 1), tail(gaps, i))
+        after = F.concat(F.substring(gaps[i + 1], 1, 1), F.coalesce(F.substring(F.get(found, i + 1), 1, 1), F.lit("")))
+        return F.substring(before, -CONTEXT, CONTEXT).alias("before"), F.substring(after, 1, 1).alias("after")
+
+    def span(i, passed):
+        start = passed + F.length(gaps[i])
+        return F.struct(start.alias("start"), (start + F.length(found[i])).alias("end"), found[i].alias("found"), *(about(i) if context else ()))
+
+    return F.zip_with(numbers_below(F.size(found)), f"{name}_passed", span)
+
+
+def with_spans(df: DataFrame, names: dict[str, str], needs: dict[str, str], context: bool = False) -> DataFrame:
     """Add a column of spans in ``body`` for each named pattern."""
-    pattern = {name: F.lit(p) for name, p in names.items()}
+    pattern, none = {name: F.lit(p) for name, p in names.items()}, F.array().cast("array<string>")
 
     def matched(name):
         all_ = F.regexp_extract_all("body", pattern[name], F.lit(0))
-        return F.when(F.contains("body", F.lit(needs[name])), all_).otherwise(F.array().cast("array<string>")) if name in needs else all_
+        return F.when(F.contains("body", F.lit(needs[name])), all_).otherwise(none) if name in needs else all_
+
+    def size(name):
+        gaps = F.col(f"{name}_gaps")
+        return F.transform(f"{name}_found", lambda f, i: (F.length(gaps[i]) + F.length(f)).cast("long"))
 
     found = df.select("*", *(matched(name).alias(f"{name}_found") for name in names))
     gaps = found.select(
-        "*", *(F.when(F.size(f"{name}_found") > 0, F.split("body", names[name], -1)).alias(f"{name}_gaps") for name in names)
+        "*", *(F.when(F.size(f"{name}_found") > 0, F.split("body", names[name], -1)).otherwise(none).alias(f"{name}_gaps") for name in names)
     )
-    spans = gaps.select("*", *(matches(name, names[name]).alias(f"{name}_spans") for name in names))
-    return spans.drop(*(f"{name}_{part}" for name in names for part in ("found", "gaps")))
+    sizes = gaps.select("*", *(size(name).alias(f"{name}_sizes") for name in names))
+    passed = with_running(sizes, {f"{name}_passed": f"{name}_sizes" for name in names}, lambda x, y: x + y, 0)
+    spans = passed.select("*", *(spans_of(name, context).alias(f"{name}_spans") for name in names))
+    return spans.drop(*(f"{name}_{part}" for name in names for part in ("found", "gaps", "sizes", "passed")))
 
 
 def digits(text: Column) -> Column:
@@ -121,29 +177,48 @@ def base_spans(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def proposals(found: DataFrame) -> DataFrame:
     """Add the column ``proposed``: spans outside the base ones, with kind, votes and length."""
     renamed = found.select("id", "body", *KINDS)
-    loose = with_spans(renamed, {f"loose_{kind}": p for kind, p in PROPOSALS.items()}, {"loose_email": "at"})
-    taken = F.concat(*KINDS)
+    loose = with_spans(renamed, {f"loose_{kind}": p for kind, p in PROPOSALS.items()}, {"loose_email": "at"}, context=True)
 
-    def judged(kind):
+    def described(kind):
         def describe(s):
-            before = F.substring(F.col("body"), F.greatest(s["start"] - CONTEXT, F.lit(0)).cast("int") + 1, (s["start"] - F.greatest(s["start"] - CONTEXT, F.lit(0))).cast("int"))
-            after = F.substring(F.col("body"), s["end"].cast("int") + 1, F.lit(1))
-            last = F.substring(F.rtrim(before), -1, 1)
+            last = F.substring(F.rtrim(s["before"]), -1, 1)
             strict = F.when(s["found"].rlike(STRICT[kind]), 1).otherwise(-1)
-            gazetteer = F.when(before.rlike(GAZETTEER[kind]), 1).otherwise(0)
-            around = F.when(last.isin(":", "=", '"', "'", "<", "("), 1).when(after.rlike("^[A-Za-z0-9_]"), -1).otherwise(0)
+            gazetteer = F.when(s["before"].rlike(GAZETTEER[kind]), 1).otherwise(0)
+            around = F.when(last.isin(":", "=", '"', "'", "<", "("), 1).when(s["after"].rlike("^[A-Za-z0-9_]"), -1).otherwise(0)
             number = F.length(digits(s["found"]))
             mixed = (number > 0) & (number < F.length(s["found"])) if kind == "secret" else ~s["found"].rlike(r"([0-9])\1{5}")
             make = F.when(mixed, 0).otherwise(-1) if kind != "secret" else F.when(mixed & (number >= 6), 1).when(mixed, 0).otherwise(-1)
             return F.struct(
-                F.lit(kind).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), strict.alias("strict"), gazetteer.alias("gazetteer"),
-                around.alias("around"), make.alias("make"), F.least(F.floor((s["end"] - s["start"]) / 8), F.lit(8)).cast("int").alias("length"),
+                s["start"].alias("start"), F.lit(True).alias("loose"), s["end"].alias("end"), F.lit(kind).alias("kind"), strict.alias("strict"),
+                gazetteer.alias("gazetteer"), around.alias("around"), make.alias("make"), F.least(F.floor((s["end"] - s["start"]) / 8), F.lit(8)).cast("int").alias("length"),
             )
 
-        outside = F.filter(f"loose_{kind}_spans", lambda s: ~F.exists(taken, lambda t: (t["start"] < s["end"]) & (s["start"] < t["end"])))
-        return F.transform(outside, describe)
+        return F.transform(f"loose_{kind}_spans", describe)
+
+    kept = "array<struct<start:bigint,loose:boolean,end:bigint,kind:string,strict:int,gazetteer:int,around:int,make:int,length:int>>"
+    candidates = loose.select("id", *KINDS, F.concat(*(described(kind) for kind in PROPOSED)).cast(kept).alias("candidates"))
+    blank = [F.lit(None).cast("string").alias("kind"), *(F.lit(None).cast("int").alias(n) for n in (*LABELERS, "length"))]
+    base = F.transform(F.concat(*KINDS), lambda s: F.struct(s["start"].alias("start"), F.lit(False).alias("loose"), s["end"].alias("end"), *blank))
+    ordered = F.when(F.size("candidates") > 0, F.array_sort(F.concat(base.cast(kept), F.col("candidates")))).otherwise(F.array().cast(kept))
+    return outside(candidates.select("id", *KINDS, ordered.alias("ordered"))).select("id", *KINDS, "proposed")
+
 
-    return loose.select("id", *KINDS, F.concat(*(judged(kind) for kind in PROPOSED)).alias("proposed"))
+def outside(spans: DataFrame) -> DataFrame:
+    """Add ``proposed``: the loose ones of the spans ``ordered`` by start, base ones first, that overlap no base one.
+
+    Those before reach as far as their greatest end, those behind begin at the least start.
+    """
+    far = 2**62
+    bounded = spans.select(
+        "*",
+        F.transform("ordered", lambda s: F.when(s["loose"], F.lit(-1).cast("long")).otherwise(s["end"])).alias("ends"),
+        F.reverse(F.transform("ordered", lambda s: F.when(s["loose"], F.lit(far).cast("long")).otherwise(s["start"]))).alias("starts"),
+    )
+    reached = with_running(bounded, {"reached": "ends"}, lambda x, y: F.greatest(x, y), -1)
+    both = with_running(reached, {"following": "starts"}, lambda x, y: F.least(x, y), far)
+    free = F.zip_with("reached", F.reverse("following"), lambda r, f: F.struct(r.alias("from"), f.alias("to")))
+    apart = F.zip_with("ordered", free, lambda s, gap: F.when(s["loose"] & (gap["from"] <= s["start"]) & (gap["to"] >= s["end"]), s))
+    return both.withColumn("proposed", F.filter(apart, lambda s: s.isNotNull()))
 
 
 def reliabilities(votes: np.ndarray, counts: np.ndarray, rounds: int = 50) -> np.ndarray:
@@ -203,9 +278,10 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     Spans are ``kind:start:end`` in code points, end exclusive, by kind and start. Counts and hash are
     those of the patterns alone; ``spans`` has the accepted proposals too, secrets last. Null texts
-    are empty texts: no spans. Repeated rows get a row each.
+    are empty texts: no spans. Repeated rows and rows without an id get a row each, an empty table
+    gives none. Proposals are written once to the shared folder, so the patterns run once.
     """
-    found = proposals(base_spans(docs, id_col, text_col))
+    found = stored(proposals(base_spans(docs, id_col, text_col)), "proposals")
     weights = fit_spans(found) if weights is None else weights
     judged = found.select("id", *KINDS, accepted(weights).alias("more"))
 
