@@ -195,3 +195,15 @@ def test_csv_cells_with_quotes_and_line_breaks(spark, tmp_path):
     assert [tuple(r) for r in files.misfit_records(spark, str(path)).collect()] == [("customers.csv", "c3,short"), ("customers.csv", "c4,a,b,c")]
     split = files.read_table_csv(spark, str(path), "olist_customers", multi_line=False)
     assert split.where("customer_city = 'sao \"p\", x'").count() == 1
+
+
+def test_manifest_prunes_the_files(spark, tmp_path):
+    (tmp_path / "olist_orders_dataset.csv").write_text("order_id,customer_id\n1,a\n2\n3,c\n")
+    (tmp_path / "olist_customers_dataset.csv").write_text("customer_id,customer_city\n")
+    (tmp_path / "list.txt").write_text("olist_orders_dataset.csv\r\n\nolist_customers_dataset.csv\nother.csv\nolist_orders_dataset.csv\n")
+    listed = files.manifest_files(spark, str(tmp_path / "list.txt"))
+    assert listed == ["olist_customers_dataset.csv", "olist_orders_dataset.csv"]
+    found = files.listed_counts(spark, str(tmp_path), listed).collect()
+    assert sorted(tuple(row) for row in found) == [("olist_customers", 0, 0, 0), ("olist_orders", 1, 3, 1)]
+    (tmp_path / "none.txt").write_text("other.csv\n")
+    assert files.manifest_files(spark, str(tmp_path / "none.txt")) == []

@@ -14,7 +14,7 @@ from tillstream.plans.staging import Staging
 from tillstream.sinks.files import add_documents, write_json_lines, write_parquet
 from tillstream.sinks.tables import append_audit, load_tables, materialize, publish_views, refresh_raw
 from tillstream.sources.clicks import job_clicks
-from tillstream.sources.files import read_click_lines, read_commerce_files
+from tillstream.sources.files import manifest_files, read_click_lines, read_commerce_files
 from tillstream.sources.payloads import accepted_products, envelope, normalize_fx, normalize_products, normalize_weather
 
 
@@ -30,6 +30,12 @@ def load_commerce(spark: SparkSession, folder: str, listed: Iterable[str] | None
     return counts
 
 
+def load_manifest(spark: SparkSession, folder: str, manifest: str) -> dict[str, int]:
+    """Refresh the commerce tables whose files a manifest names, and no others; rows by table."""
+    listed = manifest_files(spark, manifest)
+    return load_commerce(spark, folder, listed) if listed else {}
+
+
 def product_documents(payloads: DataFrame, batch: Column, ingested_at: Column, fallback: bool = False) -> DataFrame:
     """The accepted answers with a code, as documents of a batch."""
     code = strip(F.col("product.code"))

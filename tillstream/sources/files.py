@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -78,6 +79,39 @@ def read_commerce_files(
     }
 
 
+def manifest_files(spark: SparkSession, path: str) -> list[str]:
+    """The commerce files that a manifest names, one name a line, sorted.
+
+    Blank lines, repeated and unknown names count for nothing, so the driver sees a handful of names
+    however long the manifest is.
+    """
+    name = F.trim(F.regexp_replace("value", r"\r$", ""))
+    known = spark.read.text(path).select(name.alias("name")).where(F.col("name").isin(*COMMERCE_FILES))
+    return sorted(row["name"] for row in known.distinct().collect())
+
+
+def listed_counts(spark: SparkSession, folder: str, listed: Iterable[str] | None = None, multi_line: bool = True) -> DataFrame:
+    """(table_name, file_count, record_count, misfit_count) of the listed commerce files of a folder.
+
+    Only listed files are read, and a name may stand for a folder of files. Each table is one scan
+    that combines its counts per file before the shuffle. A file with a header alone counts for nothing.
+    """
+    counted = []
+    for name, table in sorted(wanted_files(listed).items()):
+        scanned = scan_csv(spark, f"{folder}/{name}", multi_line)
+        first = F.col(f"`{scanned.columns[0]}`")
+        per_file = scanned.groupBy(F.col("_metadata.file_path").alias("file")).agg(
+            F.count(F.lit(1)).alias("records"), F.count(F.when(F.col(MISFIT).isNotNull(), F.coalesce(first, F.lit("")))).alias("misfits")
+        )
+        total = per_file.agg(
+            F.count(F.lit(1)).alias("file_count"),
+            F.coalesce(F.sum("records"), F.lit(0)).alias("record_count"),
+            F.coalesce(F.sum("misfits"), F.lit(0)).alias("misfit_count"),
+        )
+        counted.append(total.select(F.lit(table).alias("table_name"), "*"))
+    return reduce(DataFrame.unionByName, counted)
+
+
 def read_json_lines(spark: SparkSession, path: str, schema: str = CLICK_JSON) -> DataFrame:
     """JSON lines; blank lines are skipped and a broken line fails the job."""
     return spark.read.schema(schema).option("mode", "FAILFAST").json(path)

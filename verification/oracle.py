@@ -347,6 +347,10 @@ QUERIES = {
         select c_custkey || ',' || case c_custkey % 4 when 1 then '"a, ' || c_name || '"' else c_name end
                || case c_custkey % 10 when 7 then ',' || c_mktsegment || ',more' else '' end as misfit_record
         from customer where c_custkey % 10 in (3, 7)""",
+    "manifest_counts": """
+        select 'olist_orders' as table_name, count(*) as record_count, 0::bigint as misfit_count from orders
+        union all select 'olist_products', count(*), 0 from part
+        union all select 'olist_order_payments', count(*), 0 from lineitem where l_linestatus = 'F'""",
     "stg_orders": "select * from s_orders",
     "stg_order_items": """
         select order_id, cast(order_item_id as bigint) as order_item_id, product_id, seller_id,

@@ -20,14 +20,14 @@ from tillstream.plans import staging as G
 from tillstream.plans.jobs import product_documents
 from tillstream.session import shared_folder
 from tillstream.schemas import RAW_SCHEMAS
-from tillstream.settings import WAREHOUSE_STATUSES, ReplayPlan, TopicPlan
+from tillstream.settings import COMMERCE_FILES, WAREHOUSE_STATUSES, ReplayPlan, TopicPlan
 from tillstream.sinks.files import add_documents, progress_of
 from tillstream.sinks.tables import create_table, switch_rows, with_total
 from tillstream.sources import clicks as C
 from tillstream.sources import payloads as P
 from tillstream.sources import testbed as T
 from tillstream.sources.catalog import empty_table
-from tillstream.sources.files import misfit_records, read_table_csv
+from tillstream.sources.files import listed_counts, manifest_files, misfit_records, read_table_csv
 from tillstream.streaming.archive import SessionArchive
 from tillstream.streaming.replay import start_replay
 from tillstream.streaming.sessions import click_stream, session_stream, write_closed_sessions
@@ -144,6 +144,18 @@ def csv_misfits(spark, folder):
     return misfit_records(spark, odd_cells(spark, folder)).select("misfit_record")
 
 
+@query
+def manifest_counts(spark, folder):
+    """Counts of the files that a manifest names, of five written ones; one name in it is unknown."""
+    path = f"{shared_folder(spark)}/listed-{uuid.uuid4().hex}"
+    raw = T.raw_tables(spark, folder)
+    for name, table in COMMERCE_FILES.items():
+        raw[table].write.option("header", True).option("escape", '"').csv(f"{path}/{name}")
+    names = ["olist_orders_dataset.csv", " olist_products_dataset.csv", "", "unknown.csv", "olist_order_payments_dataset.csv"]
+    spark.range(1).select(F.explode(F.array(*map(F.lit, names)))).write.text(f"{path}/manifest")
+    return listed_counts(spark, path, manifest_files(spark, f"{path}/manifest")).drop("file_count")
+
+
 @query
 def stg_order_items(spark, folder):
     return plain(G.stage_order_items(T.raw_order_items(spark, folder)))
