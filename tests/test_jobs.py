@@ -48,6 +48,16 @@ def test_layers_list_their_tables(layers):
     tables.create_layers(layers)
 
 
+def test_manifest_loads_its_files_alone(layers, tmp_path):
+    (tmp_path / "olist_customers_dataset.csv").write_text("customer_id,customer_city,customer_state\n1,a,SP\n2,b,RJ\n")
+    (tmp_path / "list").write_text("olist_customers_dataset.csv\nunknown.csv\n")
+    (tmp_path / "none").write_text("unknown.csv\n")
+    assert jobs.load_manifest(layers, str(tmp_path), str(tmp_path / "list")) == {"olist_customers": 2}
+    assert layers.table("raw.olist_customers").count() == 2
+    assert jobs.load_manifest(layers, str(tmp_path), str(tmp_path / "none")) == {}
+    assert layers.table("raw.olist_customers").count() == 2
+
+
 def test_commerce_files_to_marts(layers, tmp_path):
     spark = layers
     sample = generators.commerce_sample(spark)
