@@ -252,6 +252,21 @@ def test_classes_match_brute_force(spark, documents, width, percent):
     assert got == classes(texts(frame), width, percent)
 
 
+def test_links_inside_a_group_of_equal_prefixes(spark):
+    """Three sets with the same rare shingles, which no other set has: two are similar, the third to neither."""
+    rows = []
+    for k in range(12):
+        head = [f"h{k}_{i}" for i in range(3)]
+        x, y = ([f"{c}{k}_{i}" for i in range(7)] for c in "xy")
+        made = [head + x, head + y, [*head, *y[:6], f"z{k}"]]
+        rows += [(100 * k + i, " ".join(words)) for i, words in enumerate(made)]
+        rows += [(100 * k + 10 + i, " ".join([*x, *y, f"z{k}"])) for i in range(5)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in J.jaccard_classes(frame, width=1, percent=80).collect()}
+    assert all(got[100 * k + 2][1] == 100 * k + 1 for k in range(12))
+    assert got == classes(rows, 1, 80)
+
+
 def test_classes_of_odd_rows(odd, empty):
     rows = sorted(((r["doc_id"] or 0, r["n_shingles"], r["component_id"]) for r in J.jaccard_classes(odd).collect()))
     assert len(rows) == odd.count()

@@ -10,7 +10,8 @@ so that two sets which are similar enough share a shingle in their prefixes.
    expanded to members and verified on whole sets. This links most of a large class of near copies
    by as many pairs as it has members.
 4. Whatever is not in one component yet is still paired, member by member: in each list, nodes
-   outside the pivot's component with all nodes of other components. Same filters, same check. So
+   outside the pivot's component with all nodes of other groups and components, and in each group,
+   members outside the leader's component with all of other components. Same filters, same check. So
    no link between different components is missed, and none within one needs to be looked at.
 
 The order of shingles comes from a sketch of their frequencies with a fixed number of counters.
@@ -200,14 +201,20 @@ def jaccard_classes(
     )
     heart = rows.where("pivot and node = leader").groupBy("token").agg(F.min("component").alias("heart"))
     outer = rows.join(heart, "token").where("component <> heart").drop("heart")
-    more_pairs = stored(
+    across = (
         outer.alias("x").join(rows.alias("y"), "token")
-        .where((F.col("x.component") != F.col("y.component")) & fitting("x", "y", percent))
+        .where((F.col("x.leader") != F.col("y.leader")) & (F.col("x.component") != F.col("y.component")) & fitting("x", "y", percent))
         .select(*ordered_pairs(F.col("x.node"), F.col("y.node")))
-        .distinct(),
-        "pairs",
     )
-    more = check(more_pairs)
+    # Members of one group meet by their leader: lists in which no other group is are not in the index.
+    centre = parted.where("node = leader").select("leader", F.col("component").alias("heart"))
+    apart = parted.join(centre, "leader").where("component <> heart").drop("heart")
+    within = (
+        apart.alias("x").join(parted.alias("y"), "leader")
+        .where(F.col("x.component") != F.col("y.component"))
+        .select(*ordered_pairs(F.col("x.node"), F.col("y.node")))
+    )
+    more = check(stored(across.unionByName(within).distinct(), "pairs"))
     # Different texts under one id belong together.
     twice = usable.groupBy("id").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b").select("id", "a")
     same_id = usable.join(twice, "id").select("a", F.col("node").alias("b")).where("a <> b")
