@@ -151,6 +151,21 @@ def test_replay_loads_routes_and_archives(layers, click_folder, tmp_path):
     assert replay.dead_letters(spark, plan).count() == 1
 
 
+def test_replay_archive_is_whole_and_small(layers, tmp_path):
+    spark = layers
+    (tmp_path / "clicks").mkdir()
+    clicks = [dict(CLICKS[0], event_id=f"e-{i}") for i in range(2_000)]
+    (tmp_path / "clicks" / "a.jsonl").write_text("".join(json.dumps(click) + "\n" for click in clicks))
+    plan = ReplayPlan(source=str(tmp_path / "clicks"), output=str(tmp_path / "replay"))
+    replay.run_replay(spark, plan)
+    for name in ("raw", "normalized"):
+        archive = tmp_path / "replay" / "replays" / f"0_{name}"
+        lines = spark.read.json(str(archive))
+        assert {row.event_id for row in lines.select("event_id").collect()} == {click["event_id"] for click in clicks} and lines.count() == 2_000
+        size = sum(len("".join(row)) for row in spark.read.text(str(archive)).collect())
+        assert 4 * sum(file.stat().st_size for file in archive.glob("part-*")) < size
+
+
 def test_session_job(layers, click_folder, tmp_path):
     spark = layers
     written = jobs.session_job(spark, str(click_folder), str(tmp_path / "sessions"))

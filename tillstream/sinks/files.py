@@ -21,9 +21,9 @@ def write_parquet(df: DataFrame, path: str) -> int:
     return counted.get["rows"]
 
 
-def write_json_lines(df: DataFrame, path: str) -> None:
+def write_json_lines(df: DataFrame, path: str, compression: str = "none") -> None:
     """One document per line, nulls included."""
-    df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+    df.write.mode("overwrite").option("ignoreNullFields", "false").json(path, compression=compression)
 
 
 #: Buckets of a document store, by the hash of the key. It must not change in the life of a store.

@@ -92,8 +92,9 @@ def _handle_batch(batch: DataFrame, number: int, plan: ReplayPlan, mode: str, sp
             publish(messages, plan.kafka_servers)
         write_topics(messages, f"{plan.output}/topics/batch={number}")
         added = add_documents(documents, f"{plan.output}/documents", key="event_id")
-        write_json_lines(documents, f"{plan.output}/replays/{number}_raw")
-        write_json_lines(normalized, f"{plan.output}/replays/{number}_normalized")
+        # The archive is most of what a replay writes: its lines hold each event twice.
+        write_json_lines(documents, f"{plan.output}/replays/{number}_raw", "gzip")
+        write_json_lines(normalized, f"{plan.output}/replays/{number}_normalized", "gzip")
         if table is not None:
             timed = normalized.withColumn("event_ts", F.col("event_ts").cast("timestamp"))
             load_batch(timed, table, f"{plan.output}/table", number, spark)
