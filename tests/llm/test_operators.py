@@ -22,7 +22,7 @@ from tillstream.llm import quality_rules as Q
 from tillstream.llm import token_blocks as B
 from tillstream.llm import toxicity as X
 from tillstream.llm import url_filter as U
-from tillstream.llm.common import remainder
+from tillstream.llm.common import WordHashes, remainder
 from tillstream.llm.components import components
 from tillstream.llm.text_stats import describe
 
@@ -75,6 +75,29 @@ def test_lines_match_brute_force(spark, documents):
     assert got == deduped(texts(frame))
 
 
+def test_variants_of_lines():
+    text = b"a b c\n\nb c\nx a b c y"
+    lines = L.Lines(text, WordHashes(), L.Powers())
+    split = [line.split() for line in text.split(b"\n") if line]
+    made = list(zip(*(x.tolist() for x in lines.variants())))
+    assert [x[:2] for x in made] == [(i, at) for i, words in enumerate(split) for at in range(len(words))]
+    for i, at, name in made:
+        left = b" ".join(split[i][:at] + split[i][at + 1 :])
+        assert name == L.Lines(left, WordHashes(), L.Powers()).names[0]
+
+
+def test_lines_shuffle_little(spark, monkeypatch):
+    """Lines that share a half and nothing else: their many variants are not stored."""
+    made = {}
+    keep = L.stored
+    monkeypatch.setattr(L, "stored", lambda df, what: made.setdefault(what, keep(df, what)))
+    rows = [(i, f"a b c d e f g h {i} {i + 1} {i + 2} {i + 3} {i + 4} {i + 5}") for i in range(0, 3_000, 10)]
+    rows.append((9_999, "a b c d e f g h 10 11 12 13 14 changed"))
+    got = L.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).where("n_near > 0 or n_equal > 0").collect()
+    assert [(r["doc_id"], r["n_near"]) for r in got] == [(9_999, 1)]
+    assert made["variants"].count() < 100
+
+
 def test_lines_of_odd_rows(odd, empty):
     rows = L.dedup_lines(odd).collect()
     assert len(rows) == odd.count()

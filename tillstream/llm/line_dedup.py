@@ -16,10 +16,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, binary, bit_filter, lists, mix, over_batches, passing, stored
+from .common import WordHashes, binary, bit_filter, mix, over_batches, passing, stored
 
 #: Shorter lines are only compared as they are: a changed word is too large a part of them.
 LEAST_WORDS = 5
+#: Bytes of the lines whose variants are formed at a time.
+STEP_BYTES = 1_000_000
 _GOLDEN = 0x9E3779B97F4A7C15
 
 
@@ -47,12 +49,6 @@ def prefixes(words: np.ndarray, powers: Powers) -> np.ndarray:
     return out
 
 
-def variants(sums: np.ndarray, powers: Powers) -> np.ndarray:
-    """Hash of a line without its i-th word, for each i; equal to the hash of a line that is what is left."""
-    after = (sums[-1] - sums[1:]) * powers.down[1]
-    return mix(sums[:-1] + after + np.uint64(len(sums) - 2)).view(np.int64)
-
-
 class Lines:
     """The lines with words of a text: their numbers, sizes, hashes and the keys of their halves.
 
@@ -80,9 +76,13 @@ class Lines:
             keys.append(mix(self.run(self.ends - h, self.ends)) + (2 * h + 1).astype(np.uint64))
         return mix(np.stack(keys, axis=1)).view(np.int64)
 
-    def variants(self, i: int) -> np.ndarray:
-        begin, end = self.ends[i] - self.sizes[i], self.ends[i]
-        return variants((self.sums[begin : end + 1] - self.sums[begin]) * self.powers.down[begin], self.powers)
+    def variants(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(line, place, hash) of every line without one word; equal to the hash of a line that is what is left."""
+        line = np.repeat(np.arange(len(self.sizes)), self.sizes)
+        begin, end, at = (self.ends - self.sizes)[line], self.ends[line], np.arange(len(line))
+        rest = (self.sums[at] - self.sums[begin]) + (self.sums[end] - self.sums[at + 1]) * self.powers.down[1]
+        names = mix(rest * self.powers.down[begin] + (self.sizes[line] - 1).astype(np.uint64))
+        return line, at - begin, names.view(np.int64)
 
 
 def near(a: list[bytes], b: list[bytes]) -> bool:
@@ -129,41 +129,60 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     found = over_batches(keyed, ["id", "text_key", "body"], cut, f"id {kind}, text_key long, line_no long, line long, words long, halves array<long>")
     every = stored(found, "lines")
-    lines = every.select("id", "text_key", "line_no", "line", "words")
-    firsts = stored(lines.groupBy("line").agg(F.min(_place()).alias("first"), F.min("words").alias("words")), "firsts")
+    lines = every.select("id", "text_key", "line_no", "line")
+    firsts = stored(lines.groupBy("line").agg(F.min(_place()).alias("first"), F.count(F.lit(1)).alias("times")), "firsts")
 
-    long_enough = every.where(F.col("words") >= least_words)
-    halved = stored(long_enough.select("line", F.explode("halves").alias("half")).distinct(), "halves")
+    halved = every.where(F.col("words") >= least_words).select("line", F.explode("halves").alias("half"))
     common = halved.groupBy("half").agg(F.min("line").alias("low"), F.max("line").alias("high")).where("low <> high").select("half")
-    chosen = stored(halved.join(common, "half").select("line").distinct(), "chosen")
-    sent = docs.sparkSession.sparkContext.broadcast(bit_filter(chosen.select("line")))
+    sent = docs.sparkSession.sparkContext.broadcast(bit_filter(stored(common, "halves")))
 
-    def vary(batches):
-        """Whole lines and their variants, each line whose hash passes once per task."""
+    def spell(batches):
+        """Whole lines with a half that passes, each once per task."""
         hashes, powers, seen = WordHashes(), Powers(), set()
         for batch in batches:
-            names, contents, keys = [], [], []
+            names, contents = [], []
             for text in binary(batch, "body"):
                 lines = Lines(text, hashes, powers)
-                for i in passing(*sent.value, lines.names.view(np.uint64)).tolist():
+                hit = np.zeros(4 * len(lines.names), bool)
+                hit[passing(*sent.value, lines.halves().ravel().view(np.uint64))] = True
+                for i in np.flatnonzero(hit.reshape(-1, 4).any(axis=1) & (lines.sizes >= least_words)).tolist():
                     name = int(lines.names[i])
-                    if lines.sizes[i] >= least_words and name not in seen:
+                    if name not in seen:
                         if len(seen) > 300_000:
                             seen.clear()
                         seen.add(name)
                         names.append(name)
                         contents.append(lines.raw[lines.numbers[i]])
-                        keys.append(lines.variants(i))
-            yield pa.record_batch(
-                [pa.array(names, pa.int64()), pa.array(contents, pa.binary()), lists(keys, pa.int64())], names=["line", "content", "variants"]
-            )
-
-    spelled = over_batches(keyed, ["body"], vary, "line long, content binary, variants array<long>").dropDuplicates(["line"])
-    spelled = stored(spelled, "spelled")
+            yield pa.record_batch([pa.array(names, pa.int64()), pa.array(contents, pa.binary())], names=["line", "content"])
+
+    spelled = stored(over_batches(keyed, ["body"], spell, "line long, content binary").dropDuplicates(["line"]), "spelled")
+
+    def varying(met):
+        """The variants of lines, and at place -1 the lines themselves; with a filter, those that pass it."""
+
+        def vary(batches):
+            hashes, powers = WordHashes(), Powers()
+            for batch in batches:
+                contents = batch.column(1).to_pylist()
+                ends = np.cumsum([len(content) for content in contents]) // STEP_BYTES
+                for some in np.split(np.arange(len(contents)), np.flatnonzero(np.diff(ends)) + 1):
+                    lines = Lines(b"\n".join(contents[i] for i in some), hashes, powers)
+                    own = np.arange(len(lines.names))
+                    line, place, variant = map(np.concatenate, zip(lines.variants(), (own, np.full(len(own), -1), lines.names)))
+                    if met is not None:
+                        at = passing(*met.value, variant.view(np.uint64))
+                        line, place, variant = line[at], place[at], variant[at]
+                    yield pa.record_batch([pa.array(x) for x in (lines.names[line], place, variant)], names=["line", "place", "variant"])
+
+        return over_batches(spelled, ["line", "content"], vary, "line long, place long, variant long")
+
+    # Nearly all variants are those of one line: only hashes are shuffled to find the others.
+    shared = varying(None).groupBy("variant").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("variant")
+    met = docs.sparkSession.sparkContext.broadcast(bit_filter(stored(shared, "shared")))
     order = firsts.select("line", "first")
-    varied = spelled.select("line", F.posexplode("variants").alias("place", "variant")).join(order, "line")
-    varied = stored(varied, "variants")
-    whole = chosen.join(order, "line").select(F.col("line").alias("variant"), "line", "first")
+    meeting = stored(varying(met).join(order, "line"), "variants")
+    varied = meeting.where("place >= 0")
+    whole = meeting.where("place < 0").select("variant", "line", "first")
     # One word replaced: the same word left out of both.
     replaced = varied.groupBy("variant", "place").agg(F.min("first").alias("other"), F.count(F.lit(1)).alias("times")).where("times > 1").drop("times")
     one = varied.join(replaced, ["variant", "place"]).select("line", "first", "other")
@@ -181,9 +200,11 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
             yield batch.select(["line"]).filter(pa.array([near(x.split(), y.split()) for x, y in zip(a, b)], pa.bool_()))
 
     near_lines = over_batches(both, ["line", "a", "b"], compare, "line long").distinct().withColumn("near", F.lit(True))
-    marked = lines.distinct().join(firsts.select("line", "first").join(near_lines, "line", "left"), "line")
+    # A line that is there once and near to none is not dropped.
+    suspect = firsts.join(near_lines, "line", "left").where(F.col("near") | (F.col("times") > 1)).drop("times")
     again = ~F.col("first").eqNullSafe(_place())
-    return marked.where(again | F.col("near")).select("id", "text_key", "line_no", F.coalesce(~again, F.lit(False)).alias("near"))
+    marked = lines.join(suspect, "line").where(again | F.col("near"))
+    return marked.select("id", "text_key", "line_no", F.coalesce(~again, F.lit(False)).alias("near")).distinct()
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_words: int = LEAST_WORDS) -> DataFrame:
