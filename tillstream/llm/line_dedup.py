@@ -117,45 +117,51 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     def cut(batches):
         hashes, powers = WordHashes(), Powers()
         for batch in batches:
-            found = [Lines(text, hashes, powers) for text in binary(batch, "body")]
-            at = pa.array(np.repeat(np.arange(len(found)), [len(x.numbers) for x in found]))
-            columns = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in zip(*((x.numbers, x.names, x.sizes) for x in found))]
-            keys = np.concatenate([x.halves() for x in found]).ravel() if found else np.zeros(0, np.int64)
-            halves = pa.FixedSizeListArray.from_arrays(pa.array(keys), 4).cast(pa.list_(pa.int64()))
-            yield pa.record_batch(
-                [batch.column(0).take(at), batch.column(1).take(at), *map(pa.array, columns), halves],
-                names=["id", "text_key", "line_no", "line", "words", "halves"],
-            )
-
-    found = over_batches(keyed, ["id", "text_key", "body"], cut, f"id {kind}, text_key long, line_no long, line long, words long, halves array<long>")
+            texts = binary(batch, "body")
+            ends = np.cumsum([len(text or b"") for text in texts]) // STEP_BYTES
+            for some in np.split(np.arange(len(texts)), np.flatnonzero(np.diff(ends)) + 1):
+                # The lines of many texts one after the other.
+                bodies = [texts[i] or b"" for i in some]
+                before = np.cumsum([0, *(body.count(b"\n") + 1 for body in bodies)])
+                found = Lines(b"\n".join(bodies), hashes, powers)
+                own = np.searchsorted(before, found.numbers, "right") - 1
+                at = pa.array(some[own])
+                halves = pa.FixedSizeListArray.from_arrays(pa.array(found.halves().ravel()), 4).cast(pa.list_(pa.int64()))
+                contents = pa.array([found.raw[i] for i in found.numbers.tolist()], pa.binary())
+                columns = [pa.array(x) for x in (found.numbers - before[own], found.names, found.sizes)]
+                yield pa.record_batch(
+                    [batch.column(0).take(at), batch.column(1).take(at), *columns, halves, contents],
+                    names=["id", "text_key", "line_no", "line", "words", "halves", "content"],
+                )
+
+    kinds = f"id {kind}, text_key long, line_no long, line long, words long, halves array<long>, content binary"
+    found = over_batches(keyed, ["id", "text_key", "body"], cut, kinds)
     every = stored(found, "lines")
     lines = every.select("id", "text_key", "line_no", "line")
     firsts = stored(lines.groupBy("line").agg(F.min(_place()).alias("first"), F.count(F.lit(1)).alias("times")), "firsts")
 
-    halved = every.where(F.col("words") >= least_words).select("line", F.explode("halves").alias("half"))
+    long_enough = every.where(F.col("words") >= least_words)
+    halved = long_enough.select("line", F.explode("halves").alias("half"))
     common = halved.groupBy("half").agg(F.min("line").alias("low"), F.max("line").alias("high")).where("low <> high").select("half")
     sent = docs.sparkSession.sparkContext.broadcast(bit_filter(stored(common, "halves")))
 
     def spell(batches):
-        """Whole lines with a half that passes, each once per task."""
-        hashes, powers, seen = WordHashes(), Powers(), set()
+        """Lines with a half that passes, each once per task."""
+        seen = set()
         for batch in batches:
-            names, contents = [], []
-            for text in binary(batch, "body"):
-                lines = Lines(text, hashes, powers)
-                hit = np.zeros(4 * len(lines.names), bool)
-                hit[passing(*sent.value, lines.halves().ravel().view(np.uint64))] = True
-                for i in np.flatnonzero(hit.reshape(-1, 4).any(axis=1) & (lines.sizes >= least_words)).tolist():
-                    name = int(lines.names[i])
-                    if name not in seen:
-                        if len(seen) > 300_000:
-                            seen.clear()
-                        seen.add(name)
-                        names.append(name)
-                        contents.append(lines.raw[lines.numbers[i]])
-            yield pa.record_batch([pa.array(names, pa.int64()), pa.array(contents, pa.binary())], names=["line", "content"])
-
-    spelled = stored(over_batches(keyed, ["body"], spell, "line long, content binary").dropDuplicates(["line"]), "spelled")
+            keys = batch.column(1).flatten().to_numpy().view(np.uint64)
+            hit = np.zeros(len(keys), bool)
+            hit[passing(*sent.value, keys)] = True
+            at = np.flatnonzero(hit.reshape(-1, 4).any(axis=1))
+            names, first = np.unique(batch.column(0).to_numpy()[at], return_index=True)
+            if len(seen) > 300_000:
+                seen.clear()
+            new = [i for name, i in zip(names.tolist(), at[first].tolist()) if name not in seen]
+            seen.update(names.tolist())
+            yield batch.select(["line", "content"]).take(pa.array(new, pa.int64()))
+
+    spelled = over_batches(long_enough, ["line", "halves", "content"], spell, "line long, content binary").dropDuplicates(["line"])
+    spelled = stored(spelled, "spelled")
 
     def varying(met):
         """The variants of lines, and at place -1 the lines themselves; with a filter, those that pass it."""
