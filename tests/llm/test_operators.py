@@ -22,7 +22,7 @@ from tillstream.llm import quality_rules as Q
 from tillstream.llm import token_blocks as B
 from tillstream.llm import toxicity as X
 from tillstream.llm import url_filter as U
-from tillstream.llm.common import WordHashes, remainder
+from tillstream.llm.common import WordHashes, lean, remainder
 from tillstream.llm.components import components
 from tillstream.llm.text_stats import describe
 
@@ -503,6 +503,14 @@ def test_the_stage_keeps_what_the_scores_leave(spark, documents, labels):
     assert {r["doc_id"] for r in X.without_toxic(documents, model).collect()} == low and 0 < len(low) < documents.count()
 
 
+def test_tasks_let_go_of_what_others_held():
+    import tokenizers
+
+    path = B.tokenizer_path("word_bpe_49k.json")
+    assert B.process_encoder(path) is B.process_encoder(path)
+    assert list(lean(lambda batches: batches)([1, 2])) == [1, 2] and not hasattr(tokenizers, "tillstream_encoders")
+
+
 def test_toxicity_of_odd_rows(odd, empty, labels):
     model = X.fit_toxicity(odd, labels)
     assert all(0 <= r["score"] <= 1 for r in X.score_toxicity(odd, model).collect())

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from tillstream.session import shared_folder
 
-from .common import binary, bit_filter, over_batches, passing, stored
+from .common import binary, bit_filter, lean, over_batches, passing, stored
 from .training import clean_labels
 
 #: Bytes of the longest n-gram; an n-gram and its length fit a 64-bit number.
@@ -126,7 +126,7 @@ def publish(rows: DataFrame) -> tuple[str, ...]:
     ordered = rows.select(*columns).repartitionByRange("gram").sortWithinPartitions("gram")
     path = f"{shared_folder(spark).rstrip('/')}/llm-model-{uuid.uuid4().hex}"
     # The text writer puts the bytes of a value and one separator into a file of its own.
-    content = ordered.mapInArrow(write, "content binary").select(F.col("content").cast("string").alias("value"))
+    content = ordered.mapInArrow(lean(write), "content binary").select(F.col("content").cast("string").alias("value"))
     content.write.option("maxRecordsPerFile", 1).option("compression", "none").text(path)
     found = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path").collect()
     paths = sorted(row["path"] for row in found)
@@ -251,7 +251,7 @@ def count_grams(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str)
         yield from held.add(words)
         yield from held.drain()
 
-    parts = labelled_texts(docs, labels, id_col, text_col).mapInArrow(count, "gram long, toxic long, ordinary long")
+    parts = labelled_texts(docs, labels, id_col, text_col).mapInArrow(lean(count), "gram long, toxic long, ordinary long")
     return parts.groupBy("gram").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
 
 
@@ -269,12 +269,14 @@ class GramCounts:
                 keys, word, depth = grams(listed[begin : begin + STEP_WORDS])
                 some = times[begin : begin + STEP_WORDS][word]
                 inside = [depth >= k for k in range(1, len(keys) + 1)]
-                gram = np.concatenate([key[i] for key, i in zip(keys, inside)])
-                own = np.zeros((2, len(gram)), np.int64)
-                own[1 - label] = np.concatenate([some[i] for i in inside])
-                found, where = np.unique(np.concatenate([self.gram, gram]), return_inverse=True)
-                both = np.concatenate([self.times, own], axis=1)
+                # The slice is counted first, so that little is held beside what was counted before.
                 # Sums as floating-point numbers are exact up to 2**53 places of a task.
+                found, where = np.unique(np.concatenate([key[i] for key, i in zip(keys, inside)]), return_inverse=True)
+                own = np.zeros((2, len(found)), np.int64)
+                own[1 - label] = np.bincount(where, np.concatenate([some[i] for i in inside]), len(found))
+                del keys, word, depth, inside, where
+                found, where = np.unique(np.concatenate([self.gram, found]), return_inverse=True)
+                both = np.concatenate([self.times, own], axis=1)
                 self.gram, self.times = found, np.stack([np.bincount(where, row, len(found)) for row in both]).astype(np.int64)
                 if len(found) > HELD_GRAMS:
                     yield from self.drain()
@@ -405,4 +407,4 @@ def without_toxic(docs: DataFrame, model: Model, text_col: str = "text", least:
             mean, excess, n = evidence.of(binary(batch, text_col))
             yield batch.filter(pa.array((model.curve(mean, excess, n) < least) | (n == 0)))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return docs.mapInArrow(lean(keep), docs.schema)
