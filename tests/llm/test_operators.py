@@ -597,3 +597,15 @@ def test_token_files(spark, documents, odd, empty, tmp_path):
     small = B.read_token_files(spark, str(tmp_path / "small"), with_ids=True).orderBy("part", "number", "place").collect()
     assert [r["id"] for r in small] == [w[0] for w in want] and [r["ids_crc32"] for r in small] == [w[3] for w in want]
     assert B.token_output(empty).count() == 0 and B.token_output(odd).count() == odd.count()
+
+
+def test_encoder_keeps_words_without_marks():
+    encoder = B.Encoder(B.tokenizer_path("word_bpe_49k.json"))
+    texts = ["Onesed, onesed. (onesed) onesed!? aïe;", None, "", " \n", " onesed\x0b\x1cx\x85y\r\n", "don't, we'll; été été ΟΔΟΣ İs 12,3", "<|endoftext|> <a|b>."]
+    for _ in range(2):
+        found = [np.frombuffer(ids, "<u4").tolist() for ids in encoder.each(texts)]
+        assert found == [encoder.tokenizer.encode(text or "", add_special_tokens=False).ids for text in texts]
+    # One entry for a plain word, whatever follows it; its ids come without the steps that leave it as it is.
+    assert b"onesed" in encoder.known and b"onesed," not in encoder.known and encoder.plain is not encoder.tokenizer
+    encoder.limit = 0
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in encoder.each(texts)] == found

@@ -13,14 +13,16 @@ their positions as bytes. The width is the one that 90 % of the block's values f
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -37,8 +39,27 @@ FILE_IDS = 1 << 20
 #: Blocks that are packed or unpacked at a time.
 STEP = 1_024
 END_ID = 2
-#: Characters of the texts whose new words are learned at a time.
-GROUP = 1_000_000
+#: Characters of the texts whose words are looked up at a time.
+GROUP = 4_000_000
+#: How a tokenizer changes and cuts texts if it takes lower-case letters between spaces as they are.
+PLAIN = {
+    "normalizer": {
+        "type": "Sequence",
+        "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}],
+    },
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {
+                "type": "Split",
+                "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+                "behavior": "Removed",
+                "invert": True,
+            },
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+}
 
 
 def bit_lengths(values: np.ndarray) -> np.ndarray:
@@ -163,16 +184,28 @@ def decode_file(content: bytes) -> tuple[int, int, pa.RecordBatch, np.ndarray]:
     return int(head[2]), int(head[3]), table[0], ids
 
 
+def cut_bytes(values: pa.Array, bounds: np.ndarray | None = None) -> list[bytes]:
+    """The values of an array of large_binary; with bounds, those between each two of them joined."""
+    _, offsets, data = values.buffers()
+    ends = np.frombuffer(offsets, np.int64)[: len(values) + 1] if offsets else np.zeros(1, np.int64)
+    ends = (ends if bounds is None else ends[bounds]).tolist()
+    raw = data.to_pybytes() if data else b""
+    return list(map(raw.__getitem__, map(slice, ends, ends[1:])))
+
+
 class Encoder:
     """Ids of texts by a tokenizer file; words met before are looked up.
 
     The tokenizer drops white space and never joins across it, so a text's ids are those of its words
-    one after the other. Plain words are encoded many at a time and told apart by the ends of words.
+    one after the other. Arrow cuts many texts into words, numbers the distinct ones and lines up what
+    is found for them; only these are looked up one by one.
+    Plain words are encoded many at a time and told apart by the ends of words; if the file is known
+    to take them as they are, by its model without the steps before it.
     Known words are kept in two generations: one that is met again moves to the younger one, the
     others are forgotten when the younger one is full.
     """
 
-    limit = 250_000
+    limit = 200_000
     # Letters, then ASCII punctuation but the apostrophe: the tokenizer always cuts between the two.
     # The letters are a-z and, as UTF-8, those from ß to ÿ.
     _parts = re.compile(rb"^(?:((?:[a-z]++|\xc3[\x9f-\xb6\xb8-\xbf])++)([!-&(-/:-@\[-`{-~]*)|.+)$", re.MULTILINE)
@@ -180,39 +213,46 @@ class Encoder:
     def __init__(self, path: str):
         # Spark runs a task per core; threads of the tokenizer would only get in its way.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        self.tokenizer = self.plain = Tokenizer.from_file(path)
+        steps = json.loads(self.tokenizer.to_str())
+        if {name: steps[name] for name in PLAIN} == PLAIN:
+            self.plain = Tokenizer(self.tokenizer.model)
+            level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+            self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), level])
         ends = [i for token, i in self.tokenizer.get_vocab().items() if token.endswith("</w>")]
         self.ends = np.zeros(max(self.tokenizer.get_vocab_size(), max(ends, default=0) + 1), bool)
         self.ends[ends] = True
         self.known: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
-    def unknown(self, words: set[bytes]) -> list[bytes]:
+    def unknown(self, words: Iterable[bytes]) -> list[bytes]:
         """Those of the words in neither generation; words of the older one move to the younger."""
-        new, old = words.difference(self.known), self.old
+        known, old = self.known, self.old
+        new = [word for word in words if word not in known]
         if not old:
-            return list(new)
-        self.known.update((word, old[word]) for word in new if word in old)
-        return list(new.difference(old))
+            return new
+        known.update((word, old[word]) for word in new if word in old)
+        return [word for word in new if word not in old]
 
-    def learn(self, words: list[bytes]) -> None:
+    def learn(self, words: list[bytes]) -> list[bytes]:
+        """Ids of words; of a plain word and what follows it, each is kept."""
         split = self._parts.findall(b"\n".join(words))
         plain = self.unknown({letters for letters, _ in split if letters})
         for begin in range(0, len(plain), 500):
             some = plain[begin : begin + 500]
-            ids = np.array(self.tokenizer.encode_batch_fast([b" ".join(some).decode()], add_special_tokens=False)[0].ids, "<u4")
+            ids = np.array(self.plain.encode_batch_fast([b" ".join(some).decode()], add_special_tokens=False)[0].ids, "<u4")
             ends = ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()
             if len(ends) == len(some):
                 raw = ids.tobytes()
                 self.known.update(zip(some, map(raw.__getitem__, map(slice, [0, *ends], ends))))
             else:
                 self.encode(some)
-        self.encode(self.unknown({marks for _, marks in split if marks}))
+        rest = {marks for _, marks in split if marks}.union(word for word, (letters, _) in zip(words, split) if not letters)
+        self.encode(self.unknown(rest))
         known = self.known
-        known.update((word, known[letters] + known[marks]) for word, (letters, marks) in zip(words, split) if marks)
-        self.encode(self.unknown({word for word, (letters, _) in zip(words, split) if not letters}))
+        return [known[letters] + known[marks] if letters else known[word] for word, (letters, marks) in zip(words, split)]
 
     def encode(self, texts: list[bytes]) -> None:
         """Look up by the tokenizer, each text on its own."""
@@ -222,12 +262,20 @@ class Encoder:
     def ids(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
         # Python lowers a final capital sigma by its place in the word, the tokenizer does not.
-        split = [(text if "Σ" in text else text.lower()).encode().split() for text in (text or "" for text in texts)]
+        lowered = [text if "Σ" in text else text.lower() for text in (text or "" for text in texts)]
+        split = pc.ascii_split_whitespace(pa.array(lowered, pa.large_string()))
+        words = split.flatten().dictionary_encode()
+        distinct = cut_bytes(words.dictionary.cast(pa.large_binary()))
         if len(self.known) > self.limit:
             self.known, self.old = {}, self.known
-        if new := self.unknown(set().union(*split)):
-            self.learn(new)
-        return [b"".join(map(self.known.__getitem__, words)) for words in split]
+        # White space at an end of a text leaves an empty word.
+        self.known[b""] = b""
+        found = list(map(self.known.get, distinct))
+        missed = [i for i, ids in enumerate(found) if ids is None]
+        if missed:
+            for i, ids in zip(missed, self.learn([distinct[i] for i in missed])):
+                found[i] = ids
+        return cut_bytes(pa.array(found, pa.large_binary()).take(words.indices), split.offsets.to_numpy())
 
     def each(self, texts: list[str | None]) -> Iterator[bytes]:
         """Ids of each text, some texts at a time; a group ends at ``GROUP`` characters."""
