@@ -12,6 +12,7 @@ from fractions import Fraction
 import numpy as np
 import pytest
 
+from tillstream.llm import common as C
 from tillstream.llm import decontamination as D
 from tillstream.llm import jaccard_join as J
 from tillstream.llm import line_dedup as L
@@ -98,6 +99,25 @@ def test_lines_shuffle_little(spark, monkeypatch):
     assert made["variants"].count() < 100
 
 
+def test_lines_are_stored_once(spark, monkeypatch):
+    """A task stores the content of a line where it first meets it, and of lines long enough only; in little room."""
+    made = {}
+    keep = C.stored
+    monkeypatch.setattr(C, "stored", lambda df, what, *codec: made.setdefault(what, keep(df, what, *codec)))
+    monkeypatch.setattr(L, "stored", C.stored)
+    body = "\n".join(["a b c d e f", "a b", "a b c d x f", "a b c d e f"])
+    rows = [(i, f"{body}\nown {i} b c d") for i in range(50)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    for seen in (L.SEEN, 1):
+        monkeypatch.setattr(L, "SEEN", seen)
+        made.clear()
+        got = {r["doc_id"]: r["text"] for r in L.dedup_lines(frame.coalesce(1)).collect()}
+        assert got == deduped(rows)
+        contents = [bytes(r["content"]) for r in made["lines"].where("content is not null").collect()]
+        assert len(contents) == len(set(contents)) == 52 and made["lines"].count() == 250
+    assert all(".zstd." in path for path in made["lines"].inputFiles())
+
+
 def test_lines_of_odd_rows(odd, empty):
     rows = L.dedup_lines(odd).collect()
     assert len(rows) == odd.count()

@@ -16,12 +16,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, binary, bit_filter, mix, over_batches, passing, stored
+from .common import WordHashes, binary, bit_filter, mix, over_batches, packed, passing, stored
 
 #: Shorter lines are only compared as they are: a changed word is too large a part of them.
 LEAST_WORDS = 5
 #: Bytes of the lines whose variants are formed at a time.
 STEP_BYTES = 1_000_000
+#: Lines a task remembers as met.
+SEEN = 300_000
 _GOLDEN = 0x9E3779B97F4A7C15
 
 
@@ -115,7 +117,8 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     keyed = _keyed(docs, id_col, text_col)
 
     def cut(batches):
-        hashes, powers = WordHashes(), Powers()
+        """All lines; those long enough with their halves and content where a task first meets them."""
+        hashes, powers, seen = WordHashes(), Powers(), set()
         for batch in batches:
             texts = binary(batch, "body")
             ends = np.cumsum([len(text or b"") for text in texts]) // STEP_BYTES
@@ -126,21 +129,28 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 found = Lines(b"\n".join(bodies), hashes, powers)
                 own = np.searchsorted(before, found.numbers, "right") - 1
                 at = pa.array(some[own])
-                halves = pa.FixedSizeListArray.from_arrays(pa.array(found.halves().ravel()), 4).cast(pa.list_(pa.int64()))
-                contents = pa.array([found.raw[i] for i in found.numbers.tolist()], pa.binary())
-                columns = [pa.array(x) for x in (found.numbers - before[own], found.names, found.sizes)]
+                names, first = np.unique(found.names, return_index=True)
+                if len(seen) > SEEN:
+                    seen.clear()
+                new = np.zeros(len(own), bool)
+                new[[i for name, i in zip(names.tolist(), first.tolist()) if name not in seen]] = True
+                seen.update(names.tolist())
+                new &= found.sizes >= least_words
+                halves = pa.ListArray.from_arrays(np.append(0, 4 * new.cumsum()).astype(np.int32), found.halves()[new].ravel())
+                contents = pa.array([found.raw[i] if long else None for i, long in zip(found.numbers.tolist(), new.tolist())], pa.binary())
+                columns = [pa.array(x) for x in (found.numbers - before[own], found.names)]
                 yield pa.record_batch(
                     [batch.column(0).take(at), batch.column(1).take(at), *columns, halves, contents],
-                    names=["id", "text_key", "line_no", "line", "words", "halves", "content"],
+                    names=["id", "text_key", "line_no", "line", "halves", "content"],
                 )
 
-    kinds = f"id {kind}, text_key long, line_no long, line long, words long, halves array<long>, content binary"
+    kinds = f"id {kind}, text_key long, line_no long, line long, halves array<long>, content binary"
     found = over_batches(keyed, ["id", "text_key", "body"], cut, kinds)
-    every = stored(found, "lines")
+    every = packed(found, "lines")
     lines = every.select("id", "text_key", "line_no", "line")
     firsts = stored(lines.groupBy("line").agg(F.min(_place()).alias("first"), F.count(F.lit(1)).alias("times")), "firsts")
 
-    long_enough = every.where(F.col("words") >= least_words)
+    long_enough = every.where("content is not null")
     halved = long_enough.select("line", F.explode("halves").alias("half"))
     common = halved.groupBy("half").agg(F.min("line").alias("low"), F.max("line").alias("high")).where("low <> high").select("half")
     sent = docs.sparkSession.sparkContext.broadcast(bit_filter(stored(common, "halves")))
@@ -154,7 +164,7 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
             hit[passing(*sent.value, keys)] = True
             at = np.flatnonzero(hit.reshape(-1, 4).any(axis=1))
             names, first = np.unique(batch.column(0).to_numpy()[at], return_index=True)
-            if len(seen) > 300_000:
+            if len(seen) > SEEN:
                 seen.clear()
             new = [i for name, i in zip(names.tolist(), at[first].tolist()) if name not in seen]
             seen.update(names.tolist())
