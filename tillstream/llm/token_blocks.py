@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from tillstream.session import shared_folder
 
-from .common import lists, stored, strings
+from .common import give_back, lists, stored
 
 MAGIC = 0x524F4650  # "PFOR"
 VERSION = 1
@@ -39,8 +39,8 @@ FILE_IDS = 1 << 20
 #: Blocks that are packed or unpacked at a time.
 STEP = 1_024
 END_ID = 2
-#: Characters of the texts whose words are looked up at a time.
-GROUP = 4_000_000
+#: Bytes of the texts whose words are looked up at a time.
+GROUP = 2_000_000
 #: How a tokenizer changes and cuts texts if it takes lower-case letters between spaces as they are.
 PLAIN = {
     "normalizer": {
@@ -277,11 +277,14 @@ class Encoder:
                 found[i] = ids
         return cut_bytes(pa.array(found, pa.large_binary()).take(words.indices), split.offsets.to_numpy())
 
-    def each(self, texts: list[str | None]) -> Iterator[bytes]:
-        """Ids of each text, some texts at a time; a group ends at ``GROUP`` characters."""
-        ends = np.cumsum([len(text or "") for text in texts]) // GROUP
-        for some in np.split(np.arange(len(texts)), np.flatnonzero(np.diff(ends)) + 1):
-            yield from self.ids([texts[i] for i in some])
+    def each(self, texts: pa.Array | list[str | None]) -> Iterator[bytes]:
+        """Ids of each text, some texts at a time; a group ends at ``GROUP`` bytes. Only its texts become strings."""
+        column = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+        ends = np.cumsum(sizes, dtype=np.int64) // GROUP
+        for some in np.split(np.arange(len(column)), np.flatnonzero(np.diff(ends)) + 1):
+            if len(some):
+                yield from self.ids(column.slice(some[0], len(some)).to_pylist())
 
 
 def process_encoder(path: str) -> Encoder:
@@ -328,6 +331,7 @@ def write_token_files(
         end = np.array([end_id], "<u4").tobytes()
         names, sizes, pieces, held = [], [], [], 0
         kind = None
+        give_back()
 
         def file():
             table = pa.record_batch([pa.array(names, kind), pa.array(sizes, pa.int64())], names=["id", "n"])
@@ -336,7 +340,7 @@ def write_token_files(
 
         for batch in batches:
             kind = batch.column(0).type
-            for name, piece in zip(batch.column(0).to_pylist(), encoder.each(strings(batch, "body"))):
+            for name, piece in zip(batch.column(0).to_pylist(), encoder.each(batch.column(1))):
                 names.append(name)
                 sizes.append(len(piece) // 4 + 1)
                 pieces += (piece, end)
@@ -346,6 +350,7 @@ def write_token_files(
                     names, sizes, pieces, held, number = [], [], [], 0, number + 1
         if names:
             yield file()
+        give_back()
 
     slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("body"))
     ordered = slim.repartitionByRange(F.col("id").asc_nulls_first(), F.xxhash64("body")).sortWithinPartitions(
