@@ -619,6 +619,31 @@ def test_token_files(spark, documents, odd, empty, tmp_path):
     assert B.token_output(empty).count() == 0 and B.token_output(odd).count() == odd.count()
 
 
+def test_words_are_cut_many_texts_at_a_time():
+    texts = ["onesed, (onesed) aïe! don't", "", " a.b \x0b\x1c x,é. ÷. ", "\n", "é.\u0301 <|endoftext|>,"]
+    for marks in (True, False):
+        words, bounds = B.cut_words([text.encode() for text in texts], marks)
+        found = [[w.decode() for w in words.to_pylist()[a:b]] for a, b in zip(bounds, bounds[1:])]
+        want = [["onesed", ",", "(onesed)", "aïe", "!", "don't"], [], ["a.b", "\x1c", "x,é.", "÷."], [], ["é.\u0301", "<|endoftext|>,"]]
+        assert found == want if marks else ["".join(f) for f in found] == ["".join(w) for w in want] and len(words) == 10
+    assert [len(x) for x in B.cut_words([])] == [0, 1] and B.cut_words([b"", b" "])[1].tolist() == [0, 0, 0]
+
+
+def test_letters_are_composed_before_they_are_lowered():
+    encoder = B.Encoder(B.tokenizer_path("word_bpe_49k.json"))
+    texts = ["J\u030c x", "\u0130\u0327", "T\u0308,", "A\u0301", "\u212a", "\u0391\u0345", "\u00c9T\u00c9"]
+    found = [np.frombuffer(ids, "<u4").tolist() for ids in encoder.each(texts)]
+    assert found == [encoder.tokenizer.encode(text, add_special_tokens=False).ids for text in texts]
+
+
+def test_a_mark_behind_a_word_is_looked_up_once():
+    encoder = B.Encoder(B.tokenizer_path("word_bpe_49k.json"))
+    looked = []
+    encoder.learn = lambda words, learn=encoder.learn: (looked.extend(words), learn(words))
+    list(encoder.each(["onesed, onesed. onesed!"]))
+    assert sorted(looked) == [b"!", b",", b".", b"onesed"]
+
+
 def test_encoder_keeps_words_without_marks():
     encoder = B.Encoder(B.tokenizer_path("word_bpe_49k.json"))
     texts = ["Onesed, onesed. (onesed) onesed!? aïe;", None, "", " \n", " onesed\x0b\x1cx\x85y\r\n", "don't, we'll; été été ΟΔΟΣ İs 12,3", "<|endoftext|> <a|b>."]

@@ -16,9 +16,11 @@ from __future__ import annotations
 import json
 import os
 import re
+import string
+import unicodedata
 import uuid
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -68,28 +70,29 @@ def bit_lengths(values: np.ndarray) -> np.ndarray:
 
 def pack(values: np.ndarray, width: int) -> np.ndarray:
     """Rows of 128 numbers below 2**width as rows of 4 * width words."""
-    lanes = values.reshape(-1, 4, 32).astype(np.uint64)
-    out = np.zeros((len(lanes), 4, width + 1), np.uint64)
+    # One place of all lanes after the other, so that each step reads and writes what lies together.
+    places = np.ascontiguousarray(values.astype(np.uint32).reshape(-1, 32).T)
+    out = np.zeros((width, places.shape[1]), np.uint32)
     for i in range(32):
         word, shift = divmod(i * width, 32)
-        moved = lanes[:, :, i] << np.uint64(shift)
-        out[:, :, word] |= moved & np.uint64(0xFFFFFFFF)
-        out[:, :, word + 1 if word < width else word] |= moved >> np.uint64(32)
-    return out[:, :, :width].astype(np.uint32).reshape(len(lanes), 4 * width)
+        out[word] |= places[i] << np.uint32(shift)
+        if shift + width > 32:
+            out[word + 1] |= places[i] >> np.uint32(32 - shift)
+    return np.ascontiguousarray(out.T).reshape(-1, 4 * width)
 
 
 def unpack(words: np.ndarray, width: int) -> np.ndarray:
     """Inverse of ``pack``."""
-    lanes = words.reshape(-1, 4, width).astype(np.uint64)
-    out = np.zeros((len(lanes), 4, 32), np.uint32)
-    mask = np.uint64((1 << width) - 1)
-    for i in range(32 if width else 0):
+    lanes = np.ascontiguousarray(words.reshape(-1, width).T)
+    out = np.zeros((32, lanes.shape[1]), np.uint32)
+    mask = np.uint32((1 << width) - 1)
+    for i in range(32):
         word, shift = divmod(i * width, 32)
-        both = lanes[:, :, word]
+        out[i] = lanes[word] >> np.uint32(shift)
         if shift + width > 32:
-            both = both | lanes[:, :, word + 1] << np.uint64(32)
-        out[:, :, i] = (both >> np.uint64(shift)) & mask
-    return out.reshape(len(lanes), BLOCK)
+            out[i] |= lanes[word + 1] << np.uint32(32 - shift)
+    out &= mask
+    return np.ascontiguousarray(out.T).reshape(-1, BLOCK)
 
 
 def encode_blocks(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -193,22 +196,72 @@ def cut_bytes(values: pa.Array, bounds: np.ndarray | None = None) -> list[bytes]
     return list(map(raw.__getitem__, map(slice, ends, ends[1:])))
 
 
+def lowered(text: str) -> bytes:
+    """A text in lower case if the tokenizer, which composes letters before it lowers them, finds the same in it."""
+    lower = text.lower()
+    # Python lowers a final capital sigma by its place in the word, the tokenizer does not. Marks may
+    # go with a small letter but not with its capital, or in another order.
+    return (lower if text.isascii() or "Σ" not in text and unicodedata.is_normalized("NFC", lower) else text).encode()
+
+
+def kinds_of_bytes() -> np.ndarray:
+    kinds = np.full(256, OTHER, np.uint8)
+    for kind, some in ((SPACE, b" \t\n\v\f\r"), (LETTER, string.ascii_lowercase.encode()), (MARK, string.punctuation.replace("'", "").encode())):
+        kinds[list(some)] = kind
+    return kinds
+
+
+#: Kinds of bytes: white space, lower-case letters of ASCII, its punctuation but the apostrophe, all others.
+SPACE, LETTER, MARK, OTHER = range(4)
+KINDS = kinds_of_bytes()
+#: What follows 0xC3 in the UTF-8 of the letters from ß to ÿ.
+LATIN = np.isin(np.arange(256), [*range(0x9F, 0xB7), *range(0xB8, 0xC0)])
+
+
+def cut_words(texts: list[bytes], marks: bool = True) -> tuple[pa.Array, np.ndarray]:
+    """(words of all texts, where those of each text begin and end); words are cut at ASCII white space.
+
+    With ``marks``, a word of letters and then punctuation is cut between the two: a tokenizer of the
+    steps ``PLAIN`` always cuts there.
+    """
+    raw = np.frombuffer(b"\n".join([b"", *texts, b""]), np.uint8)
+    kinds = KINDS[raw]
+    lead = np.flatnonzero(raw[:-1] == 0xC3)
+    lead = lead[LATIN[raw[lead + 1]]]
+    kinds[lead] = kinds[lead + 1] = LETTER
+    # Runs of one kind; white space is before the first and is the last.
+    begins = np.flatnonzero(kinds[1:] != kinds[:-1]) + 1
+    kind = kinds[begins]
+    spaces = np.where(kind == SPACE, np.diff(begins, append=len(raw)), 0)
+    # Where a run begins once white space is gone.
+    packed = begins - (np.cumsum(spaces) - spaces) - (begins[0] if len(begins) else 0)
+    first = (kind != SPACE) & np.concatenate([[True], kind[:-1] == SPACE])[: len(kind)]
+    word = first.copy()
+    if marks:
+        word[1:-1] |= first[:-2] & (kind[:-2] == LETTER) & (kind[1:-1] == MARK) & (kind[2:] == SPACE)
+    data = raw[kinds != SPACE]
+    offsets = np.append(packed[word], len(data)).astype(np.int64)
+    words = pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+    ends = np.cumsum([1, *(len(text) + 1 for text in texts)])
+    return words, np.searchsorted(begins[word], ends)
+
+
 class Encoder:
     """Ids of texts by a tokenizer file; words met before are looked up.
 
     The tokenizer drops white space and never joins across it, so a text's ids are those of its words
-    one after the other. Arrow cuts many texts into words, numbers the distinct ones and lines up what
-    is found for them; only these are looked up one by one.
-    Plain words are encoded many at a time and told apart by the ends of words; if the file is known
-    to take them as they are, by its model without the steps before it.
+    one after the other. Many texts are cut into words at once, Arrow numbers the distinct ones and
+    lines up what is found for them; only these are looked up one by one.
+    If the file is known to take plain words as they are, they are told apart from the punctuation
+    behind them where texts are cut, and go to its model without the steps before it.
+    Plain words are encoded many at a time and told apart by the ends of words.
     Known words are kept in two generations: one that is met again moves to the younger one, the
     others are forgotten when the younger one is full.
     """
 
     limit = 200_000
-    # Letters, then ASCII punctuation but the apostrophe: the tokenizer always cuts between the two.
     # The letters are a-z and, as UTF-8, those from ß to ÿ.
-    _parts = re.compile(rb"^(?:((?:[a-z]++|\xc3[\x9f-\xb6\xb8-\xbf])++)([!-&(-/:-@\[-`{-~]*)|.+)$", re.MULTILINE)
+    _plain = re.compile(rb"(?:[a-z]++|\xc3[\x9f-\xb6\xb8-\xbf])++")
 
     def __init__(self, path: str):
         # Spark runs a task per core; threads of the tokenizer would only get in its way.
@@ -227,19 +280,16 @@ class Encoder:
         self.known: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
-    def unknown(self, words: Iterable[bytes]) -> list[bytes]:
-        """Those of the words in neither generation; words of the older one move to the younger."""
-        known, old = self.known, self.old
-        new = [word for word in words if word not in known]
-        if not old:
-            return new
-        known.update((word, old[word]) for word in new if word in old)
-        return [word for word in new if word not in old]
-
-    def learn(self, words: list[bytes]) -> list[bytes]:
-        """Ids of words; of a plain word and what follows it, each is kept."""
-        split = self._parts.findall(b"\n".join(words))
-        plain = self.unknown({letters for letters, _ in split if letters})
+    def learn(self, words: list[bytes]) -> None:
+        """Make words known; those of the older generation move to the younger."""
+        if self.old:
+            found = list(map(self.old.get, words))
+            self.known.update((word, ids) for word, ids in zip(words, found) if ids is not None)
+            words = [word for word, ids in zip(words, found) if ids is None]
+        is_plain = self._plain.fullmatch
+        plain = [word for word in words if is_plain(word)]
+        if len(plain) < len(words):
+            self.encode([word for word in words if not is_plain(word)])
         for begin in range(0, len(plain), 500):
             some = plain[begin : begin + 500]
             ids = np.array(self.plain.encode_batch_fast([b" ".join(some).decode()], add_special_tokens=False)[0].ids, "<u4")
@@ -249,10 +299,6 @@ class Encoder:
                 self.known.update(zip(some, map(raw.__getitem__, map(slice, [0, *ends], ends))))
             else:
                 self.encode(some)
-        rest = {marks for _, marks in split if marks}.union(word for word, (letters, _) in zip(words, split) if not letters)
-        self.encode(self.unknown(rest))
-        known = self.known
-        return [known[letters] + known[marks] if letters else known[word] for word, (letters, marks) in zip(words, split)]
 
     def encode(self, texts: list[bytes]) -> None:
         """Look up by the tokenizer, each text on its own."""
@@ -261,21 +307,19 @@ class Encoder:
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        # Python lowers a final capital sigma by its place in the word, the tokenizer does not.
-        lowered = [text if "Σ" in text else text.lower() for text in (text or "" for text in texts)]
-        split = pc.ascii_split_whitespace(pa.array(lowered, pa.large_string()))
-        words = split.flatten().dictionary_encode()
-        distinct = cut_bytes(words.dictionary.cast(pa.large_binary()))
+        words, bounds = cut_words([lowered(text or "") for text in texts], self.plain is not self.tokenizer)
+        words = words.dictionary_encode()
+        distinct = cut_bytes(words.dictionary)
         if len(self.known) > self.limit:
             self.known, self.old = {}, self.known
-        # White space at an end of a text leaves an empty word.
-        self.known[b""] = b""
         found = list(map(self.known.get, distinct))
         missed = [i for i, ids in enumerate(found) if ids is None]
         if missed:
-            for i, ids in zip(missed, self.learn([distinct[i] for i in missed])):
+            some = [distinct[i] for i in missed]
+            self.learn(some)
+            for i, ids in zip(missed, map(self.known.__getitem__, some)):
                 found[i] = ids
-        return cut_bytes(pa.array(found, pa.large_binary()).take(words.indices), split.offsets.to_numpy())
+        return cut_bytes(pa.array(found, pa.large_binary()).take(words.indices), bounds)
 
     def each(self, texts: pa.Array | list[str | None]) -> Iterator[bytes]:
         """Ids of each text, some texts at a time; a group ends at ``GROUP`` bytes. Only its texts become strings."""
