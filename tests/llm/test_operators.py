@@ -10,6 +10,7 @@ from collections import Counter
 from fractions import Fraction
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tillstream.llm import common as C
@@ -23,7 +24,7 @@ from tillstream.llm import quality_rules as Q
 from tillstream.llm import token_blocks as B
 from tillstream.llm import toxicity as X
 from tillstream.llm import url_filter as U
-from tillstream.llm.common import WordHashes, lean, remainder
+from tillstream.llm.common import WordHashes, lean, parts, remainder
 from tillstream.llm.components import components
 from tillstream.llm.text_stats import describe
 
@@ -531,6 +532,17 @@ def test_tasks_let_go_of_what_others_held():
     assert list(lean(lambda batches: batches)([1, 2])) == [1, 2] and not hasattr(tokenizers, "tillstream_encoders")
 
 
+def test_texts_go_to_python_in_small_batches(spark, documents, monkeypatch):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before, seen, write = spark.conf.get(name), [], J.stored
+    monkeypatch.setattr(J, "stored", lambda df, what: (seen.append((what, int(spark.conf.get(name)))), write(df, what))[1])
+    J.jaccard_classes(documents)
+    assert {rows for what, rows in seen if what in ("heads", "verified")} == {1_000} and spark.conf.get(name) == before
+    # A batch of a job that the caller runs is cut in the task.
+    batch = pa.record_batch([pa.array(range(2_500))], names=["i"])
+    assert [b.num_rows for b in parts([batch, batch.slice(0, 0)])] == [1_000, 1_000, 500]
+
+
 def test_toxicity_of_odd_rows(odd, empty, labels):
     model = X.fit_toxicity(odd, labels)
     assert all(0 <= r["score"] <= 1 for r in X.score_toxicity(odd, model).collect())

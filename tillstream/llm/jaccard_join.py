@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, binary, bit_filter, lists, mix, over_batches, passing, shingle_hashes, stored
+from .common import WordHashes, binary, bit_filter, lists, mix, over_batches, passing, shingle_hashes, small_batches, stored
 from .components import components
 
 #: Counters of the frequency sketch, a power of two; 4 MB whatever the input.
@@ -69,7 +69,9 @@ def frequency_sketch(docs: DataFrame, text_col: str, width: int) -> np.ndarray:
 
     chunks = over_batches(docs, [text_col], count, "chunk long, counts binary").groupBy("chunk").applyInArrow(add, "chunk long, counts binary")
     sketch = np.zeros((_CHUNKS, size // _CHUNKS), np.uint32)
-    for row in chunks.collect():  # 64 rows of 64 KB
+    with small_batches(docs.sparkSession):
+        rows = chunks.collect()  # 64 rows of 64 KB
+    for row in rows:
         sketch[row["chunk"]] = np.frombuffer(row["counts"], "<u4")
     return sketch.ravel()
 
@@ -161,7 +163,10 @@ def jaccard_classes(
     without an id take no part in links and have a null component. Repeated rows get a row each;
     rows that share an id are one document, so its texts' components are one.
     """
-    table = stored(heads(docs, frequency_sketch(docs, text_col, width), id_col, text_col, width, percent), "heads")
+    spark = docs.sparkSession
+    sketch = frequency_sketch(docs, text_col, width)
+    with small_batches(spark):
+        table = stored(heads(docs, sketch, id_col, text_col, width, percent), "heads")
     usable = table.where((F.col("n") > 0) & F.col("id").isNotNull())
     nodes = stored(usable.groupBy("node").agg(F.min("id").alias("rep"), F.min("prefix_key").alias("prefix_key")), "nodes")
     leaders = nodes.groupBy("prefix_key").agg(F.min("node").alias("leader"))
@@ -189,7 +194,11 @@ def jaccard_classes(
     own = members.where("node <> leader").select(*ordered_pairs(F.col("node"), F.col("leader")))
     first_pairs = stored(members.select("node", "leader").join(stars, "leader").select(*ordered_pairs(F.col("node"), F.col("pivot"))).unionByName(own).distinct(), "pairs")
     reps = nodes.select("node", "rep")
-    check = lambda pairs: stored(verified(pairs, docs, reps, id_col, text_col, width, percent), "verified")
+
+    def check(pairs):
+        with small_batches(spark):
+            return stored(verified(pairs, docs, reps, id_col, text_col, width, percent), "verified")
+
     links = check(first_pairs)
     known = stored(components(links), "components")
 

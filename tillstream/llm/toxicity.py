@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from tillstream.session import shared_folder
 
-from .common import binary, bit_filter, lean, over_batches, passing, stored
+from .common import binary, bit_filter, lean, over_batches, parts, passing, small_batches, stored
 from .training import clean_labels
 
 #: Bytes of the longest n-gram; an n-gram and its length fit a 64-bit number.
@@ -329,7 +329,7 @@ def measured(docs: DataFrame, model: Model, columns: list[str], text_col: str, k
 
     def measure(batches):
         evidence = None
-        for batch in batches:
+        for batch in parts(batches):
             evidence = evidence or Evidence([mapped(path) for path in model.paths])
             found = row(*evidence.of(binary(batch, text_col)))
             yield pa.record_batch([*batch.columns[:-1], *map(pa.array, found.values())], names=[*columns, *found])
@@ -359,7 +359,9 @@ def fit_toxicity(
     aside = F.pmod(F.xxhash64("sample_id"), F.lit(8)) == 0
     ids = stored(known.where(aside).orderBy(*order).limit(CURVE_ROWS), "curve")
     counted = stored(known.join(F.broadcast(ids.select("sample_id")), "sample_id", "left_anti"), "labels")
-    model = Model(publish(smoothed_table(stored(count_grams(docs, counted, id_col, text_col), "grams"))))
+    with small_batches(docs.sparkSession):
+        found = stored(count_grams(docs, counted, id_col, text_col), "grams")
+    model = Model(publish(smoothed_table(found)))
     chosen = docs.select(F.col(id_col).alias("sample_id"), F.col(text_col).alias("sample_text")).join(F.broadcast(ids), "sample_id")
     rows = chosen.select("sample_text", F.col("sample_label").alias("y"), F.xxhash64("sample_id").alias("i"))
     kinds = "mean double, excess double, n double"
@@ -402,7 +404,7 @@ def without_toxic(docs: DataFrame, model: Model, text_col: str = "text", least:
 
     def keep(batches):
         evidence = None
-        for batch in batches:
+        for batch in parts(batches):
             evidence = evidence or Evidence([mapped(path) for path in model.paths])
             mean, excess, n = evidence.of(binary(batch, text_col))
             yield batch.filter(pa.array((model.curve(mean, excess, n) < least) | (n == 0)))
