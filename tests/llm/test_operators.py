@@ -543,6 +543,17 @@ def test_texts_go_to_python_in_small_batches(spark, documents, monkeypatch):
     assert [b.num_rows for b in parts([batch, batch.slice(0, 0)])] == [1_000, 1_000, 500]
 
 
+def test_texts_are_mixed_in_small_batches(documents, monkeypatch):
+    tasks = []
+    monkeypatch.setattr(M, "lean", lambda fn: tasks.append(fn) or fn, raising=False)
+    M.mixed_texts(documents)
+    n = 2_500
+    columns = {"whole": [{"i": i} for i in range(n)], "body": [f"a {i}" for i in range(n)], "key": [0] * n, "copies": [2] * n, "bound": [-1] * n}
+    found = list(tasks[0]([pa.RecordBatch.from_pydict(columns)]))
+    assert [b.num_rows for b in found] == [2_000, 2_000, 1_000]
+    assert [(r["whole"]["i"], r["body"]) for b in found for r in b.to_pylist()] == [(i, f"a {i}") for i in range(n) for _ in range(2)]
+
+
 def test_toxicity_of_odd_rows(odd, empty, labels):
     model = X.fit_toxicity(odd, labels)
     assert all(0 <= r["score"] <= 1 for r in X.score_toxicity(odd, model).collect())

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import binary, mix, over_batches, sized, stored
+from .common import binary, lean, mix, over_batches, parts, sized, stored
 
 WEIGHTS = (3, 1, 2)
 #: Words of a block, and of a shard about.
@@ -235,7 +235,7 @@ def mixed_texts(
     joined = placed.join(shards, F.col("source").eqNullSafe(F.col("s")) & (F.col("shard") == F.col("p")))
 
     def take(batches):
-        for batch in batches:
+        for batch in parts(batches):
             body = binary(batch, "body")
             key, copies, bound = (batch.column(batch.schema.get_field_index(c)).to_numpy() for c in ("key", "copies", "bound"))
             texts, rows_out = [], []
@@ -254,5 +254,5 @@ def mixed_texts(
             yield pa.record_batch([taken, pa.array(texts, pa.binary()).cast(pa.string())], names=["whole", "body"])
 
     kind = joined.schema["whole"].dataType.simpleString()
-    out = joined.select("whole", "body", "key", "copies", "bound").mapInArrow(take, f"whole {kind}, body string")
+    out = joined.select("whole", "body", "key", "copies", "bound").mapInArrow(lean(take), f"whole {kind}, body string")
     return out.select(*(F.col("body").alias(c) if c == text_col else F.col("whole")[c].alias(c) for c in columns))
