@@ -554,6 +554,22 @@ def test_texts_are_mixed_in_small_batches(documents, monkeypatch):
     assert [(r["whole"]["i"], r["body"]) for b in found for r in b.to_pylist()] == [(i, f"a {i}") for i in range(n) for _ in range(2)]
 
 
+def test_texts_are_encoded_in_small_batches(spark, tmp_path, monkeypatch):
+    class Rows:
+        """Gives each text the number of rows of its batch as its id."""
+
+        def each(self, texts):
+            return iter([np.array([len(texts)], "<u4").tobytes()] * len(texts))
+
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    monkeypatch.setattr(B, "process_encoder", lambda path: Rows())
+    path = f"{tmp_path}/tokens"
+    B.write_token_files(spark.range(12_000).selectExpr("id doc_id", "'a' text"), path)
+    found = B.read_token_files(spark, path, with_ids=True).select("ids").collect()
+    assert len(found) == 12_000 and max(r["ids"][0] for r in found) == 1_000 and spark.conf.get(name) == before
+
+
 def test_toxicity_of_odd_rows(odd, empty, labels):
     model = X.fit_toxicity(odd, labels)
     assert all(0 <= r["score"] <= 1 for r in X.score_toxicity(odd, model).collect())

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from tillstream.session import shared_folder
 
-from .common import give_back, lists, stored
+from .common import give_back, lists, small_batches, stored
 
 MAGIC = 0x524F4650  # "PFOR"
 VERSION = 1
@@ -41,8 +41,8 @@ FILE_IDS = 1 << 20
 #: Blocks that are packed or unpacked at a time.
 STEP = 1_024
 END_ID = 2
-#: Bytes of the texts whose words are looked up at a time.
-GROUP = 2_000_000
+#: Bytes of the texts whose words are looked up at a time; most batches hold less.
+GROUP = 3_000_000
 #: How a tokenizer changes and cuts texts if it takes lower-case letters between spaces as they are.
 PLAIN = {
     "normalizer": {
@@ -402,7 +402,8 @@ def write_token_files(
     )
     # The text writer puts the bytes of a value and one separator into a file of its own.
     content = ordered.mapInArrow(encode, "content binary").select(F.col("content").cast("string").alias("value"))
-    content.write.option("maxRecordsPerFile", 1).option("compression", "none").text(path)
+    with small_batches(docs.sparkSession):
+        content.write.option("maxRecordsPerFile", 1).option("compression", "none").text(path)
 
 
 def read_token_files(spark: SparkSession, path: str, id_type: str = "bigint", with_ids: bool = False) -> DataFrame:
