@@ -570,6 +570,29 @@ def test_texts_are_encoded_in_small_batches(spark, tmp_path, monkeypatch):
     assert len(found) == 12_000 and max(r["ids"][0] for r in found) == 1_000 and spark.conf.get(name) == before
 
 
+def plan_of(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rows_of_the_driver_start_no_python_processes(spark, documents, monkeypatch):
+    kind = type(spark)
+    made, make = [], kind.createDataFrame
+    monkeypatch.setattr(kind, "createDataFrame", lambda *a, **b: (made.append(make(*a, **b)), made[-1])[1])
+    M.mix_sources(documents)
+    B.token_output(documents)
+    assert len(made) == 3 and not any("RDD" in plan_of(frame) for frame in made)
+    nothing = C.driver_table(spark, [], "a string, b long")
+    assert nothing.count() == 0 and nothing.dtypes == [("a", "string"), ("b", "bigint")]
+    rows = [(None, 1, 0.5), (None, None, 1.0)]
+    assert [tuple(r) for r in C.driver_table(spark, rows, "a string, b long, c double").collect()] == rows
+
+
+def test_a_task_has_one_python_process(documents, labels):
+    known = labels.selectExpr("doc_id sample_id", "toxic sample_label").limit(10)
+    plan = plan_of(X.count_grams(documents, known, "doc_id", "text"))
+    assert "Exchange" in plan[plan.index("MapInArrow") : plan.index("ArrowEvalPython")]
+
+
 def test_toxicity_of_odd_rows(odd, empty, labels):
     model = X.fit_toxicity(odd, labels)
     assert all(0 <= r["score"] <= 1 for r in X.score_toxicity(odd, model).collect())

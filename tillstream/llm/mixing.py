@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import binary, lean, mix, over_batches, parts, sized, stored
+from .common import binary, driver_table, lean, mix, over_batches, parts, sized, stored
 
 WEIGHTS = (3, 1, 2)
 #: Words of a block, and of a shard about.
@@ -117,7 +117,8 @@ def plan_mix(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, percent: int =
     totals.sort(key=lambda row: (row["source"] is None, row["source"] if row["source"] is not None else ""))
     want = targets([row["size"] for row in totals], weights, percent, most)
     kind = rows.schema["source"].dataType.simpleString()
-    sources = spark.createDataFrame(
+    sources = driver_table(
+        spark,
         [(row["source"], row["size"], t, row["size"] // SHARD_WORDS + 1) for row, t in zip(totals, want)],
         f"source {kind}, source_size long, target double, pieces long",
     )
@@ -131,7 +132,8 @@ def plan_mix(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, percent: int =
     quota = np.minimum(quota, most * words).astype(np.int64)
     copies = np.where(words > 0, quota // np.maximum(words, 1), 0).astype(np.int64)
     rest = (quota - copies * words).astype(np.int64)
-    planned = spark.createDataFrame(
+    planned = driver_table(
+        spark,
         [(row["source"], row["shard"], int(c), int(r)) for row, c, r in zip(cells, copies, rest)],
         f"source {kind}, shard long, copies long, rest long",
     )

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from tillstream.session import shared_folder
 
-from .common import give_back, lists, small_batches, stored
+from .common import driver_table, give_back, lists, small_batches, stored
 
 MAGIC = 0x524F4650  # "PFOR"
 VERSION = 1
@@ -452,7 +452,7 @@ def token_output(
     for row in parts:
         offsets.append((row["part"], total))
         total += row["ids"]
-    bases = F.broadcast(spark.createDataFrame(offsets, "part long, base long"))
+    bases = F.broadcast(driver_table(spark, offsets, "part long, base long"))
     joined = rows.join(files.select("part", "number", "in_part"), ["part", "number"]).join(bases, "part")
     start = (F.col("base") + F.col("in_part") + F.col("place")).alias("start")
     return joined.select(F.col("id").alias(id_col), start, "n_tokens", "ids_crc32")

@@ -221,7 +221,9 @@ class Evidence:
 def labelled_texts(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(sample_text, sample_label) of the labelled documents.
 
-    A bit filter over the labelled ids keeps other texts out of the shuffle of the join.
+    A bit filter over the labelled ids keeps other texts out of the shuffle of the join. The join
+    always shuffles: a broadcast would put the filter and what follows in Python into one task, with
+    a process for each.
     """
     sent = docs.sparkSession.sparkContext.broadcast(bit_filter(labels.select(F.xxhash64("sample_id").alias("key"))))
 
@@ -232,7 +234,7 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, id_col: str, text_col: st
         return pd.Series(found)
 
     named = docs.select(F.col(id_col).cast(labels.schema["sample_id"].dataType).alias("sample_id"), F.col(text_col).alias("sample_text"))
-    return named.where(may_be_labelled(F.xxhash64("sample_id"))).join(labels, "sample_id").select("sample_text", "sample_label")
+    return named.where(may_be_labelled(F.xxhash64("sample_id"))).join(labels.hint("merge"), "sample_id").select("sample_text", "sample_label")
 
 
 def count_grams(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> DataFrame:
